@@ -97,7 +97,7 @@ class Factors(NamedTuple):
     items: DataFrame
 
 
-def factorize_rows(
+def factorize(
     rows: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int
 ) -> Factors:
     """Truncated SVD by MLlib, with the item factors (n_items x k) on the driver.

@@ -96,7 +96,7 @@ def with_input_order(df: DataFrame, name: str = "seq") -> DataFrame:
 
 def spread_unsplittable(df: DataFrame, path: str) -> DataFrame:
     """Distribute the rows of an input that Spark had to read in one piece."""
-    return df.repartition() if path.lower().endswith(".gz") else df
+    return df.hint("rebalance") if path.lower().endswith(".gz") else df
 
 
 def load_reviews(spark: SparkSession, path: str, **options) -> DataFrame:
