@@ -6,7 +6,7 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from checks import views
-from checks.registry import query, rounded, scratch
+from checks.registry import once_per_session, query, rounded, scratch
 from checks.views import rounded as r
 from checks.views import sql
 from tallyrec.functions import columns as c
@@ -180,12 +180,18 @@ predicted as (
     left join brand_cells c on c.user_id = o.user_id and c.product_id = b.product_id)"""
 
 
+# Scores are compared in steps of 1e-5. The steps do not begin at a half, where many of these
+# fractions lie and the last bit would decide.
+STEPS, STEP_START = 1e5, 0.37
+
+
 @query(
     sql(
         BRAND_CELLS
         + f"""
 select user_id, product_id,
-       {r("(score - min(score) over w) / (max(score) over w - min(score) over w)")} as score
+       cast(floor((score - min(score) over w) / (max(score) over w - min(score) over w)
+                  * {STEPS} + {STEP_START}) as bigint) as score_steps
 from predicted window w as (partition by user_id)"""
     )
 )
@@ -193,18 +199,19 @@ def svd_reproduces_matrix(spark, sf_dir):
     ratings = _brand_ratings(spark, sf_dir)
     model = SvdRecommender().fit(ratings)
     users = ratings.select("user_id").distinct()
-    return model.recommend(users, 100).select("user_id", "product_id", rounded("score"))
+    steps = F.floor(F.col("score") * STEPS + STEP_START).alias("score_steps")
+    return model.recommend(users, 100).select("user_id", "product_id", steps)
 
 
-_models: dict[tuple[str, str], SvdRecommender] = {}
+@once_per_session
+def _ratings(spark, sf_dir):
+    """The interactions as a written table, which the models are trained and judged on."""
+    return materialize(views.interactions(spark, sf_dir), "interactions")
 
 
+@once_per_session
 def svd_model(spark, sf_dir) -> SvdRecommender:
-    """The model of all interactions, trained once per session and data folder."""
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key not in _models:
-        _models[key] = SvdRecommender().fit(views.interactions(spark, sf_dir))
-    return _models[key]
+    return SvdRecommender().fit(_ratings(spark, sf_dir))
 
 
 def hybrid_model(spark, sf_dir, **settings) -> HybridRecommender:
@@ -214,7 +221,7 @@ def hybrid_model(spark, sf_dir, **settings) -> HybridRecommender:
 
 
 def _all_users(spark, sf_dir):
-    return views.lines(spark, sf_dir).select("user_id").distinct()
+    return _ratings(spark, sf_dir).select("user_id").distinct()
 
 
 @query()
@@ -224,7 +231,7 @@ def svd_recommendations(spark, sf_dir):
 
 @query()
 def svd_evaluation(spark, sf_dir):
-    return svd_model(spark, sf_dir).evaluate(views.interactions(spark, sf_dir))
+    return svd_model(spark, sf_dir).evaluate(_ratings(spark, sf_dir))
 
 
 @query()
@@ -494,7 +501,7 @@ scores as (
 
 
 def _alpha_scores(spark, sf_dir):
-    ratings = views.interactions(spark, sf_dir)
+    ratings = _ratings(spark, sf_dir)
     cf, similar = _candidates(spark, sf_dir)
     return fusion.alpha_scores(
         cf, similar, metrics.relevant_products(ratings), fusion.tuning_users(ratings)
@@ -553,7 +560,7 @@ def quoted(name: str) -> str:
 
 
 def _latest(spark, sf_dir):
-    ratings = views.interactions(spark, sf_dir)
+    ratings = _ratings(spark, sf_dir)
     order = Window.partitionBy("user_id").orderBy(F.col("timestamp").desc(), "product_id")
     latest = ratings.withColumn("rank", F.row_number().over(order)).where("rank <= 20")
     return latest.select("user_id", "product_id", "rank"), metrics.relevant_products(ratings)
@@ -618,7 +625,7 @@ def hybrid_rank_fusion(spark, sf_dir):
 
 @query()
 def hybrid_tuning(spark, sf_dir):
-    return hybrid_model(spark, sf_dir).tuning_scores(views.interactions(spark, sf_dir))
+    return hybrid_model(spark, sf_dir).tuning_scores(_ratings(spark, sf_dir))
 
 
 @query()

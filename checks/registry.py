@@ -33,6 +33,19 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     return register
 
 
+def once_per_session(build: Callable) -> Callable:
+    """Remember what ``build(spark, sf_dir)`` returned for this application and data folder."""
+    known: dict[tuple[str, str], object] = {}
+
+    def get(spark: SparkSession, sf_dir: str):
+        key = (spark.sparkContext.applicationId, sf_dir)
+        if key not in known:
+            known[key] = build(spark, sf_dir)
+        return known[key]
+
+    return get
+
+
 def scratch(spark: SparkSession, label: str) -> str:
     """A new folder below the shared one, for queries about writing and reading back."""
     return f"{shared_folder(spark)}/check-{label}-{uuid.uuid4().hex}"

@@ -5,11 +5,12 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks import views
-from checks.registry import query, rounded, scratch
+from checks.registry import once_per_session, query, rounded, scratch
 from checks.views import rounded as r
 from checks.views import sql
 from tallyrec.operators import distribution, stats, tables
 from tallyrec.plans.explore import summarize
+from tallyrec.session import materialize
 from tallyrec.sources import sinks
 
 ACTIVITY = {
@@ -45,8 +46,10 @@ def _all_rounded(df, names):
     return df.select(*(rounded(name) for name in names))
 
 
+@once_per_session
 def _built(spark, sf_dir):
-    return tables.build_interactions(views.interactions(spark, sf_dir))
+    """The interactions as a written table: the analyses start from processed tables."""
+    return materialize(tables.build_interactions(views.interactions(spark, sf_dir)), "interactions")
 
 
 @query(sql(f"select {figures(RATINGS)} from interactions where rating is not null"))

@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
+from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tallyrec.functions.columns import to_number
@@ -13,9 +15,14 @@ from tallyrec.session import materialize
 
 KEY_COLUMNS = ("user_id", "product_id")
 
-# The pair table of the cold-start loop is written again once this share of it has gone;
-# until then each pass reads the last written table and skips the rows removed since.
+# The cold-start loop writes its pair table again once this share of the rows has gone since the
+# last time, or this many ids. Until then each pass reads the last written table and skips the few
+# ids removed since, which are small enough to broadcast.
 REWRITE_SHARE = 0.2
+REWRITE_IDS = 200_000
+
+# Up to this many ids per half pass travel through the driver; more are written to the shared folder.
+LOCAL_IDS = 10_000
 
 
 def remove_duplicates(
@@ -55,7 +62,7 @@ class ColdStart(NamedTuple):
     interactions: DataFrame
     user_rows_dropped: int
     product_rows_dropped: int
-    rows_per_pass: list[int]
+    rows_per_pass: list[int]  # at the start of each pass
 
 
 def filter_cold_start(
@@ -64,53 +71,114 @@ def filter_cold_start(
     """Drop users, then products, below their threshold until a pass drops nothing.
 
     The loop runs on a table of distinct (user, product) pairs with their row counts and only
-    keeps the ids that fall out. Each half pass is one partially aggregated count; the ids that
-    fall out are written to the shared folder, so their size is known and the anti join that
-    removes them is a broadcast only while they are small. The rows themselves are filtered once,
-    at the end.
+    collects the ids that fall out; each half pass is one partially aggregated count. The size of
+    the ids is known before they are joined, so Spark broadcasts them only while they are small.
+    The rows themselves are filtered once, at the end.
     """
     thresholds = {"user_id": min_user_reviews, "product_id": min_product_reviews}
-    gone: dict[str, DataFrame | None] = dict.fromkeys(thresholds)
     dropped = dict.fromkeys(thresholds, 0)
+    many = dict.fromkeys(thresholds, True)
+    gone = {key: _Ids() for key in thresholds}
+    pending = {key: _Ids() for key in thresholds}
 
-    pairs = materialize(
+    written = materialize(
         df.groupBy(*KEY_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows")), "pairs"
     )
-    written_rows = remaining = pairs.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
+    written_rows = remaining = _size(written)["rows"]
     rows_per_pass = []
 
-    while True:
+    unchecked = set(thresholds)  # keys whose counts may have changed since their last check
+    while unchecked:
         rows_per_pass.append(remaining)
         for key, threshold in thresholds.items():
-            weak = _below_threshold(pairs, key, threshold)
-            weak_rows = weak.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
-            if weak_rows == 0:
+            if key not in unchecked:
                 continue
-            ids = weak.select(key)
-            pairs = _without(pairs, ids, key)
-            gone[key] = ids if gone[key] is None else gone[key].union(ids)
-            dropped[key] += weak_rows
-            remaining -= weak_rows
-        if remaining == rows_per_pass[-1]:
-            break
-        if remaining < (1 - REWRITE_SHARE) * written_rows:
-            pairs = materialize(pairs, "pairs")
+            weak = _below_threshold(_without_all(written, pending), key, threshold)
+            part, n_rows = _collect_ids(weak, key, write=many[key])
+            gone[key].add(part)
+            pending[key].add(part)
+            many[key] = part.size > LOCAL_IDS
+            dropped[key] += n_rows
+            remaining -= n_rows
+            unchecked.discard(key)
+            if part.size:
+                unchecked |= thresholds.keys() - {key}
+        pending_ids = sum(ids.size for ids in pending.values())
+        if remaining < (1 - REWRITE_SHARE) * written_rows or pending_ids > REWRITE_IDS:
+            written = materialize(_without_all(written, pending), "pairs")
+            pending = {key: _Ids() for key in thresholds}
             written_rows = remaining
+            for ids in gone.values():
+                ids.write_if_many(df.sparkSession)
+    if remaining < rows_per_pass[-1]:
+        rows_per_pass.append(remaining)
 
-    kept = df
-    for key, ids in gone.items():
-        if ids is not None:
-            kept = _without(kept, ids, key)
-    return ColdStart(kept, dropped["user_id"], dropped["product_id"], rows_per_pass)
+    return ColdStart(
+        _without_all(df, gone), dropped["user_id"], dropped["product_id"], rows_per_pass
+    )
+
+
+class _Part(NamedTuple):
+    """Ids that fell out in one half pass: a few as an Arrow table, many as a written table."""
+
+    ids: pa.Table | DataFrame
+    size: int
+
+
+class _Ids:
+    """All ids of one key that fell out so far."""
+
+    def __init__(self) -> None:
+        self.size = 0
+        self.local: list[pa.Table] = []
+        self.written: list[DataFrame] = []
+
+    def add(self, part: _Part) -> None:
+        if part.size:
+            (self.local if isinstance(part.ids, pa.Table) else self.written).append(part.ids)
+            self.size += part.size
+
+    def write_if_many(self, spark: SparkSession) -> None:
+        """Keep the local part small over any number of passes."""
+        if sum(part.num_rows for part in self.local) > REWRITE_IDS:
+            table = spark.createDataFrame(pa.concat_tables(self.local))
+            self.written.append(materialize(table, "gone"))
+            self.local = []
+
+    def frame(self, spark: SparkSession) -> DataFrame | None:
+        parts = list(self.written)
+        if self.local:
+            parts.append(spark.createDataFrame(pa.concat_tables(self.local)))
+        return reduce(DataFrame.union, parts) if parts else None
+
+
+def _collect_ids(weak: DataFrame, key: str, write: bool) -> tuple[_Part, int]:
+    """The ids of (key, n_rows) and the sum of their rows."""
+    if not write:
+        few = weak.limit(LOCAL_IDS + 1).toArrow()
+        if few.num_rows <= LOCAL_IDS:
+            return _Part(few.select([key]), few.num_rows), sum(few.column("n_rows").to_pylist())
+    table = materialize(weak, f"weak-{key}")
+    size = _size(table)
+    return _Part(table.select(key), size["ids"]), size["rows"]
 
 
 def _below_threshold(pairs: DataFrame, key: str, threshold: int) -> DataFrame:
     counts = pairs.groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
-    weak = counts.where((F.col("n_rows") < threshold) | F.col(key).isNull())
-    return materialize(weak, f"weak-{key}")
+    return counts.where((F.col("n_rows") < threshold) | F.col(key).isNull())
+
 
+def _size(pairs: DataFrame):
+    return pairs.agg(
+        F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
+    ).first()
 
-def _without(df: DataFrame, ids: DataFrame, key: str) -> DataFrame:
-    # null-safe: a missing id never reaches the threshold, so its rows go too
-    ids = ids.withColumnRenamed(key, "_gone")
-    return df.join(ids, df[key].eqNullSafe(ids["_gone"]), "left_anti")
+
+def _without_all(df: DataFrame, gone: Mapping[str, _Ids]) -> DataFrame:
+    for key, removed in gone.items():
+        ids = removed.frame(df.sparkSession)
+        if ids is not None:
+            # null-safe: a missing id never reaches the threshold, so its rows go too
+            ids = ids.withColumnRenamed(key, "_gone")
+            df = df.join(ids, df[key].eqNullSafe(ids["_gone"]), "left_anti")
+    return df

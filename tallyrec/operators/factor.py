@@ -152,7 +152,7 @@ def _right_basis(rows: DataFrame, n_items: int, n_cells: int, k: int):
     matrix = RowMatrix(vectors.select(sparse("indices", "values").alias("row")), numCols=n_items)
     # The solver passes over the rows hundreds of times: keep them as JVM vectors, not as SQL rows.
     stored = matrix._java_matrix_wrapper._java_model.rows()
-    stored.persist(rows.sparkSession.sparkContext._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK))
+    stored.persist(rows.sparkSession.sparkContext._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK_DESER))
     try:
         return matrix.computeSVD(k, computeU=False, rCond=NOISE_SHARE).V.toArray()
     finally:
