@@ -5,12 +5,17 @@ from __future__ import annotations
 import math
 from typing import NamedTuple
 
+import numpy as np
+import pyarrow as pa
 from pyspark import StorageLevel
 from pyspark.mllib.linalg import Vectors, VectorUDT
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrec.operators.subspace import leading_item_vectors, multiply
+from tallyrec.session import materialize
+
 # Ids are numbered within this many buckets at a time: the first hex digits of their md5 hash.
 INDEX_DIGITS = 3
 
@@ -24,6 +29,12 @@ MIN_CELLS_PER_TASK = 1 << 20
 MAX_CELLS_PER_TASK = 1 << 24
 
 
+# MLlib's solver may take this much driver memory; per entry of the n_items x k factors it needs the
+# result, a work space of twice that size, and copies on the way to Python.
+MAX_SOLVER_BYTES = 2 << 30
+SOLVER_BYTES_PER_ENTRY = 48
+
+
 def dense_index(ids: DataFrame, key: str, name: str) -> DataFrame:
     """(key, name): distinct ids numbered from 0 without gaps, ordered by (hash bucket, id).
 
@@ -75,7 +86,8 @@ def centred_rows(cells: DataFrame, items: DataFrame, n_items: int) -> DataFrame:
     """(user_id, offset, indices, values): one sparse row per user, at most ``n_items`` long."""
     entry = F.struct(F.col("item_idx").cast("int").alias("index"), "value")
     rows = (
-        cells.join(items, "product_id")
+        # the solver's bound on n_items bounds this broadcast, so a popular product is no hot key
+        cells.join(F.broadcast(items), "product_id")
         .groupBy("user_id")
         .agg(
             F.sort_array(F.collect_list(entry)).alias("entries"),
@@ -98,20 +110,40 @@ class Factors(NamedTuple):
 
 
 def factorize(
-    rows: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int
+    cells: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int
 ) -> Factors:
-    """Truncated SVD by MLlib, with the item factors (n_items x k) on the driver.
+    """Truncated SVD of the centred matrix: at most ``k`` factors.
 
-    The caller checks that n_items * k fits there.
+    MLlib's solver keeps the item side on the driver. Where that would exceed
+    ``MAX_SOLVER_BYTES``, the same vectors are found with the item side as a table.
     """
+    if n_items * k * SOLVER_BYTES_PER_ENTRY <= MAX_SOLVER_BYTES:
+        rows = materialize(centred_rows(cells, items, n_items), "rows")
+        return _factorize_rows(rows, items, n_items, n_cells, k)
+    return _factorize_cells(cells, items, n_items, k)
+
+
+def _factorize_cells(cells: DataFrame, items: DataFrame, n_items: int, k: int) -> Factors:
+    centred = centred_cells(cells, n_items).join(items, "product_id")
+    centred = centred.select("user_id", "item_idx", "offset", F.col("centred").alias("value"))
+    centred = materialize(centred, "centred")
+    basis = materialize(leading_item_vectors(centred, n_items, k), "basis")
+    width = basis.select(F.size("vector")).first()[0]
+    offsets = centred.groupBy("user_id").agg(F.first("offset").alias("offset"))
+    users = multiply(centred, basis, "item_idx", "user_id", width)
+    return Factors(
+        offsets.join(users, "user_id"), items.join(basis, "item_idx").select("product_id", "vector")
+    )
+
+
+def _factorize_rows(
+    rows: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int
+) -> Factors:
     basis = _right_basis(rows, n_items, n_cells, k)
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(basis)
 
     def project(batches):
-        import numpy as np
-        import pyarrow as pa
-
         v = shared.value
         for batch in batches:
             starts = batch.column("indices").offsets.to_numpy()
@@ -127,32 +159,26 @@ def factorize(
             )
 
     user_factors = rows.mapInArrow(project, "user_id string, offset double, vector array<double>")
+    vectors = pa.FixedSizeListArray.from_arrays(pa.array(basis.ravel()), basis.shape[1])
     numbered = spark.createDataFrame(
-        [(i, row.tolist()) for i, row in enumerate(basis)],
-        "item_idx bigint, vector array<double>",
+        pa.table({"item_idx": np.arange(n_items), "vector": vectors.cast(pa.list_(pa.float64()))})
     )
     item_factors = items.join(numbered, "item_idx").select("product_id", "vector")
     return Factors(user_factors, item_factors)
 
 
-def _right_basis(rows: DataFrame, n_items: int, n_cells: int, k: int):
+def _right_basis(rows: DataFrame, n_items: int, n_cells: int, k: int) -> np.ndarray:
     """The k leading right singular vectors as an (n_items, k) array."""
     sparse = F.udf(lambda i, v: Vectors.sparse(n_items, i, v), VectorUDT())
-    tasks = max(
-        1,
-        min(
-            math.ceil(n_cells / MIN_CELLS_PER_TASK),
-            max(
-                rows.sparkSession.sparkContext.defaultParallelism,
-                math.ceil(n_cells / MAX_CELLS_PER_TASK),
-            ),
-        ),
-    )
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    tasks = math.ceil(n_cells / MIN_CELLS_PER_TASK)
+    tasks = max(1, min(tasks, max(cores, math.ceil(n_cells / MAX_CELLS_PER_TASK))))
     vectors = rows.select("indices", "values").repartition(tasks)
     matrix = RowMatrix(vectors.select(sparse("indices", "values").alias("row")), numCols=n_items)
     # The solver passes over the rows hundreds of times: keep them as JVM vectors, not as SQL rows.
     stored = matrix._java_matrix_wrapper._java_model.rows()
-    stored.persist(rows.sparkSession.sparkContext._getJavaStorageLevel(StorageLevel.MEMORY_AND_DISK_DESER))
+    level = StorageLevel.MEMORY_AND_DISK_DESER
+    stored.persist(rows.sparkSession.sparkContext._getJavaStorageLevel(level))
     try:
         return matrix.computeSVD(k, computeU=False, rCond=NOISE_SHARE).V.toArray()
     finally:

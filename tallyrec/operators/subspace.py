@@ -1,0 +1,161 @@
+"""Leading right singular vectors of a matrix whose item side does not fit on the driver.
+
+Subspace iteration with a Chebyshev filter (Zhou, Saad, Tiago and Chelikowsky, 2006): a block of
+vectors, kept as a table with one row per item, is multiplied by A'A through two joins and two
+aggregations per step. Only matrices of the size of the block's width reach the driver.
+"""
+
+from __future__ import annotations
+
+import math
+
+import numpy as np
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tallyrec.session import materialize
+
+# Vectors carried beyond the wanted ones: they widen the gap that decides the convergence.
+EXTRA_SHARE, MIN_EXTRA = 0.5, 10
+
+# Largest gain of the filter: more would drown the last vectors in the first one's rounding errors.
+MAX_GAIN = 1e5
+MAX_DEGREE = 12
+
+# A vector is found when |A'A v - s v| falls below this share of the largest s.
+TOLERANCE = 1e-9
+MAX_ROUNDS = 300
+
+
+def multiply(cells: DataFrame, vectors: DataFrame, on: str, to: str, width: int) -> DataFrame:
+    """(to, vector): the sums of value * vector over the cells of each ``to``."""
+    sums = [F.sum(F.col("value") * F.col("vector")[i]).alias(f"_{i}") for i in range(width)]
+    summed = cells.join(vectors, on).groupBy(to).agg(*sums)
+    return summed.select(to, F.array(*(f"_{i}" for i in range(width))).alias("vector"))
+
+
+def leading_item_vectors(cells: DataFrame, n_items: int, k: int) -> DataFrame:
+    """(item_idx, vector): the ``k`` leading right singular vectors of (user_id, item_idx, value)."""
+    width = min(n_items, k + max(MIN_EXTRA, math.ceil(k * EXTRA_SHARE)))
+    items = cells.select("item_idx").distinct()
+    block = materialize(items.select("item_idx", _start(width).alias("x")), "block")
+
+    for _ in range(MAX_ROUNDS):
+        block, width = _orthonormal(block, width)
+        block = materialize(_with_product(cells, block, width), "block")
+        values, turn = np.linalg.eigh(_gram(block, "x", "w", width))
+        values, turn = values[::-1], turn[:, ::-1]
+        block = materialize(_turn(block, turn), "block")
+        error = np.sqrt(_squares(block, values))[:k]
+        if error.max() <= TOLERANCE * values[0] or width == n_items:
+            return block.select("item_idx", F.slice("x", 1, min(k, width)).alias("vector"))
+        block = _filtered(cells, block, values, width)
+    raise RuntimeError(f"no convergence after {MAX_ROUNDS} rounds")
+
+
+def _start(width: int) -> Column:
+    """Reproducible values in [-1, 1) per item and column."""
+    columns = F.sequence(F.lit(0), F.lit(width - 1))
+    return F.transform(
+        columns, lambda j: F.pmod(F.xxhash64("item_idx", j), F.lit(1 << 20)) / (1 << 19) - 1
+    )
+
+
+def _with_product(cells: DataFrame, block: DataFrame, width: int) -> DataFrame:
+    """``block`` with w = A'A x."""
+    x = block.select("item_idx", F.col("x").alias("vector"))
+    by_user = multiply(cells, x, "item_idx", "user_id", width)
+    product = multiply(cells, by_user, "user_id", "item_idx", width)
+    return block.select("item_idx", "x").join(
+        product.withColumnRenamed("vector", "w"), "item_idx"
+    )
+
+
+def _filtered(cells: DataFrame, block: DataFrame, values: np.ndarray, width: int) -> DataFrame:
+    """Damp everything below the smallest value of the block, amplify what lies above."""
+    half = max(values[-1], 1e-12 * values[0]) / 2
+    reach = math.acosh(max((values[0] - half) / half, 1 + 1e-12))
+    degree = int(np.clip(math.log(2 * MAX_GAIN) / reach, 1, MAX_DEGREE))
+
+    def step(x, w, scale):
+        return F.zip_with(w, x, lambda a, b: (a - b * half) * (scale / half))
+
+    now = block.select("item_idx", "x", step(F.col("x"), F.col("w"), 1.0).alias("next"))
+    for _ in range(degree - 1):
+        ahead = _with_product(cells, now.select("item_idx", F.col("next").alias("x")), width)
+        ahead = ahead.withColumnRenamed("x", "next").join(now.select("item_idx", "x"), "item_idx")
+        doubled = step(F.col("next"), F.col("w"), 2.0)
+        following = F.zip_with(doubled, F.col("x"), lambda a, b: a - b)
+        now = ahead.select("item_idx", F.col("next").alias("x"), following.alias("next"))
+        now = materialize(now, "block")
+    return now.select("item_idx", F.col("next").alias("x"))
+
+
+def _orthonormal(block: DataFrame, width: int) -> tuple[DataFrame, int]:
+    """The same span with orthonormal columns; twice, because one round loses half the digits."""
+    for _ in range(2):
+        gram = _gram(block, "x", "x", width)
+        scale = 1 / np.sqrt(np.maximum(np.diag(gram), np.finfo(float).tiny))
+        values, turn = np.linalg.eigh(gram * np.outer(scale, scale))
+        kept = values > 1e-13 * values[-1]
+        block = _turn(block, scale[:, None] * turn[:, kept] / np.sqrt(values[kept]), ("x",))
+        width = int(kept.sum())
+    return block, width
+
+
+def _turn(block: DataFrame, matrix: np.ndarray, columns: tuple[str, ...] = ("x", "w")) -> DataFrame:
+    """Multiply each vector by a small matrix from the right."""
+
+    def run(batches):
+        import pyarrow as pa
+
+        for batch in batches:
+            turned = [batch.column("item_idx")]
+            for name in columns:
+                values = batch.column(name).flatten().to_numpy().reshape(-1, matrix.shape[0]) @ matrix
+                nested = pa.FixedSizeListArray.from_arrays(pa.array(values.ravel()), matrix.shape[1])
+                turned.append(nested.cast(pa.list_(pa.float64())))
+            yield pa.RecordBatch.from_arrays(turned, names=["item_idx", *columns])
+
+    schema = ", ".join(["item_idx bigint", *(f"{name} array<double>" for name in columns)])
+    return block.select("item_idx", *columns).mapInArrow(run, schema)
+
+
+def _summed_over_tasks(block: DataFrame, partial, shape: tuple[int, ...]) -> np.ndarray:
+    """The sum of ``partial(batch)``, small arrays of one shape, over the whole table."""
+
+    def run(batches):
+        import numpy as np
+        import pyarrow as pa
+
+        total = np.zeros(shape)
+        for batch in batches:
+            total += partial(batch)
+        yield pa.RecordBatch.from_arrays([pa.array([total.ravel().tolist()])], names=["part"])
+
+    cells = block.mapInArrow(run, "part array<double>").select(F.posexplode("part"))
+    sums = cells.groupBy("pos").agg(F.sum("col").alias("total")).collect()
+    result = np.zeros(math.prod(shape))
+    for row in sums:
+        result[row["pos"]] = row["total"]
+    return result.reshape(shape)
+
+
+def _gram(block: DataFrame, left: str, right: str, width: int) -> np.ndarray:
+    def partial(batch):
+        a, b = (batch.column(c).flatten().to_numpy().reshape(-1, width) for c in (left, right))
+        return a.T @ b
+
+    gram = _summed_over_tasks(block, partial, (width, width))
+    return (gram + gram.T) / 2
+
+
+def _squares(block: DataFrame, values: np.ndarray) -> np.ndarray:
+    """Squared lengths of the columns of w - x * values."""
+    width = len(values)
+
+    def partial(batch):
+        x, w = (batch.column(c).flatten().to_numpy().reshape(-1, width) for c in ("x", "w"))
+        return ((w - x * values) ** 2).sum(axis=0)
+
+    return _summed_over_tasks(block, partial, (width,))

@@ -32,6 +32,9 @@ RANDOM_STATE = 42
 TOP_K = 10
 VERSION = "1.0.0"
 
+# Keys over which the users of one seed product are spread.
+SEED_SALTS = 16
+
 
 class Recommender(ABC):
     """What every model offers. Recommendations are (user_id, product_id, score, rank)."""
@@ -92,8 +95,7 @@ class SvdRecommender(Recommender):
         rank = min(self.n_factors, size["users"] - 1, n_items - 1)
         if rank < 1:
             raise ValueError("the model needs at least two users and two products")
-        rows = materialize(factor.centred_rows(cells, items, n_items), "rows")
-        factors = factor.factorize(rows, items, n_items, size["cells"], rank)
+        factors = factor.factorize(cells, items, n_items, size["cells"], rank)
         self.user_factors = materialize(factors.users, "user-factors")
         self.item_factors = materialize(factors.items, "item-factors")
         self.popularity = materialize(popularity(cells), "popularity")
@@ -229,8 +231,8 @@ class HybridRecommender(Recommender):
         similar = self._index.similar_products(asked, "depth").withColumnRenamed("query_id", "seed")
         deep_enough = F.col("rank") <= F.col("top_k") * CANDIDATE_FACTOR
         cf = wanted.join(cf, "user_id").where(deep_enough)
-        semantic = wanted.join(seeds, "user_id").join(similar, "seed").where(deep_enough)
-        return cf, semantic.drop("seed")
+        semantic = _per_user(wanted.join(seeds, "user_id"), similar).where(deep_enough)
+        return cf, semantic
 
     def tuning_scores(
         self, ratings: DataFrame, alphas: Sequence[float] = ALPHA_GRID, k: int = CUT_OFF
@@ -267,6 +269,18 @@ class HybridRecommender(Recommender):
         return cls(cf, vectors, **_load_params(spark, root))
 
 
+def _per_user(seeds: DataFrame, similar: DataFrame) -> DataFrame:
+    """The products similar to each user's seed, from (user_id, ..., seed) and (seed, ...).
+
+    One seed may belong to most users - all unknown users share theirs - so its users are spread
+    over ``SEED_SALTS`` keys and the short list of each seed is repeated for all of them.
+    """
+    salt = F.pmod(F.xxhash64("user_id"), F.lit(SEED_SALTS)).cast("int")
+    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SEED_SALTS - 1)))
+    left = seeds.withColumn("_salt", salt)
+    return left.join(similar.withColumn("_salt", every_salt), ["seed", "_salt"]).drop("seed", "_salt")
+
+
 def _save_params(spark: SparkSession, params: dict, root: str) -> None:
     line = spark.createDataFrame([(json.dumps(params),)], "value string")
     line.write.mode("overwrite").text(f"{root}/params.json")

@@ -15,8 +15,8 @@ from tallyrec.session import local_session  # noqa: E402
 
 @pytest.fixture(scope="session")
 def spark():
-    session = local_session(os.environ.get("TEST_CPUS", "4"), memory="8g")
-    session.conf.set("spark.sql.shuffle.partitions", "4")
+    session = local_session(os.environ.get("TEST_CPUS", "8"), memory="8g")
+    session.conf.set("spark.sql.shuffle.partitions", "2")
     session.sparkContext.setLogLevel("ERROR")
     yield session
     session.stop()

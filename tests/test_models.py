@@ -49,6 +49,11 @@ def test_scores_match_numpy(model, ratings):
     check_against_numpy(model, ratings, 5)
 
 
+def test_scores_match_numpy_with_the_item_side_as_a_table(ratings, monkeypatch):
+    monkeypatch.setattr(factor, "MAX_SOLVER_BYTES", 0)
+    check_against_numpy(SvdRecommender(n_factors=5).fit(ratings), ratings, 5)
+
+
 def test_factors_are_capped(ratings):
     model = SvdRecommender(n_factors=500).fit(ratings)
     assert model.user_factors.agg(F.max(F.size("vector"))).first()[0] <= 19
