@@ -42,6 +42,11 @@ def counts_view(key: str, name: str = "counts") -> str:
     return f", {name} as (select {key}, count(rating) as n from interactions group by {key})"
 
 
+@once_per_session
+def _users(spark, sf_dir):
+    return materialize(tables.build_users(_built(spark, sf_dir)), "users")
+
+
 def _all_rounded(df, names):
     return df.select(*(rounded(name) for name in names))
 
@@ -338,8 +343,8 @@ CORRELATION = {
 
 @query(sql(RANKS + f" select {figures(CORRELATION)}"))
 def rating_activity_correlation(spark, sf_dir):
-    users = tables.build_users(_built(spark, sf_dir))
-    return _all_rounded(stats.rating_activity_correlation(users), CORRELATION)
+    found = stats.rating_activity_correlation(_users(spark, sf_dir))
+    return _all_rounded(found, CORRELATION)
 
 
 @query(
@@ -354,7 +359,7 @@ select cast(least(floor((total_reviews - x_low) * 40.0 / (x_high - x_low)), 39)
 from users, span group by 1, 2""")
 )
 def activity_rating_bins(spark, sf_dir):
-    return stats.activity_rating_bins(tables.build_users(_built(spark, sf_dir)))
+    return stats.activity_rating_bins(_users(spark, sf_dir))
 
 
 SUMMARY_SQL = (
@@ -381,7 +386,7 @@ def exploration_summary(spark, sf_dir):
     interactions = _built(spark, sf_dir)
     n_raw = views.lines(spark, sf_dir).agg(F.count(F.lit(1)))
     record = summarize(
-        interactions, views.products(spark, sf_dir), tables.build_users(interactions), n_raw
+        interactions, views.products(spark, sf_dir), _users(spark, sf_dir), n_raw
     )
     groups = {
         "rating_distribution": RATINGS,
@@ -404,7 +409,7 @@ def summary_as_json(spark, sf_dir):
     interactions = _built(spark, sf_dir)
     n_raw = views.lines(spark, sf_dir).agg(F.count(F.lit(1)))
     record = summarize(
-        interactions, views.products(spark, sf_dir), tables.build_users(interactions), n_raw
+        interactions, views.products(spark, sf_dir), _users(spark, sf_dir), n_raw
     )
     path = scratch(spark, "summary")
     sinks.save_summary(record, path)

@@ -26,10 +26,14 @@ def rows_before(counts: DataFrame) -> DataFrame:
     The values are cut into equal ranges. Each range is accumulated by its own task, and only the
     totals of the at most ``N_RANGES`` + 1 ranges are accumulated together.
     """
-    low = counts.agg(F.min("value").cast("double")).scalar()
-    width = counts.agg((F.max("value") - F.min("value")).cast("double")).scalar()
-    in_range = F.floor((F.col("value").cast("double") - low) / width * N_RANGES)
-    ranged = counts.withColumn("_range", F.when(width > 0, in_range).otherwise(F.lit(0)))
+    value = F.col("value").cast("double")
+    span = counts.agg(
+        F.struct(F.min(value).alias("low"), (F.max(value) - F.min(value)).alias("width"))
+    ).scalar()
+    in_range = F.floor((value - F.col("_span.low")) / F.col("_span.width") * N_RANGES)
+    ranged = counts.withColumn("_span", span).select(
+        "value", "n", F.when(F.col("_span.width") > 0, in_range).otherwise(F.lit(0)).alias("_range")
+    )
 
     earlier_ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     offsets = (
@@ -49,16 +53,20 @@ def rows_before(counts: DataFrame) -> DataFrame:
 
 def exact_quantiles(df: DataFrame, value: str, names: Mapping[str, float]) -> DataFrame:
     """One row of exact quantiles with linear interpolation, named by ``names``."""
-    counts = value_counts(df, value)
-    total = counts.agg(F.sum("n")).scalar()
-    ranked = rows_before(counts)
+    return quantiles_of_counts(value_counts(df, value), names)
+
+
+def quantiles_of_counts(counts: DataFrame, names: Mapping[str, float]) -> DataFrame:
+    """The same from (value, n)."""
+    last = counts.agg(F.sum("n") - 1).scalar()
+    ranked = rows_before(counts).withColumn("_last", last)
 
     def at(position: Column) -> Column:
         hit = (F.col("before") <= position) & (position < F.col("before") + F.col("n"))
         return F.max(F.when(hit, F.col("value").cast("double")))
 
     def interpolated(share: float) -> Column:
-        position = (total - 1) * F.lit(float(share))
+        position = F.col("_last") * F.lit(float(share))
         lower, upper = at(F.floor(position)), at(F.ceil(position))
         return lower + (upper - lower) * F.max(position - F.floor(position))
 
