@@ -382,7 +382,7 @@ def similar_products_in_blocks(spark, sf_dir):
         F.col("product_id").alias("query_id"), F.col("embedding").alias("vector"), F.lit(10).alias("depth")
     )
     index = vectors.select("product_id", F.col("embedding").alias("vector"))
-    found = top_matches(queries, index, exclude_self=True, max_broadcast_bytes=0, block_rows=128)
+    found = top_matches(queries, index, exclude_self=True, max_broadcast_bytes=0, block_bytes=64 << 10)
     return found.select("query_id", "product_id", "score", "rank")
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 # An index up to this size is broadcast to the executors; a larger one is multiplied block by block.
 MAX_BROADCAST_BYTES = 512 << 20
 
-# Rows per block and per chunk of queries when the index is not broadcast.
-BLOCK_ROWS = 65536
+# Size of a block of the index, and of the chunks of queries, when the index is not broadcast.
+BLOCK_BYTES = 64 << 20
 
 # Scores held in memory at a time, as a number of matrix cells.
 CELLS_PER_STEP = 1 << 23
@@ -35,7 +35,7 @@ def top_matches(
     index: DataFrame,
     exclude_self: bool = False,
     max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
-    block_rows: int = BLOCK_ROWS,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``depth`` best products for every query, by inner product, ties by product id.
 
@@ -60,6 +60,7 @@ def top_matches(
     match = _matcher(exclude_self)
     if size["bytes"] <= max_broadcast_bytes:
         return _match_broadcast(queries, index, match)
+    block_rows = max(1, block_bytes * size["rows"] // size["bytes"])
     return _match_blocks(queries, index, match, math.ceil(size["rows"] / block_rows), block_rows)
 
 

@@ -32,8 +32,10 @@ RANDOM_STATE = 42
 TOP_K = 10
 VERSION = "1.0.0"
 
-# Keys over which the users of one seed product are spread.
-SEED_SALTS = 16
+# A seed product is hot when it belongs to more than this share of the users, who are then spread
+# over this many keys.
+HOT_SHARE = 0.01
+SEED_SALTS = 64
 
 
 class Recommender(ABC):
@@ -272,13 +274,21 @@ class HybridRecommender(Recommender):
 def _per_user(seeds: DataFrame, similar: DataFrame) -> DataFrame:
     """The products similar to each user's seed, from (user_id, ..., seed) and (seed, ...).
 
-    One seed may belong to most users - all unknown users share theirs - so its users are spread
-    over ``SEED_SALTS`` keys and the short list of each seed is repeated for all of them.
+    One seed may belong to most users - all unknown users share theirs. The users of such seeds are
+    spread over ``SEED_SALTS`` keys and the short lists of these seeds are repeated for all of
+    them. At most 1 / ``HOT_SHARE`` seeds are hot, which bounds the broadcast.
     """
-    salt = F.pmod(F.xxhash64("user_id"), F.lit(SEED_SALTS)).cast("int")
-    every_salt = F.explode(F.sequence(F.lit(0), F.lit(SEED_SALTS - 1)))
-    left = seeds.withColumn("_salt", salt)
-    return left.join(similar.withColumn("_salt", every_salt), ["seed", "_salt"]).drop("seed", "_salt")
+    users = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("_users"))
+    total = users.agg(F.sum("_users")).scalar()
+    hot = users.where(F.col("_users") > total * HOT_SHARE).select("seed", F.lit(True).alias("_hot"))
+    seeds = seeds.join(F.broadcast(hot), "seed", "left")
+    similar = similar.join(F.broadcast(hot), "seed", "left")
+
+    salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("user_id"), F.lit(SEED_SALTS)).cast("int"))
+    salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SEED_SALTS - 1)))
+    left = seeds.withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
+    right = similar.withColumn("_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))).drop("_hot")
+    return left.join(right, ["seed", "_salt"]).drop("seed", "_salt")
 
 
 def _save_params(spark: SparkSession, params: dict, root: str) -> None:

@@ -46,8 +46,8 @@ def test_similar_to_vector(spark, vectors, k):
 
 
 @pytest.mark.parametrize("exclude", [True, False])
-@pytest.mark.parametrize("block_rows", [1, 7, 1000])
-def test_blocks_and_broadcast_agree(spark, vectors, exclude, block_rows):
+@pytest.mark.parametrize("block_bytes", [1, 1000, 100_000])
+def test_blocks_and_broadcast_agree(spark, vectors, exclude, block_bytes):
     # equal vectors under many ids: every score is a tie
     copies = vectors.select(F.concat("product_id", F.lit("-copy")).alias("product_id"), "embedding")
     index = vectors.union(copies).withColumnRenamed("embedding", "vector")
@@ -55,7 +55,7 @@ def test_blocks_and_broadcast_agree(spark, vectors, exclude, block_rows):
         F.col("product_id").alias("query_id"), "vector", (F.length("product_id") - 1).alias("depth")
     )
     broadcast = top_matches(queries, index, exclude)
-    blocks = top_matches(queries, index, exclude, max_broadcast_bytes=0, block_rows=block_rows)
+    blocks = top_matches(queries, index, exclude, max_broadcast_bytes=0, block_bytes=block_bytes)
     assert rows(broadcast) == rows(blocks)
     depth = {r["query_id"]: r["depth"] for r in queries.collect()}
     counts = {r["query_id"]: r["count"] for r in broadcast.groupBy("query_id").count().collect()}
