@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.ml import Pipeline
 from pyspark.ml.feature import HashingTF, Normalizer, Tokenizer
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame
@@ -64,19 +63,11 @@ def embed_texts(
 
 
 def _hashed_words(texts: DataFrame, dim: int) -> DataFrame:
-    stages = Pipeline(
-        stages=[
-            Tokenizer(inputCol="text", outputCol="_words"),
-            HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim),
-            Normalizer(inputCol="_counts", outputCol="_unit", p=2.0),
-        ]
-    )
     texts = texts.select(F.col("product_id").cast("string"), "text")
-    return (
-        stages.fit(texts)
-        .transform(texts)
-        .select("product_id", vector_to_array("_unit", "float32").alias("embedding"))
-    )
+    words = Tokenizer(inputCol="text", outputCol="_words").transform(texts)
+    counts = HashingTF(inputCol="_words", outputCol="_counts", numFeatures=dim).transform(words)
+    unit = Normalizer(inputCol="_counts", outputCol="_unit", p=2.0).transform(counts)
+    return unit.select("product_id", vector_to_array("_unit", "float32").alias("embedding"))
 
 
 def embed_products(

@@ -225,6 +225,7 @@ class HybridRecommender(Recommender):
         The model is asked once per user and the index once per distinct seed, at the largest
         depth needed; each list is then cut to its own depth before anything is fused.
         """
+        wanted = materialize(wanted, "wanted")
         depth = F.max("top_k") * CANDIDATE_FACTOR
         users = wanted.groupBy("user_id").agg(depth.alias("depth"))
         cf = materialize(self.cf.recommend(users, "depth"), "cf-candidates")
@@ -233,8 +234,8 @@ class HybridRecommender(Recommender):
         similar = self._index.similar_products(asked, "depth").withColumnRenamed("query_id", "seed")
         deep_enough = F.col("rank") <= F.col("top_k") * CANDIDATE_FACTOR
         cf = wanted.join(cf, "user_id").where(deep_enough)
-        semantic = _per_user(wanted.join(seeds, "user_id"), similar).where(deep_enough)
-        return cf, semantic
+        semantic = _join_by_seed(wanted.join(seeds, "user_id"), similar, hot_seeds(seeds))
+        return cf, semantic.where(deep_enough)
 
     def tuning_scores(
         self, ratings: DataFrame, alphas: Sequence[float] = ALPHA_GRID, k: int = CUT_OFF
@@ -271,24 +272,26 @@ class HybridRecommender(Recommender):
         return cls(cf, vectors, **_load_params(spark, root))
 
 
-def _per_user(seeds: DataFrame, similar: DataFrame) -> DataFrame:
-    """The products similar to each user's seed, from (user_id, ..., seed) and (seed, ...).
+def hot_seeds(seeds: DataFrame) -> DataFrame:
+    """The seeds that belong to more than ``HOT_SHARE`` of the users: at most 1 / HOT_SHARE."""
+    users = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))
+    return users.where(F.col("n") > users.agg(F.sum("n")).scalar() * HOT_SHARE).select("seed")
 
-    One seed may belong to most users - all unknown users share theirs. The users of such seeds are
-    spread over ``SEED_SALTS`` keys and the short lists of these seeds are repeated for all of
-    them. At most 1 / ``HOT_SHARE`` seeds are hot, which bounds the broadcast.
-    """
-    users = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("_users"))
-    total = users.agg(F.sum("_users")).scalar()
-    hot = users.where(F.col("_users") > total * HOT_SHARE).select("seed", F.lit(True).alias("_hot"))
-    seeds = seeds.join(F.broadcast(hot), "seed", "left")
-    similar = similar.join(F.broadcast(hot), "seed", "left")
 
+def _join_by_seed(lists: DataFrame, similar: DataFrame, hot: DataFrame) -> DataFrame:
+    """The products similar to the seed of each list, from (user_id, ..., seed) and (seed, ...).
+
+    One seed may belong to most users - all unknown users share theirs. The lists of hot seeds are
+    spread over ``SEED_SALTS`` keys and the similar products repeated for all of them.
+    """
+    hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("user_id"), F.lit(SEED_SALTS)).cast("int"))
     salts = F.when(F.col("_hot"), F.sequence(F.lit(0), F.lit(SEED_SALTS - 1)))
-    left = seeds.withColumn("_salt", F.coalesce(salt, F.lit(0))).drop("_hot")
-    right = similar.withColumn("_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))).drop("_hot")
-    return left.join(right, ["seed", "_salt"]).drop("seed", "_salt")
+    left = lists.join(hot, "seed", "left").withColumn("_salt", F.coalesce(salt, F.lit(0)))
+    right = similar.join(hot, "seed", "left").withColumn(
+        "_salt", F.explode(F.coalesce(salts, F.array(F.lit(0))))
+    )
+    return left.drop("_hot").join(right.drop("_hot"), ["seed", "_salt"]).drop("seed", "_salt")
 
 
 def _save_params(spark: SparkSession, params: dict, root: str) -> None:

@@ -4,6 +4,7 @@ from conftest import rows, unit_vectors
 from pyspark.sql import functions as F
 
 from tallyrec.operators import factor
+from tallyrec.plans import recommend
 from tallyrec.plans.recommend import HybridRecommender, SvdRecommender
 from tallyrec.plans.serve import recommend_batch, rejected
 
@@ -148,6 +149,15 @@ def test_hybrid_lists(spark, hybrid, user):
     assert [(r["product_id"], r["score"]) for r in found] == fuse_by_hand(hybrid, user, 5, spark)
 
 
+def test_hot_seeds_give_the_same_lists(spark, hybrid, users, monkeypatch):
+    # all unknown users share the seed of the most popular product
+    visitors = spark.range(60).select(F.concat(F.lit("v"), "id").alias("user_id"))
+    wanted = users.union(visitors)
+    salted = rows(hybrid.recommend(wanted, 4))
+    monkeypatch.setattr(recommend, "HOT_SHARE", 2.0)
+    assert rows(hybrid.recommend(wanted, 4)) == salted
+
+
 def test_rank_fusion_strategy(spark, model, hybrid, users):
     other = HybridRecommender(model, hybrid.vectors, strategy="rank_fusion")
     top = other.recommend(users, 3)
