@@ -6,6 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tallyrec.llm.pivots import vector_duplicates
+from tallyrec.llm.search import top_products
 from tallyrec.llm.simhash import simhash_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -31,3 +33,57 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 @query()
 def op1_simhash_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash_duplicates(table(spark, sf_dir, "documents"))
+
+
+VECTOR_DUPLICATES_SQL = """
+with recursive usable as (
+    select vec_id, label, cast(embedding as double[]) as v from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+      and len(list_filter(embedding, lambda x: x <> 0)) > 0
+),
+links as (
+    select a.vec_id as a, b.vec_id as b from usable a join usable b
+    on a.label = b.label and len(a.v) = len(b.v) and a.vec_id <> b.vec_id
+    where list_cosine_similarity(a.v, b.v) >= 0.93
+),
+reached as (
+    select vec_id, vec_id as other from embeddings
+    union
+    select reached.vec_id, links.b from reached join links on reached.other = links.a
+),
+least as (select vec_id, min(other) as component_id from reached group by vec_id)
+select vec_id, (select count(*) from links where links.a = least.vec_id) as n_links, component_id,
+       vec_id = component_id as kept
+from least
+"""
+
+
+@query(VECTOR_DUPLICATES_SQL)
+def op2_vector_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+TOP_PRODUCTS_SQL = """
+with usable as (
+    select vec_id, list_transform(embedding, lambda x: floor(64 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select q.vec_id as query_id, r.vec_id, cast(list_inner_product(q.v, r.v) as bigint) as score
+    from usable q join usable r on q.vec_id <> r.vec_id and len(q.v) = len(r.v)
+    where q.vec_id % 20 = 0
+)
+select query_id, cast(rank as integer) as rank, vec_id, score from (
+    select *, row_number() over (partition by query_id order by score desc, vec_id) as rank
+    from scored)
+where rank <= 20
+"""
+
+
+@query(TOP_PRODUCTS_SQL)
+def op3_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    return top_products(rows, rows.where("vec_id % 20 = 0"))
