@@ -5,9 +5,12 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from tallyrec.llm.mixing import mix_sources
 from tallyrec.llm.pivots import vector_duplicates
 from tallyrec.llm.search import top_products
+from tallyrec.llm.sharding import assign_shards
 from tallyrec.llm.simhash import simhash_duplicates
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -87,3 +90,15 @@ where rank <= 20
 def op3_top_products(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "embeddings")
     return top_products(rows, rows.where("vec_id % 20 = 0"))
+
+
+@query()
+def op4_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return assign_shards(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, piece: n + piece["n_words"])
+    mix = mix_sources(table(spark, sf_dir, "documents"))
+    return mix.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
