@@ -12,6 +12,7 @@ from tallyrec.llm.pivots import vector_duplicates
 from tallyrec.llm.search import top_products
 from tallyrec.llm.sharding import assign_shards
 from tallyrec.llm.simhash import simhash_duplicates
+from tallyrec.llm.substrings import remove_repeats
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -102,3 +103,9 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, piece: n + piece["n_words"])
     mix = mix_sources(table(spark, sf_dir, "documents"))
     return mix.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
+
+
+@query()
+def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = remove_repeats(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
