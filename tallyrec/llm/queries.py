@@ -4,9 +4,11 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyrec.llm.bpe import token_digests
 from tallyrec.llm.mixing import mix_sources
 from tallyrec.llm.pivots import vector_duplicates
 from tallyrec.llm.search import top_products
@@ -109,3 +111,9 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = remove_repeats(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
+@query()
+def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
+    return token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
