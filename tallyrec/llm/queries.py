@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrec.llm.bpe import token_digests
+from tallyrec.llm.language import language_predictions
 from tallyrec.llm.mixing import mix_sources
 from tallyrec.llm.pivots import vector_duplicates
 from tallyrec.llm.search import top_products
@@ -117,3 +118,8 @@ def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
     return token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
+@query()
+def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_predictions(table(spark, sf_dir, "documents"))
