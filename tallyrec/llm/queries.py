@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrec.llm.bpe import token_digests
+from tallyrec.llm.html import extract_pages
 from tallyrec.llm.language import language_predictions
 from tallyrec.llm.mixing import mix_sources
 from tallyrec.llm.pivots import vector_duplicates
@@ -123,3 +124,8 @@ def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
     return language_predictions(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_pages(table(spark, sf_dir, "pages"))
