@@ -13,6 +13,7 @@ from tallyrec.llm.html import extract_pages
 from tallyrec.llm.language import language_predictions
 from tallyrec.llm.mixing import mix_sources
 from tallyrec.llm.pivots import vector_duplicates
+from tallyrec.llm.quoting import link_quotations
 from tallyrec.llm.search import top_products
 from tallyrec.llm.sharding import assign_shards
 from tallyrec.llm.simhash import simhash_duplicates
@@ -129,3 +130,84 @@ def op9_language_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op7_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extract_pages(table(spark, sf_dir, "pages"))
+
+
+QUOTATIONS_SQL = r"""
+with recursive split as (
+    select conv_id, turn, role, text,
+           regexp_split_to_array(coalesce(text, ''), '\r\n|\r|\n') as parts
+    from conversations
+),
+numbered as (
+    select conv_id, turn, unnest(parts) as line, generate_subscripts(parts, 1) as i from split
+),
+levelled as (
+    select conv_id, turn, i,
+           length(replace(replace(regexp_extract(line, '^((?:[ \t]*>)+)', 1), ' ', ''), '\t', '')) as level,
+           regexp_replace(line, '^(?:[ \t]*>)+[ \t]?', '') as content
+    from numbered
+),
+announced as (
+    select *, trim(content) = '' as empty,
+           coalesce(lead(level) over message > level, false) and regexp_matches(content,
+               '(?i)^(on|am|le|el)\s.*(wrote|schrieb.*|écrit|escribió)\s*:\s*$') as announces
+    from levelled window message as (partition by conv_id, turn order by i)
+),
+runs as (
+    select *, i - row_number() over (partition by conv_id, turn, level order by i) as run
+    from announced where not empty and not announces
+),
+passages as (
+    select conv_id, turn, level, run, list(content order by i) as own
+    from runs group by conv_id, turn, level, run
+),
+said as (
+    select conv_id, turn, level, run,
+           unnest(list_distinct(list_transform(list_prepend(array_to_string(own, ' '), own),
+               lambda s: lower(trim(regexp_replace(s, '\s+', ' ', 'g')))))) as unit
+    from passages
+),
+units as (select * from said where len(string_split(unit, ' ')) >= 2),
+originals as (
+    select conv_id, unit, min(turn) as original from units where level = 0 group by conv_id, unit
+),
+linked as (
+    select q.conv_id, q.turn, q.level, q.run, o.original
+    from units q join originals o using (conv_id, unit) where q.level > 0 and o.original < q.turn
+),
+links as (
+    select conv_id, turn, arg_max(original, (-level, original)) as reply_to,
+           count(distinct (level, run)) as n_linked
+    from linked group by conv_id, turn
+),
+threads as (
+    select conv_id, turn, reply_to as thread, 1 as depth from links
+    union all
+    select t.conv_id, t.turn, l.reply_to, t.depth + 1
+    from threads t join links l on l.conv_id = t.conv_id and l.turn = t.thread
+),
+roots as (
+    select conv_id, turn, min(thread) as thread, max(depth) as depth from threads
+    group by conv_id, turn
+),
+quotes as (
+    select conv_id, turn, count(*) as n_quotes from passages where level > 0 group by conv_id, turn
+),
+own as (
+    select conv_id, turn, max(level) as deepest,
+           string_agg(content, chr(10) order by i) filter (where level = 0 and not announces) as text
+    from announced group by conv_id, turn
+)
+select s.conv_id, s.turn, s.role,
+       case when deepest > 0 then regexp_replace(coalesce(own.text, ''),
+           '^(?:[ \t]*\n)+|(?:\n[ \t]*)+$', '', 'g') else s.text end as text,
+       reply_to, coalesce(thread, s.turn) as thread, coalesce(depth, 0) as depth,
+       coalesce(n_quotes, 0) as n_quotes, coalesce(n_linked, 0) as n_linked
+from split s join own using (conv_id, turn) left join links using (conv_id, turn)
+left join roots using (conv_id, turn) left join quotes using (conv_id, turn)
+"""
+
+
+@query(QUOTATIONS_SQL)
+def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return link_quotations(table(spark, sf_dir, "conversations"))
