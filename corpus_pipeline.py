@@ -5,22 +5,63 @@ from __future__ import annotations
 import uuid
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyrec.llm.bpe import encode_documents
+from tallyrec.llm.language import UNKNOWN, own_model, tagged
+from tallyrec.llm.mixing import mixed_documents
 from tallyrec.llm.simhash import simhash_duplicates
+from tallyrec.llm.substrings import remove_repeats
 from tallyrec.session import shared_folder
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+RANKS = "byte_bpe_50k.tiktoken"
+
+
+def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in no language go: those without any letter."""
+    found = tagged(docs, own_model(docs), "_lang_pred", "_score")
+    return found.where(F.col("_lang_pred") != UNKNOWN).select(*docs.columns)
+
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
-    kept = simhash_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept"))
-    return docs.join(kept, docs["doc_id"].eqNullSafe(kept["_kept"]), "left_semi")
+    others = simhash_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    return docs.join(others, docs["doc_id"].eqNullSafe(others["_gone"]), "left_anti")
+
+
+def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Passages that start earlier go; a document without any stays as it is."""
+    carry = [name for name in docs.columns if name not in ("doc_id", "text")]
+    found = remove_repeats(docs, carry)
+    text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
+    found = found.withColumn("text", text)
+    kind = docs.schema["n_chars"].dataType
+    return found.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+
+
+def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their source takes them."""
+    return mixed_documents(docs)
+
+
+def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The token ids of every document, and a digest of the text decoded from them."""
+    columns = ("n_tokens", "ids", "decoded_sha256")
+    ranks = public_tokenizers.path(RANKS)
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, columns)
 
 
-STAGES: list[tuple[str, Stage]] = [("simhash near-dedup", near_duplicates)]
+STAGES: list[tuple[str, Stage]] = [
+    ("language ID", known_languages),
+    ("simhash near-dedup", near_duplicates),
+    ("substring dedup", repeated_passages),
+    ("mixing to target weights", mixture),
+    ("byte-level BPE", tokens),
+]
 
 # The language model, fingerprints, difference-cover windows and byte pairs have no SQL form.
 ORACLE_SQL = None

@@ -14,7 +14,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import tempfile
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import duckdb
 import numpy as np
@@ -254,37 +254,48 @@ def _codec(ranks: Broadcast, pattern: str) -> Codec:
     return _CODECS[name + pattern]
 
 
-def _encoder(ranks: Broadcast, pattern: str, digests: bool) -> Callable:
+# what each result column is made of: a document's ids and decoded bytes
+_COLUMNS = {
+    "n_tokens": (pa.int64(), lambda ids, decoded: len(ids) // 4),
+    "ids": (pa.list_(pa.int32()), lambda ids, decoded: np.frombuffer(ids, "<i4")),
+    "decoded": (pa.binary(), lambda ids, decoded: decoded),
+    "ids_sha256": (pa.string(), lambda ids, decoded: hashlib.sha256(ids).hexdigest()),
+    "decoded_sha256": (pa.string(), lambda ids, decoded: hashlib.sha256(decoded).hexdigest()),
+}
+_KINDS = {
+    "n_tokens": "long",
+    "ids": "array<int>",
+    "decoded": "binary",
+    "ids_sha256": "string",
+    "decoded_sha256": "string",
+}
+
+
+def _encoder(ranks: Broadcast, pattern: str, columns: Sequence[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
         for batch in slices(batches, "text"):
-            found = list(codec.encode([t.decode() for t in texts(batch, "text")]))
-            counts = pa.array([len(ids) // 4 for ids, _ in found], pa.int64())
-            if digests:
-                shown = [
-                    pa.array([hashlib.sha256(f[i]).hexdigest() for f in found], pa.string())
-                    for i in (0, 1)
-                ]
-                names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            else:
-                tokens = [np.frombuffer(ids, "<u4").astype(np.int32) for ids, _ in found]
-                shown = [pa.array(tokens, pa.list_(pa.int32()))]
-                shown.append(pa.array([text for _, text in found], pa.binary()))
-                names = ["doc_id", "n_tokens", "ids", "decoded"]
-            yield pa.record_batch([batch.column("doc_id"), counts, *shown], names)
+            values: list[list] = [[] for _ in columns]
+            for found in codec.encode([t.decode() for t in texts(batch, "text")]):
+                for own, name in zip(values, columns, strict=True):
+                    own.append(_COLUMNS[name][1](*found))
+            arrays = [pa.array(v, _COLUMNS[n][0]) for v, n in zip(values, columns, strict=True)]
+            yield pa.record_batch([batch.column("doc_id"), *arrays], ["doc_id", *columns])
 
     return run
 
 
-def _run(docs: DataFrame, ranks_path: str, pattern: str, digests: bool, schema: str) -> DataFrame:
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    # a vocabulary has some ten thousand tokens, whatever the corpus
-    ranks = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), ranks_path))
-    return slim.mapInArrow(_encoder(ranks, pattern, digests), schema)
+def encode_documents(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    columns: Sequence[str] = ("n_tokens", "ids", "decoded"),
+) -> DataFrame:
+    """The tokens of every document, and the text decoded from them.
 
-
-def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """``doc_id``, ``n_tokens``, ``ids`` and ``decoded`` (the bytes of the ids) of every document.
+    Returns ``doc_id`` and the named ``columns``: ``n_tokens``, ``ids``, ``decoded`` (the bytes of the
+    ids), ``ids_sha256`` (of the ids as little-endian unsigned 32-bit integers) and
+    ``decoded_sha256``, both in lower-case hexadecimal.
 
     ``ranks_path`` names a file of ranks that holds all 256 bytes; ``pattern`` cuts a text into pieces,
     each encoded by itself, and must let a space stand only at the start of a piece or among
@@ -292,15 +303,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str) -> DataFram
     has no tokens. Null and repeated ids are kept as they are, other columns ignored; an
     empty table gives an empty result.
     """
-    schema = "doc_id long, n_tokens long, ids array<int>, decoded binary"
-    return _run(docs, ranks_path, pattern, False, schema)
-
-
-def token_digests(docs: DataFrame, ranks_path: str, pattern: str) -> DataFrame:
-    """As :func:`encode_documents`, with the SHA-256 of the ids (little-endian unsigned 32-bit) and
-    of the decoded bytes instead: ``doc_id``, ``n_tokens``, ``ids_sha256``, ``decoded_sha256``."""
-    schema = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
-    return _run(docs, ranks_path, pattern, True, schema)
+    slim = docs.select(
+        F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")
+    )
+    # a vocabulary has some ten thousand tokens, whatever the corpus
+    ranks = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), ranks_path))
+    schema = ", ".join(["doc_id long", *(f"{name} {_KINDS[name]}" for name in columns)])
+    return slim.mapInArrow(_encoder(ranks, pattern, tuple(columns)), schema)
 
 
 def _decoder(ranks: Broadcast) -> Callable:

@@ -19,6 +19,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyrec.llm.batches import slices, texts
 
@@ -250,13 +251,15 @@ def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Mode
 _SPANS = "array<struct<first_word:int,n_words:int,lang:string>>"
 
 
-def _predictor(model: Model, spans: bool) -> Callable:
+def _predictor(
+    model: Model, spans: bool, lang: str = "lang_pred", score: str = "score"
+) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "text", size=4 << 20):
             some = [t.decode() for t in texts(batch, "text")]
             found, scores, runs = _predict(model, some, spans)
             columns = [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
-            names = [*batch.schema.names, "lang_pred", "score"]
+            names = [*batch.schema.names, lang, score]
             if spans:
                 kind = pa.struct(
                     [("first_word", pa.int32()), ("n_words", pa.int32()), ("lang", pa.string())]
@@ -322,7 +325,19 @@ def identify(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     return slim.mapInArrow(_predictor(model, spans), schema).drop("text")
 
 
-def language_predictions(docs: DataFrame, spans: bool = False) -> DataFrame:
-    """:func:`identify` with a model of the documents of ``docs`` that are not held out."""
+def tagged(docs: DataFrame, model: Model, lang: str, score: str) -> DataFrame:
+    """``docs`` with two more columns, named ``lang`` and ``score``: what :func:`identify` finds."""
+    more = [T.StructField(lang, T.StringType()), T.StructField(score, T.DoubleType())]
+    kind = T.StructType([*docs.schema.fields, *more])
+    return docs.mapInArrow(_predictor(model, False, lang, score), kind)
+
+
+def own_model(docs: DataFrame) -> Model:
+    """A model of the documents of ``docs`` that are not held out."""
     learned = docs.where(F.col("doc_id").isNotNull() & ~is_held_out(F.col("doc_id")))
-    return identify(docs, fit(learned.select("lang", "text")), spans)
+    return fit(learned.select("lang", "text"))
+
+
+def language_predictions(docs: DataFrame, spans: bool = False) -> DataFrame:
+    """:func:`identify` with the documents' :func:`own_model`."""
+    return identify(docs, own_model(docs), spans)

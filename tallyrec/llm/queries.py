@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tallyrec.llm.bpe import token_digests
+from tallyrec.llm.bpe import encode_documents
 from tallyrec.llm.html import extract_pages
 from tallyrec.llm.language import language_predictions
 from tallyrec.llm.mixing import mix_sources
@@ -119,7 +119,9 @@ def op10_remove_repeats(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query()
 def op8_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     ranks = public_tokenizers.path("byte_bpe_50k.tiktoken")
-    return token_digests(table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+    digests = ("n_tokens", "ids_sha256", "decoded_sha256")
+    docs = table(spark, sf_dir, "documents")
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, digests)
 
 
 @query()

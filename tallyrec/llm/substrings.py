@@ -17,7 +17,7 @@ settled by the hashes of the texts alone and send no windows.
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -325,11 +325,11 @@ def covered_words(starts: np.ndarray, n_words: int) -> np.ndarray:
     return np.cumsum(ends)[:n_words] > 0
 
 
-_RESULT = "doc_id long, text string, n_words long, n_removed long, kept_text string, kept_sha256 string"
+_RESULT = "text string, n_words long, n_removed long, kept_text string, kept_sha256 string"
+_RESULT_NAMES = [field.split()[0] for field in _RESULT.split(", ")]
 
 
 def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    names = [field.split()[0] for field in _RESULT.split(", ")]
     for batch in slices(batches, "text"):
         n_words, n_removed, kept, digests = [], [], [], []
         marks = zip(batch.column("places").to_pylist(), batch.column("is_copy").to_pylist(), strict=True)
@@ -348,25 +348,26 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             digests.append(hashlib.sha256(joined).hexdigest())
         yield pa.record_batch(
             [
-                batch.column("doc_id"),
+                batch.column("row"),
                 batch.column("text"),
                 pa.array(n_words, pa.int64()),
                 pa.array(n_removed, pa.int64()),
                 pa.array(kept, pa.binary()).cast(pa.string()),
                 pa.array(digests, pa.string()),
             ],
-            names,
+            ["row", *_RESULT_NAMES],
         )
 
 
-def remove_repeats(docs: DataFrame) -> DataFrame:
+def remove_repeats(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     """Every document without the words that an earlier passage already has.
 
     Words are runs of other characters than ASCII white space. A word is removed when it lies in a
     window of ``WINDOW`` words whose sequence also starts earlier: in a document with a smaller
     ``doc_id``, or earlier in the same one. Windows are judged on the input. Returns ``doc_id``,
     ``text``, ``n_words``, ``n_removed``, ``kept_text`` (the kept words joined by single spaces) and
-    ``kept_sha256`` (of its UTF-8 bytes, lower-case hexadecimal), one row per row of ``docs``.
+    ``kept_sha256`` (of its UTF-8 bytes, lower-case hexadecimal) after ``doc_id`` and the columns named
+    in ``carry``, one row per row of ``docs``.
 
     Null and empty texts have no words. A null ``doc_id`` comes before all others. Rows that
     repeat a ``doc_id`` count as starting in one document: equal windows at the same place of two such
@@ -376,8 +377,9 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     spark = docs.sparkSession
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     doc_id = F.col("doc_id").cast("long")
+    carried = [F.col(name).alias(f"_{i}") for i, name in enumerate(carry)]
     rows = docs.select(
-        doc_id.alias("doc_id"),
+        F.struct(doc_id.alias("doc_id"), *carried).alias("row"),
         F.coalesce(doc_id, F.lit(-(2**63))).alias("key"),
         F.xxhash64(text).alias("hash"),
         F.col("text").cast("string").alias("text"),
@@ -412,7 +414,14 @@ def remove_repeats(docs: DataFrame) -> DataFrame:
     repeats = repeats.groupBy("batch").applyInArrow(_repeat_marks, _BY_DOCUMENT)
     gone = _one_each(repeats.withColumn("is_copy", F.lit(False)).unionByName(copies))
     joined = dealt.join(gone, ["key", "hash"], "left")
-    return joined.select("doc_id", "text", "places", "is_copy").mapInArrow(_remove, _RESULT)
+    joined = joined.select("row", "key", "hash", "text", "places", "is_copy")
+    kind = rows.schema["row"].dataType.simpleString()
+    found = joined.mapInArrow(_remove, f"row {kind}, {_RESULT}")
+    return found.select(
+        "row.doc_id",
+        *[F.col("row")[f"_{i}"].alias(name) for i, name in enumerate(carry)],
+        *_RESULT_NAMES,
+    )
 
 
 def _one_each(marks: DataFrame) -> DataFrame:
