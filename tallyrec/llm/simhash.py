@@ -73,7 +73,10 @@ def near_pairs(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFra
     """All pairs ``a < b`` of the distinct ``fingerprint`` values that differ in few bits."""
     if not 0 <= max_distance <= MAX_DISTANCE:
         raise ValueError(f"max_distance must be between 0 and {MAX_DISTANCE}")
-    stamped = distinct.select("fingerprint", F.inline(_stamps(F.col("fingerprint"))))
+    # few bytes come in and many rows go out: spread them before they multiply
+    n_parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = distinct.repartition(n_parts)
+    stamped = spread.select("fingerprint", F.inline(_stamps(F.col("fingerprint"))))
     left, right = stamped.alias("l"), stamped.alias("r")
     i, j = F.col("l.step"), F.col("r.step")
     one_cell = (i == 0) | (
