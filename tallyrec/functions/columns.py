@@ -13,6 +13,9 @@ MAX_UNIX_SECONDS = 9223372036
 
 SECONDS_PER_DAY = 86400
 
+# Timestamps per second, by unit.
+TIME_UNITS = {"s": 1, "ms": 1000}
+
 
 def to_number(df: DataFrame, name: str) -> Column:
     """``name`` as double; values that are not numbers become null instead of failing."""
@@ -40,16 +43,23 @@ def to_whole_number(df: DataFrame, name: str) -> Column:
     return whole
 
 
-def unix_timestamp_to_time(seconds: Column) -> Column:
-    """Unix seconds as a timestamp, null outside the supported range."""
-    return F.timestamp_seconds(_in_range(seconds))
+def as_seconds(timestamp: Column, unit: str = "s") -> Column:
+    """Unix seconds from a timestamp in ``unit``: "s" or "ms". Part seconds are cut off."""
+    if unit not in TIME_UNITS:
+        raise ValueError(f"unknown unit {unit!r}, expected one of {sorted(TIME_UNITS)}")
+    return timestamp if unit == "s" else F.floor(timestamp / TIME_UNITS[unit]).cast("bigint")
+
+
+def unix_timestamp_to_time(timestamp: Column, unit: str = "s") -> Column:
+    """A Unix timestamp as a time, null outside the supported range."""
+    return F.timestamp_seconds(_in_range(as_seconds(timestamp, unit)))
 
 
-def unix_timestamp_to_month(seconds: Column) -> Column:
-    """Unix seconds as ``YYYY-MM`` in UTC, whatever the session zone is."""
+def unix_timestamp_to_month(timestamp: Column, unit: str = "s") -> Column:
+    """A Unix timestamp as ``YYYY-MM`` in UTC, whatever the session zone is."""
     day = F.date_add(
         F.lit("1970-01-01").cast("date"),
-        F.floor(_in_range(seconds) / SECONDS_PER_DAY).cast("int"),
+        F.floor(_in_range(as_seconds(timestamp, unit)) / SECONDS_PER_DAY).cast("int"),
     )
     return F.substring(day.cast("string"), 1, 7)
 
@@ -121,6 +131,6 @@ def dot(left: Column, right: Column) -> Column:
 
 
 def l2_normalize(vector: Column) -> Column:
-    """The vector scaled to length 1; a zero vector gives nulls."""
-    length = F.nullif(F.sqrt(dot(vector, vector)), F.lit(0.0))
-    return F.transform(vector, lambda x: x / length)
+    """The vector scaled to length 1; a zero vector stays zero."""
+    length = F.sqrt(dot(vector, vector))
+    return F.transform(vector, lambda x: F.when(length == 0, F.lit(0.0)).otherwise(x / length))

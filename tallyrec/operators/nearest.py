@@ -7,15 +7,14 @@ the tasks and only the best matches of each query leave a task.
 from __future__ import annotations
 
 import math
-from collections.abc import Callable
+from functools import reduce
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# An index up to this size is broadcast to the executors; a larger one is multiplied block by block.
-MAX_BROADCAST_BYTES = 512 << 20
+from tallyrec.session import materialize
 
-# Size of a block of the index, and of the chunks of queries, when the index is not broadcast.
+# Size of a block of the index. One block at a time is broadcast and held by a task.
 BLOCK_BYTES = 64 << 20
 
 # Scores held in memory at a time, as a number of matrix cells.
@@ -25,8 +24,9 @@ CELLS_PER_STEP = 1 << 23
 # on how its rows are batched; without rounding, so would the order of equal scores.
 SCORE_DIGITS = 9
 
-MATCH_SCHEMA = (
-    "query_id string, product_id string, score double, rank int, low double, high double"
+BLOCK_SCHEMA = (
+    "query_id string, depth int, low double, high double, "
+    "matches array<struct<loss:double,product_id:string>>"
 )
 
 
@@ -34,38 +34,67 @@ def top_matches(
     queries: DataFrame,
     index: DataFrame,
     exclude_self: bool = False,
-    max_broadcast_bytes: int = MAX_BROADCAST_BYTES,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """The ``depth`` best products for every query, by inner product, ties by product id.
 
     ``queries`` is (query_id, vector, depth) and ``index`` (product_id, vector), both with unique
     ids. ``exclude_self`` leaves out the product whose id equals the query id. ``low`` and ``high``
-    are the smallest and largest score of the query over the whole index. The result does not
-    depend on the route: one broadcast, or blocks.
-    """
-    queries = queries.select(
-        F.col("query_id").cast("string"),
-        F.col("vector").cast("array<double>"),
-        F.col("depth").cast("int"),
-    ).where("vector is not null")
-    index = index.select(
-        F.col("product_id").cast("string"), F.col("vector").cast("array<double>")
-    ).where("vector is not null")
+    are the smallest and largest score of the query over the whole index. Vectors that are null or
+    hold a null or NaN take no part; vectors of different lengths are an error.
 
+    The index is cut into blocks of at most ``block_bytes``. Queries stay where they are and meet
+    one block after the other; each leaves one row per query, with its best products in the block.
+    """
+    queries = _usable(queries, "query_id", F.col("depth").cast("int").alias("depth"))
+    index = _usable(index, "product_id")
     size = index.agg(
         F.count(F.lit(1)).alias("rows"),
         F.coalesce(F.sum(F.size("vector") * 8 + F.length("product_id") + 8), F.lit(0)).alias("bytes"),
+        F.min(F.size("vector")).alias("shortest"),
+        F.max(F.size("vector")).alias("longest"),
     ).first()
-    match = _matcher(exclude_self)
-    if size["bytes"] <= max_broadcast_bytes:
-        return _match_broadcast(queries, index, match)
-    block_rows = max(1, block_bytes * size["rows"] // size["bytes"])
-    return _match_blocks(queries, index, match, math.ceil(size["rows"] / block_rows), block_rows)
+    if size["shortest"] != size["longest"]:
+        raise ValueError(
+            f"the vectors of the index have between {size['shortest']} and {size['longest']} elements"
+        )
+    n_blocks = max(1, math.ceil(size["bytes"] / block_bytes))
+    if n_blocks > 1:
+        index, queries = materialize(index, "index"), materialize(queries, "queries")
+    number = F.pmod(F.xxhash64("product_id"), F.lit(n_blocks))
+    blocks = [index.where(number == i) if n_blocks > 1 else index for i in range(n_blocks)]
+    found = reduce(DataFrame.union, [_match_block(queries, b, exclude_self) for b in blocks])
+    if n_blocks > 1:
+        # at most n_blocks * depth products per query
+        best = F.array_sort(F.flatten(F.collect_list("matches")))
+        found = found.groupBy("query_id").agg(
+            F.min("low").alias("low"),
+            F.max("high").alias("high"),
+            F.slice(best, 1, F.max("depth")).alias("matches"),
+        )
+    return found.select(
+        "query_id", "low", "high", F.posexplode("matches").alias("position", "match")
+    ).select(
+        "query_id",
+        "match.product_id",
+        (-F.col("match.loss")).alias("score"),
+        (F.col("position") + 1).alias("rank"),
+        "low",
+        "high",
+    )
+
 
+def _usable(df: DataFrame, key: str, *more: Column) -> DataFrame:
+    vector = F.col("vector").cast("array<double>")
+    some = df.select(F.col(key).cast("string").alias(key), vector.alias("vector"), *more)
+    return some.where(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x)))
 
-def _match_broadcast(queries: DataFrame, index: DataFrame, match: Callable) -> DataFrame:
-    payload = queries.sparkSession.sparkContext.broadcast(index.toArrow())
+
+def _match_block(queries: DataFrame, block: DataFrame, exclude_self: bool) -> DataFrame:
+    match = _matcher(exclude_self)
+    payload = queries.sparkSession.sparkContext.broadcast(
+        block.toArrow().combine_chunks().sort_by("product_id")
+    )
 
     def run(batches):
         products = None
@@ -74,47 +103,7 @@ def _match_broadcast(queries: DataFrame, index: DataFrame, match: Callable) -> D
                 products = match.prepare(payload.value)
             yield from match.best(products, batch)
 
-    return queries.mapInArrow(run, MATCH_SCHEMA)
-
-
-def _match_blocks(
-    queries: DataFrame, index: DataFrame, match: Callable, n_blocks: int, block_rows: int
-) -> DataFrame:
-    """Every chunk of queries meets every block of the index in a task of its own."""
-    import pyarrow as pa
-
-    n_chunks = max(1, math.ceil(queries.count() / block_rows))
-    chunked = queries.withColumn("chunk", F.pmod(F.xxhash64("query_id"), F.lit(n_chunks)))
-    chunked = chunked.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(n_blocks - 1))))
-    blocked = index.withColumn("block", F.pmod(F.xxhash64("product_id"), F.lit(n_blocks)))
-    blocked = blocked.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.lit(n_chunks - 1))))
-
-    def run(left, right):
-        if not left.num_rows or not right.num_rows:
-            return match.nothing()
-        products = match.prepare(right.select(["product_id", "vector"]))
-        batches = left.select(["query_id", "vector", "depth"]).combine_chunks().to_batches()
-        return pa.Table.from_batches(
-            [part for batch in batches for part in match.best(products, batch)],
-            schema=match.schema,
-        )
-
-    partial = (
-        chunked.groupBy("chunk", F.col("block").cast("long"))
-        .cogroup(blocked.groupBy(F.col("chunk").cast("long"), "block"))
-        .applyInArrow(run, MATCH_SCHEMA)
-    )
-    # at most n_blocks * depth rows per query are left here
-    order = Window.partitionBy("query_id").orderBy(F.col("score").desc(), F.col("product_id"))
-    whole = Window.partitionBy("query_id")
-    return (
-        partial.withColumn("low", F.min("low").over(whole))
-        .withColumn("high", F.max("high").over(whole))
-        .withColumn("rank", F.row_number().over(order))
-        .join(queries.select("query_id", "depth"), "query_id")
-        .where("rank <= depth")
-        .select("query_id", "product_id", "score", "rank", "low", "high")
-    )
+    return queries.mapInArrow(run, BLOCK_SCHEMA)
 
 
 def _matcher(exclude_self: bool):
@@ -129,33 +118,21 @@ def _matcher(exclude_self: bool):
     import pyarrow as pa
     import pyarrow.compute as pc
 
-    result_schema = pa.schema(
-        [
-            ("query_id", pa.string()),
-            ("product_id", pa.string()),
-            ("score", pa.float64()),
-            ("rank", pa.int32()),
-            ("low", pa.float64()),
-            ("high", pa.float64()),
-        ]
-    )
+    entry = pa.struct([("loss", pa.float64()), ("product_id", pa.string())])
+    names = ["query_id", "depth", "low", "high", "matches"]
 
     def as_matrix(vectors):
         if isinstance(vectors, pa.ChunkedArray):
             vectors = vectors.combine_chunks()
+        lengths = np.diff(vectors.offsets.to_numpy())
+        if len(lengths) and lengths.min() != lengths.max():
+            raise ValueError(f"vectors have between {lengths.min()} and {lengths.max()} elements")
         return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
 
     class Matcher:
-        schema = result_schema
-
-        @staticmethod
-        def nothing():
-            return result_schema.empty_table()
-
         @staticmethod
         def prepare(table):
             """Product ids in id order, so that a smaller position wins a tie, and their vectors."""
-            table = table.combine_chunks().sort_by("product_id")
             ids = table.column("product_id").combine_chunks()
             return ids, as_matrix(table.column("vector")) if len(ids) else None
 
@@ -167,11 +144,15 @@ def _matcher(exclude_self: bool):
                 return
             query_ids = batch.column("query_id")
             vectors = as_matrix(batch.column("vector"))
-            depths = np.minimum(batch.column("depth").to_numpy(zero_copy_only=False), n)
+            if vectors.shape[1] != matrix.shape[1]:
+                raise ValueError(
+                    f"a query has {vectors.shape[1]} elements, the index {matrix.shape[1]}"
+                )
+            depths = batch.column("depth").to_numpy(zero_copy_only=False)
             step = max(1, cells_per_step // n)
             for start in range(0, batch.num_rows, step):
                 part = slice(start, start + step)
-                wanted = depths[part]
+                wanted = np.minimum(depths[part], n)
                 scores = vectors[part] @ matrix.T
                 scale = 10.0**digits
                 scores = np.floor(scores * scale + 0.5) / scale
@@ -181,9 +162,7 @@ def _matcher(exclude_self: bool):
                     own = own.fill_null(-1).to_numpy(zero_copy_only=False)
                     rows = np.flatnonzero(own >= 0)
                     scores[rows, own[rows]] = -np.inf
-                k = int(wanted.max())
-                if k < 1:
-                    continue
+                k = max(int(wanted.max()), 1)
                 # everything that reaches the k-th best score, ties included
                 bar = np.partition(scores, n - k, axis=1)[:, n - k]
                 row, position = np.nonzero((scores >= bar[:, None]) & np.isfinite(scores))
@@ -192,17 +171,21 @@ def _matcher(exclude_self: bool):
                 row, position, score = row[order], position[order], score[order]
                 rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
                 keep = rank <= wanted[row]
-                row, position = row[keep], position[keep]
+                row, position, score = row[keep], position[keep], score[keep]
+                ends = np.searchsorted(row, np.arange(len(wanted) + 1)).astype(np.int32)
+                best = pa.StructArray.from_arrays(
+                    [pa.array(-score), ids.take(pa.array(position)).cast(pa.string())],
+                    fields=list(entry),
+                )
                 yield pa.RecordBatch.from_arrays(
                     [
-                        query_ids.take(pa.array(row + start)).cast(pa.string()),
-                        ids.take(pa.array(position)).cast(pa.string()),
-                        pa.array(score[keep]),
-                        pa.array(rank[keep].astype(np.int32)),
-                        pa.array(low[row]),
-                        pa.array(high[row]),
+                        query_ids[part].cast(pa.string()),
+                        batch.column("depth")[part],
+                        pa.array(low),
+                        pa.array(high),
+                        pa.ListArray.from_arrays(pa.array(ends), best),
                     ],
-                    schema=result_schema,
+                    names,
                 )
 
     return Matcher

@@ -45,16 +45,23 @@ def embed_texts(
         return _hashed_words(texts, dim)
 
     def encode(batches):
-        import pandas as pd
+        import numpy as np
+        import pyarrow as pa
 
         encoder = load_encoder()
         for batch in batches:
-            for start in range(0, len(batch), batch_size):
-                part = batch.iloc[start : start + batch_size]
-                vectors = [[float(x) for x in v] for v in encoder(part["text"].tolist())]
-                yield pd.DataFrame({"product_id": part["product_id"].values, "vector": vectors})
-
-    raw = texts.select(F.col("product_id").cast("string"), "text").mapInPandas(
+            for start in range(0, batch.num_rows, batch_size):
+                part = batch.slice(start, batch_size)
+                vectors = np.asarray(encoder(part.column("text").to_pylist()), dtype=np.float64)
+                nested = pa.FixedSizeListArray.from_arrays(
+                    pa.array(vectors.ravel()), vectors.shape[1]
+                )
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("product_id"), nested.cast(pa.list_(pa.float64()))],
+                    names=["product_id", "vector"],
+                )
+
+    raw = texts.select(F.col("product_id").cast("string"), "text").mapInArrow(
         encode, "product_id string, vector array<double>"
     )
     return raw.select(
@@ -79,8 +86,8 @@ def embed_products(
     return embed_texts(product_texts(products), load_encoder, batch_size)
 
 
-def unique_vectors(vectors: DataFrame, order_by: Sequence = ("embedding",)) -> DataFrame:
-    """One vector per product: the first by ``order_by``."""
+def unique_vectors(vectors: DataFrame, order_by: Sequence) -> DataFrame:
+    """One vector per product: the first by ``order_by``, which says what came first."""
     return remove_duplicates(vectors, ["product_id"], list(order_by))
 
 
