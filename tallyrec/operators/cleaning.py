@@ -2,12 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping, Sequence
+from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrec.functions.columns import to_number
@@ -15,14 +14,8 @@ from tallyrec.session import materialize
 
 KEY_COLUMNS = ("user_id", "product_id")
 
-# The cold-start loop writes its pair table again once this share of the rows has gone since the
-# last time, or this many ids. Until then each pass reads the last written table and skips the few
-# ids removed since, which are small enough to broadcast.
-REWRITE_SHARE = 0.2
-REWRITE_IDS = 200_000
-
-# Up to this many ids per half pass travel through the driver; more are written to the shared folder.
-LOCAL_IDS = 10_000
+# Tables of pairs that fell out are put together in one once there are so many of a key.
+MAX_PARTS = 8
 
 
 def remove_duplicates(
@@ -70,21 +63,26 @@ def filter_cold_start(
 ) -> ColdStart:
     """Drop users, then products, below their threshold until a pass drops nothing.
 
-    The loop runs on a table of distinct (user, product) pairs with their row counts and only
-    collects the ids that fall out; each half pass is one partially aggregated count. The size of
-    the ids is known before they are joined, so Spark broadcasts them only while they are small.
-    The rows themselves are filtered once, at the end.
+    The loop runs on written tables: the distinct (user, product) pairs with their row counts, the
+    rows of every id, and, per half pass, the pairs that fell out with an id below its threshold. A
+    count changes only by pairs that fell out, so after its first check a key is judged for
+    the ids of the latest of these alone, and a late pass costs what it removes besides a scan of
+    the pairs. Spark knows the size of every table and broadcasts it only while it is small. The
+    rows themselves are filtered once, at the end, by the pairs that are left.
     """
     thresholds = {"user_id": min_user_reviews, "product_id": min_product_reviews}
-    dropped = dict.fromkeys(thresholds, 0)
-    many = dict.fromkeys(thresholds, True)
-    gone = {key: _Ids() for key in thresholds}
-    pending = {key: _Ids() for key in thresholds}
-
-    written = materialize(
+    other_key = {"user_id": "product_id", "product_id": "user_id"}
+    pairs = materialize(
         df.groupBy(*KEY_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows")), "pairs"
     )
-    written_rows = remaining = _size(written)["rows"]
+    counts = {
+        key: materialize(pairs.groupBy(key).agg(F.sum("n_rows").alias("n")), f"{key}-counts")
+        for key in thresholds
+    }
+    fallen = {key: _Fallen(key) for key in thresholds}
+    dropped = dict.fromkeys(thresholds, 0)
+    first = dict.fromkeys(thresholds, True)
+    remaining = _size(pairs)["rows"]
     rows_per_pass = []
 
     unchecked = set(thresholds)  # keys whose counts may have changed since their last check
@@ -93,92 +91,73 @@ def filter_cold_start(
         for key, threshold in thresholds.items():
             if key not in unchecked:
                 continue
-            weak = _below_threshold(_without_all(written, pending), key, threshold)
-            part, n_rows = _collect_ids(weak, key, write=many[key])
-            gone[key].add(part)
-            pending[key].add(part)
-            many[key] = part.size > LOCAL_IDS
-            dropped[key] += n_rows
-            remaining -= n_rows
+            other = fallen[other_key[key]]
+            known = counts[key] if first[key] else _match(counts[key], other.latest, key, "left_semi")
+            weak = _below_threshold(known, other.everything(), key, threshold)
+            out = _match(pairs, weak, key, "left_semi")
+            if other.parts:
+                out = _match(out, other.everything(), other.key, "left_anti")
+            out = materialize(out, f"fallen-{key}")
+            size = _size(out)
+            first[key] = False
             unchecked.discard(key)
-            if part.size:
-                unchecked |= thresholds.keys() - {key}
-        pending_ids = sum(ids.size for ids in pending.values())
-        if remaining < (1 - REWRITE_SHARE) * written_rows or pending_ids > REWRITE_IDS:
-            written = materialize(_without_all(written, pending), "pairs")
-            pending = {key: _Ids() for key in thresholds}
-            written_rows = remaining
-            for ids in gone.values():
-                ids.write_if_many(df.sparkSession)
+            if size["pairs"]:
+                fallen[key].add(out)
+                dropped[key] += size["rows"]
+                remaining -= size["rows"]
+                unchecked.add(other_key[key])
     if remaining < rows_per_pass[-1]:
         rows_per_pass.append(remaining)
 
-    return ColdStart(
-        _without_all(df, gone), dropped["user_id"], dropped["product_id"], rows_per_pass
-    )
-
+    left = pairs
+    for key in thresholds:
+        if fallen[key].parts:
+            left = _match(left, fallen[key].everything(), key, "left_anti")
+    kept = df
+    if any(dropped.values()):
+        # a missing id never reaches a threshold, so no pair that is left has one
+        kept = df.join(materialize(left.select(*KEY_COLUMNS), "left"), list(KEY_COLUMNS), "left_semi")
+    return ColdStart(kept, dropped["user_id"], dropped["product_id"], rows_per_pass)
 
-class _Part(NamedTuple):
-    """Ids that fell out in one half pass: a few as an Arrow table, many as a written table."""
 
-    ids: pa.Table | DataFrame
-    size: int
+class _Fallen:
+    """The pairs that fell out because of one key, a written table per half pass."""
 
+    def __init__(self, key: str) -> None:
+        self.key = key
+        self.parts: list[DataFrame] = []
 
-class _Ids:
-    """All ids of one key that fell out so far."""
+    def add(self, part: DataFrame) -> None:
+        if len(self.parts) >= MAX_PARTS:
+            self.parts = [materialize(self.everything(), f"fallen-{self.key}")]
+        self.parts.append(part)
 
-    def __init__(self) -> None:
-        self.size = 0
-        self.local: list[pa.Table] = []
-        self.written: list[DataFrame] = []
+    @property
+    def latest(self) -> DataFrame:
+        return self.parts[-1]
 
-    def add(self, part: _Part) -> None:
-        if part.size:
-            (self.local if isinstance(part.ids, pa.Table) else self.written).append(part.ids)
-            self.size += part.size
+    def everything(self) -> DataFrame | None:
+        return reduce(DataFrame.union, self.parts) if self.parts else None
 
-    def write_if_many(self, spark: SparkSession) -> None:
-        """Keep the local part small over any number of passes."""
-        if sum(part.num_rows for part in self.local) > REWRITE_IDS:
-            table = spark.createDataFrame(pa.concat_tables(self.local))
-            self.written.append(materialize(table, "gone"))
-            self.local = []
 
-    def frame(self, spark: SparkSession) -> DataFrame | None:
-        parts = list(self.written)
-        if self.local:
-            parts.append(spark.createDataFrame(pa.concat_tables(self.local)))
-        return reduce(DataFrame.union, parts) if parts else None
-
-
-def _collect_ids(weak: DataFrame, key: str, write: bool) -> tuple[_Part, int]:
-    """The ids of (key, n_rows) and the sum of their rows."""
-    if not write:
-        few = weak.limit(LOCAL_IDS + 1).toArrow()
-        if few.num_rows <= LOCAL_IDS:
-            return _Part(few.select([key]), few.num_rows), sum(few.column("n_rows").to_pylist())
-    table = materialize(weak, f"weak-{key}")
-    size = _size(table)
-    return _Part(table.select(key), size["ids"]), size["rows"]
-
-
-def _below_threshold(pairs: DataFrame, key: str, threshold: int) -> DataFrame:
-    counts = pairs.groupBy(key).agg(F.sum("n_rows").alias("n_rows"))
-    return counts.where((F.col("n_rows") < threshold) | F.col(key).isNull())
+def _below_threshold(
+    counts: DataFrame, lost: DataFrame | None, key: str, threshold: int
+) -> DataFrame:
+    """The ids of (key, n) that have too few rows after the loss of some pairs, or are missing."""
+    if lost is not None:
+        lost = lost.groupBy(F.col(key).alias("_lost")).agg(F.sum("n_rows").alias("less"))
+        counts = counts.join(lost, F.col(key).eqNullSafe(F.col("_lost")), "left")
+        counts = counts.withColumn("n", F.col("n") - F.coalesce("less", F.lit(0)))
+    return counts.where((F.col("n") < threshold) | F.col(key).isNull()).select(key)
 
 
 def _size(pairs: DataFrame):
     return pairs.agg(
-        F.count(F.lit(1)).alias("ids"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
+        F.count(F.lit(1)).alias("pairs"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
     ).first()
 
 
-def _without_all(df: DataFrame, gone: Mapping[str, _Ids]) -> DataFrame:
-    for key, removed in gone.items():
-        ids = removed.frame(df.sparkSession)
-        if ids is not None:
-            # null-safe: a missing id never reaches the threshold, so its rows go too
-            ids = ids.withColumnRenamed(key, "_gone")
-            df = df.join(ids, df[key].eqNullSafe(ids["_gone"]), "left_anti")
-    return df
+def _match(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
+    """A semi or anti join by one key; a missing id is an id like any other."""
+    ids = ids.select(F.col(key).alias("_id")).distinct()
+    return df.join(ids, df[key].eqNullSafe(ids["_id"]), how)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.functions.columns import to_whole_number
+from tallyrec.functions.columns import as_seconds, to_whole_number
 from tallyrec.operators.cleaning import keep_members
 
 # The columns of the product table and their types.
@@ -18,10 +18,13 @@ PRODUCT_COLUMNS = {
 }
 
 
-def build_interactions(reviews: DataFrame) -> DataFrame:
-    """(user_id string, product_id string, rating float, timestamp bigint in unix seconds)."""
+def build_interactions(reviews: DataFrame, unit: str = "s") -> DataFrame:
+    """(user_id string, product_id string, rating float, timestamp bigint in unix seconds).
+
+    ``unit`` is that of the timestamps of ``reviews``, "s" or "ms".
+    """
     seconds = (
-        to_whole_number(reviews, "timestamp")
+        as_seconds(to_whole_number(reviews, "timestamp"), unit)
         if "timestamp" in reviews.columns
         else F.lit(None).cast("bigint")
     )

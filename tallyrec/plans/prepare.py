@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tallyrec.operators.cleaning import (
     KEY_COLUMNS,
@@ -19,6 +20,7 @@ from tallyrec.operators.stats import STAGES, quality_report
 from tallyrec.operators.tables import build_interactions, build_products, build_users
 from tallyrec.session import materialize
 from tallyrec.sources.readers import (
+    INPUT_ORDER,
     REQUIRED_REVIEW_COLUMNS,
     SUFFIXES,
     load_products,
@@ -48,28 +50,44 @@ def prepare(
     products: DataFrame | None = None,
     min_user_reviews: int = MIN_USER_REVIEWS,
     min_product_reviews: int = MIN_PRODUCT_REVIEWS,
-    order_by: tuple[str | Column, ...] = ("seq",),
+    order_by: tuple[str | Column, ...] = (INPUT_ORDER,),
+    unit: str = "s",
 ) -> Prepared:
     """Clean raw reviews and build the tables.
 
     The order of the stages matters: of a repeated (user, product) pair only the first row
-    counts, even if a later check then drops that row.
+    counts, even if a later check then drops that row. ``unit`` is that of the timestamps.
     """
     columns = [*REQUIRED_REVIEW_COLUMNS, *({"timestamp"} & set(reviews.columns))]
-    first = remove_duplicates(reviews, KEY_COLUMNS, order_by).select(*columns)
-    # Written once: the stage counts and the cold-start filter both read it.
+    # The raw input is read once: its rows are counted on the way to the written table, which the
+    # stage counts and the cold-start filter read.
+    seen, n_raw = reviews, 0
+    if not reviews.isEmpty():
+        rows = Observation()
+        seen = reviews.observe(rows, F.count(F.lit(1)).alias("n"))
+    first = remove_duplicates(seen, KEY_COLUMNS, order_by).select(*columns)
     first = materialize(first, "deduplicated")
-    complete = drop_nulls(first, REQUIRED_REVIEW_COLUMNS)
-    valid = keep_valid_ratings(complete)
+    if seen is not reviews:
+        n_raw = rows.get["n"]
+    valid = materialize(keep_valid_ratings(drop_nulls(first, REQUIRED_REVIEW_COLUMNS)), "valid")
     kept = filter_cold_start(valid, min_user_reviews, min_product_reviews)
-    interactions = materialize(build_interactions(kept.interactions), "interactions")
+    interactions = materialize(build_interactions(kept.interactions, unit), "interactions")
 
-    frames = (reviews, first, complete, valid, interactions)
-    counts = reviews.sparkSession.range(1).select(
-        *(
-            frame.agg(F.count(F.lit(1))).scalar().alias(stage)
-            for stage, frame in zip(STAGES, frames)
-        )
+    present = F.lit(True)
+    for name in REQUIRED_REVIEW_COLUMNS:
+        missing = F.col(name).isNull()
+        if isinstance(first.schema[name].dataType, (T.DoubleType, T.FloatType)):
+            missing = missing | F.isnan(name)
+        present = present & ~missing
+    stages = first.agg(
+        F.lit(n_raw).cast("bigint").alias(STAGES[0]),
+        F.count(F.lit(1)).alias(STAGES[1]),
+        F.count_if(present).alias(STAGES[2]),
+    )
+    counts = stages.select(
+        "*",
+        valid.agg(F.count(F.lit(1))).scalar().alias(STAGES[3]),
+        interactions.agg(F.count(F.lit(1))).scalar().alias(STAGES[4]),
     )
     return Prepared(
         interactions,
@@ -87,6 +105,7 @@ def prepare_folder(
     processed_folder: str,
     min_user_reviews: int = MIN_USER_REVIEWS,
     min_product_reviews: int = MIN_PRODUCT_REVIEWS,
+    unit: str = "s",
 ) -> Prepared:
     """Find and read the raw inputs of a folder, clean them, and write the three tables."""
     path = resolve_source(spark, raw_folder, "reviews")
@@ -98,6 +117,7 @@ def prepare_folder(
         load_products(spark, resolve_source(spark, raw_folder, "products")),
         min_user_reviews,
         min_product_reviews,
+        unit=unit,
     )
     save_processed(prepared.interactions, prepared.products, prepared.users, processed_folder)
     return prepared

@@ -53,13 +53,13 @@ def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
-    multiline_csv: bool = True,
+    multiline_csv: bool = False,
 ) -> DataFrame:
     """Read Parquet, JSON Lines or CSV by suffix; JSON and CSV may be gzipped.
 
-    CSV columns come as strings with the usual null words removed. ``multiline_csv=False`` lets
-    Spark split large CSV files that have no line breaks inside quotes. Gzip files cannot be
-    split, so their rows are spread over the cluster after reading.
+    CSV columns come as strings with the usual null words removed, and Spark splits large files.
+    ``multiline_csv=True`` is needed where quoted cells hold line breaks; such a file is read in
+    one piece, as are gzip files, and its rows are spread over the cluster after reading.
     """
     name = path.lower().rstrip("/")
     reader = spark.read if schema is None else spark.read.schema(schema)
@@ -78,7 +78,11 @@ def read_table(
     )
 
 
-def with_input_order(df: DataFrame, name: str = "seq") -> DataFrame:
+# Reserved name of the column that :func:`load_reviews` adds.
+INPUT_ORDER = "_input_order"
+
+
+def with_input_order(df: DataFrame, name: str = INPUT_ORDER) -> DataFrame:
     """Add the position of each row in its input files as a sortable column.
 
     Call it on a freshly read table. Rows are ordered by file, then by split, then by the
@@ -94,15 +98,18 @@ def with_input_order(df: DataFrame, name: str = "seq") -> DataFrame:
     )
 
 
-def spread_unsplittable(df: DataFrame, path: str) -> DataFrame:
+def spread_unsplittable(df: DataFrame, path: str, multiline_csv: bool = False) -> DataFrame:
     """Distribute the rows of an input that Spark had to read in one piece."""
-    return df.hint("rebalance") if path.lower().endswith(".gz") else df
+    whole = path.lower().endswith(".gz") or multiline_csv and path.lower().endswith(".csv")
+    return df.hint("rebalance") if whole else df
 
 
 def load_reviews(spark: SparkSession, path: str, **options) -> DataFrame:
-    """Raw reviews under our column names, with their input order in ``seq``."""
+    """Raw reviews under our column names, with their input order in ``INPUT_ORDER``."""
     df = with_input_order(read_table(spark, path, **options))
-    return spread_unsplittable(normalize_reviews(df, path), path)
+    return spread_unsplittable(
+        normalize_reviews(df, path), path, options.get("multiline_csv", False)
+    )
 
 
 def normalize_reviews(df: DataFrame, source: str = "reviews") -> DataFrame:
@@ -118,7 +125,11 @@ def load_products(spark: SparkSession, path: str | None, **options) -> DataFrame
     """Raw product metadata under our column names, or None when there is no such input."""
     if path is None:
         return None
-    return spread_unsplittable(normalize_products(read_table(spark, path, **options)), path)
+    return spread_unsplittable(
+        normalize_products(read_table(spark, path, **options)),
+        path,
+        options.get("multiline_csv", False),
+    )
 
 
 def normalize_products(df: DataFrame) -> DataFrame:
@@ -149,9 +160,11 @@ def load_processed(spark: SparkSession, folder: str) -> Processed:
     return Processed(*(spark.read.parquet(f"{root}/{t}.parquet") for t in PROCESSED_TABLES))
 
 
-def raw_row_count(spark: SparkSession, folder: str, stem: str = "reviews") -> DataFrame:
+def raw_row_count(
+    spark: SparkSession, folder: str, stem: str = "reviews", **options
+) -> DataFrame:
     """One row: records in the raw input of any supported format, 0 when there is none."""
     path = resolve_source(spark, folder, stem)
     if path is None:
         return spark.range(1).select(F.lit(0).cast("bigint").alias("n_raw"))
-    return read_table(spark, path).agg(F.count(F.lit(1)).alias("n_raw"))
+    return read_table(spark, path, **options).agg(F.count(F.lit(1)).alias("n_raw"))
