@@ -32,7 +32,7 @@ def parquet_scan(spark, sf_dir):
 
 @query(
     sql("""
-select user_id, product_id, rating, "timestamp" as unix_seconds, seq as helpful from reviews""")
+select user_id, product_id, rating, "timestamp" as unix_seconds, seq from reviews""")
 )
 def load_reviews(spark, sf_dir):
     classic = views.reviews(spark, sf_dir).select(
@@ -40,12 +40,12 @@ def load_reviews(spark, sf_dir):
         F.col("product_id").alias("asin"),
         F.col("rating").alias("overall"),
         F.col("timestamp").alias("unixReviewTime"),
-        F.col("seq").alias("helpful"),
+        "seq",  # an extra column stays, whatever its name
     )
     folder = scratch(spark, "reviews")
     classic.write.parquet(f"{folder}/reviews.parquet")
     loaded = readers.load_reviews(spark, readers.resolve_source(spark, folder, "reviews"))
-    return loaded.drop("seq").withColumnRenamed("timestamp", "unix_seconds")
+    return loaded.drop(readers.INPUT_ORDER).withColumnRenamed("timestamp", "unix_seconds")
 
 
 def _text_reviews(spark, sf_dir, suffix, write):
@@ -449,7 +449,7 @@ def _prepare_lines(spark, sf_dir):
 
 @query(core_sql("valid", 3, 4, core_rows("cast(rating as float)")))
 def prepare_interactions(spark, sf_dir):
-    prepared = prepare(views.reviews(spark, sf_dir), views.products(spark, sf_dir), 3, 4)
+    prepared = prepare(views.reviews(spark, sf_dir), views.products(spark, sf_dir), 3, 4, ["seq"])
     return prepared.interactions.select(
         *KEY_COLUMNS, F.col("rating").cast("double"), F.col("timestamp").alias("unix_seconds")
     )
@@ -501,7 +501,7 @@ from stages""",
     )
 )
 def stage_report(spark, sf_dir):
-    prepared = prepare(views.reviews(spark, sf_dir), views.products(spark, sf_dir), 3, 4)
+    prepared = prepare(views.reviews(spark, sf_dir), views.products(spark, sf_dir), 3, 4, ["seq"])
     return stats.stage_report(prepared.stage_counts)
 
 

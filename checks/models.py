@@ -145,6 +145,21 @@ def popular_for_unknown_users(spark, sf_dir):
     return plans.popular_lists(counts, visitors.withColumn("depth", F.lit(10)), 10)
 
 
+@query(
+    sql(
+        POPULAR
+        + """
+select user_id, product_id, cast(0 as double) as score, "rank"
+from (select unnest([null, 'a', 'b']) as user_id), popular
+where "rank" <= case user_id when 'a' then 3 else 2000000 end"""
+    )
+)
+def popular_for_deep_requests(spark, sf_dir):
+    # deeper than the catalogue, and for a missing id
+    users = spark.sql("select * from values (null, 2000000), ('a', 3), ('b', 2000000) as t(user_id, depth)")
+    return plans.popular_lists(plans.popularity(_cells(spark, sf_dir)), users, 2_000_000)
+
+
 # --- the factor model ----------------------------------------------------------------------
 
 
@@ -216,7 +231,7 @@ def svd_model(spark, sf_dir) -> SvdRecommender:
 
 def hybrid_model(spark, sf_dir, **settings) -> HybridRecommender:
     return HybridRecommender.build(
-        svd_model(spark, sf_dir), views.vectors(spark, sf_dir), **settings
+        svd_model(spark, sf_dir), views.vectors(spark, sf_dir), ["product_id"], **settings
     )
 
 
@@ -382,7 +397,51 @@ def similar_products_in_blocks(spark, sf_dir):
         F.col("product_id").alias("query_id"), F.col("embedding").alias("vector"), F.lit(10).alias("depth")
     )
     index = vectors.select("product_id", F.col("embedding").alias("vector"))
-    found = top_matches(queries, index, exclude_self=True, max_broadcast_bytes=0, block_bytes=64 << 10)
+    found = top_matches(queries, index, exclude_self=True, block_bytes=64 << 10)
+    return found.select("query_id", "product_id", "score", "rank")
+
+
+GAPS = """, gaps as (
+    select product_id, case when cast(product_id as int) % 9 = 0 then null
+        else list_transform(embedding, lambda x, i: case
+            when cast(product_id as int) % 7 = 0 then 0
+            when cast(product_id as int) % 11 = 0 and i = 2 then null
+            when cast(product_id as int) % 13 = 0 and i = 3 then 'nan'::double
+            else x end) end as embedding
+    from vectors),
+usable as (
+    select * from gaps where embedding is not null
+    and len(list_filter(embedding, lambda x: x is null or isnan(x))) = 0)"""
+SIMILAR_WITH_GAPS = GAPS + matches_sql(
+    "select product_id as query_id, embedding as vector from usable", 10, True
+).replace("cross join vectors v", "cross join usable v")
+
+
+def _with_gaps(spark, sf_dir):
+    """Some vectors are null or zero, or hold a null or NaN."""
+    number = F.col("product_id").cast("int")
+    changed = F.transform(
+        F.col("embedding").cast("array<double>"),
+        lambda x, i: F.when(number % 7 == 0, 0.0)
+        .when((number % 11 == 0) & (i == 1), F.lit(None))
+        .when((number % 13 == 0) & (i == 2), F.lit(float("nan")))
+        .otherwise(x),
+    )
+    vector = F.when(number % 9 != 0, changed)
+    return views.vectors(spark, sf_dir).select("product_id", vector.alias("embedding"))
+
+
+@query(sql(SIMILAR_WITH_GAPS))
+def similar_products_with_gaps(spark, sf_dir):
+    vectors = _with_gaps(spark, sf_dir)
+    return semantic.SemanticIndex(vectors).similar_products(vectors.select("product_id"), 10)
+
+
+@query(sql(SIMILAR_WITH_GAPS))
+def similar_products_with_gaps_in_blocks(spark, sf_dir):
+    index = _with_gaps(spark, sf_dir).withColumnRenamed("embedding", "vector")
+    queries = index.select(F.col("product_id").alias("query_id"), "vector", F.lit(10).alias("depth"))
+    found = top_matches(queries, index, exclude_self=True, block_bytes=16 << 10)
     return found.select("query_id", "product_id", "score", "rank")
 
 
@@ -479,7 +538,7 @@ TUNING = (
     select unnest([0, 1, 2, 3, 4, 5]) as position,
            unnest([0.3, 0.4, 0.5, 0.6, 0.7, 0.8]::double[]) as alpha),
 relevant as (select distinct user_id, product_id from interactions where rating >= 4),
-judges as (select distinct user_id from relevant order by user_id limit 200),
+judges as (select distinct user_id from relevant),
 cf as (select * from all_cf cross join grid),
 semantic as (select * from all_semantic cross join grid)"""
     + fused_sql(
@@ -523,7 +582,7 @@ def best_alpha(spark, sf_dir):
 
 @query(
     sql("""
-select distinct user_id from interactions where rating >= 4 order by user_id limit 200""")
+select distinct user_id from interactions where rating >= 4""")
 )
 def tuning_users(spark, sf_dir):
     return fusion.tuning_users(views.interactions(spark, sf_dir))

@@ -67,6 +67,18 @@ def rating_distribution_fractional(spark, sf_dir):
     return _all_rounded(stats.rating_distribution(views.valid_reviews(spark, sf_dir)), RATINGS)
 
 
+@query(
+    sql(f"""
+select cast(rating as double) as value, {r("count(*) / sum(count(*)) over ()")} as share
+from (select rating * 3 - 4 as rating from reviews) where rating is not null group by rating""")
+)
+def rating_shares(spark, sf_dir):
+    # far outside the stars, too
+    wide = views.reviews(spark, sf_dir).withColumn("rating", F.col("rating") * 3 - 4)
+    shares = stats.rating_distribution(wide).select(F.inline("shares"))
+    return shares.select("value", rounded("share"))
+
+
 FREQUENCIES = f"""
 select rating, n, {r("n / sum(n) over ()")} as share,
        repeat('#', cast(floor(n / sum(n) over () * 40) as int)) as bar
@@ -198,6 +210,12 @@ def temporal_trends(spark, sf_dir):
     return stats.temporal_trends(_built(spark, sf_dir))
 
 
+@query(sql(MONTHS + TRENDS))
+def temporal_trends_ms(spark, sf_dir):
+    fine = views.interactions(spark, sf_dir).withColumn("timestamp", F.col("timestamp") * 1000 + 999)
+    return stats.temporal_trends(fine, "ms")
+
+
 @query(sql(MONTHS.replace('where "timestamp" is not null', "where false") + TRENDS))
 def temporal_trends_skipped(spark, sf_dir):
     return stats.temporal_trends(views.interactions(spark, sf_dir).drop("timestamp"))

@@ -7,8 +7,10 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-# Number of value ranges that are accumulated in parallel.
+# Number of value ranges that are accumulated in parallel, and the accuracy of their bounds: a range
+# is off by one part in so many of all distinct values.
 N_RANGES = 1024
+BOUNDS_ACCURACY = 20_000
 
 
 def value_counts(df: DataFrame, value: str) -> DataFrame:
@@ -23,16 +25,13 @@ def value_counts(df: DataFrame, value: str) -> DataFrame:
 def rows_before(counts: DataFrame) -> DataFrame:
     """Add ``before``: the number of rows with a smaller value, from (value, n).
 
-    The values are cut into equal ranges. Each range is accumulated by its own task, and only the
-    totals of the at most ``N_RANGES`` + 1 ranges are accumulated together.
+    The distinct values are cut at their approximate quantiles into ranges of nearly equal length,
+    however they are distributed. Each range is accumulated by its own task, and only the
+    totals of the at most ``N_RANGES`` ranges are accumulated together.
     """
-    value = F.col("value").cast("double")
-    span = counts.agg(
-        F.struct(F.min(value).alias("low"), (F.max(value) - F.min(value)).alias("width"))
-    ).scalar()
-    in_range = F.floor((value - F.col("_span.low")) / F.col("_span.width") * N_RANGES)
-    ranged = counts.withColumn("_span", span).select(
-        "value", "n", F.when(F.col("_span.width") > 0, in_range).otherwise(F.lit(0)).alias("_range")
+    bounds = counts.agg(range_bounds("value")).scalar()
+    ranged = counts.withColumn("_bounds", bounds).select(
+        "value", "n", _range_of(F.col("value").cast("double"), F.col("_bounds")).alias("_range")
     )
 
     earlier_ranges = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
@@ -51,6 +50,24 @@ def rows_before(counts: DataFrame) -> DataFrame:
     )
 
 
+def range_bounds(value: str) -> Column:
+    """The values at which the column is cut into ranges, in ascending order."""
+    shares = [i / N_RANGES for i in range(1, N_RANGES)]
+    return F.percentile_approx(F.col(value).cast("double"), shares, BOUNDS_ACCURACY)
+
+
+def _range_of(value: Column, bounds: Column) -> Column:
+    """How many bounds are at or below the value, by binary search."""
+    steps = F.array(*(F.lit(1 << i) for i in reversed(range((N_RANGES - 1).bit_length()))))
+
+    def narrow(found: Column, step: Column) -> Column:
+        there = found + step
+        below = (there < N_RANGES) & (F.get(bounds, there - 1) <= value)
+        return F.when(below, there).otherwise(found)
+
+    return F.aggregate(steps, F.lit(0), narrow)
+
+
 def exact_quantiles(df: DataFrame, value: str, names: Mapping[str, float]) -> DataFrame:
     """One row of exact quantiles with linear interpolation, named by ``names``."""
     return quantiles_of_counts(value_counts(df, value), names)

@@ -8,12 +8,12 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 from pyspark import StorageLevel
-from pyspark.mllib.linalg import Vectors, VectorUDT
+from pyspark.mllib.linalg import VectorUDT
 from pyspark.mllib.linalg.distributed import RowMatrix
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from tallyrec.operators.subspace import leading_item_vectors, multiply
 from tallyrec.session import materialize
 
 # Ids are numbered within this many buckets at a time: the first hex digits of their md5 hash.
@@ -28,12 +28,15 @@ NOISE_SHARE = 1e-6
 MIN_CELLS_PER_TASK = 1 << 20
 MAX_CELLS_PER_TASK = 1 << 24
 
-
-# MLlib's solver may take this much driver memory; per entry of the n_items x k factors it needs the
-# result, a work space of twice that size, and copies on the way to Python.
-MAX_SOLVER_BYTES = 2 << 30
+# MLlib's solver keeps the item side on the driver. This is the memory it may take there, about
+# 890,000 products with 50 factors; per entry of the n_items x k factors it needs the result, a work
+# space of twice that size, and copies on the way to Python. More is an error before any work.
+SOLVER_BYTES = 2 << 30
 SOLVER_BYTES_PER_ENTRY = 48
 
+# Cells whose products with the factors are held at a time by a task.
+CELLS_PER_STEP = 1 << 16
+
 
 def dense_index(ids: DataFrame, key: str, name: str) -> DataFrame:
     """(key, name): distinct ids numbered from 0 without gaps, ordered by (hash bucket, id).
@@ -86,8 +89,7 @@ def centred_rows(cells: DataFrame, items: DataFrame, n_items: int) -> DataFrame:
     """(user_id, offset, indices, values): one sparse row per user, at most ``n_items`` long."""
     entry = F.struct(F.col("item_idx").cast("int").alias("index"), "value")
     rows = (
-        # the solver's bound on n_items bounds this broadcast, so a popular product is no hot key
-        cells.join(F.broadcast(items), "product_id")
+        cells.join(items, "product_id")
         .groupBy("user_id")
         .agg(
             F.sort_array(F.collect_list(entry)).alias("entries"),
@@ -109,49 +111,42 @@ class Factors(NamedTuple):
     items: DataFrame
 
 
-def factorize(
-    cells: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int
-) -> Factors:
-    """Truncated SVD of the centred matrix: at most ``k`` factors.
-
-    MLlib's solver keeps the item side on the driver. Where that would exceed
-    ``MAX_SOLVER_BYTES``, the same vectors are found with the item side as a table.
-    """
-    if n_items * k * SOLVER_BYTES_PER_ENTRY <= MAX_SOLVER_BYTES:
-        rows = materialize(centred_rows(cells, items, n_items), "rows")
-        return _factorize_rows(rows, items, n_items, n_cells, k)
-    return _factorize_cells(cells, items, n_items, k)
-
-
-def _factorize_cells(cells: DataFrame, items: DataFrame, n_items: int, k: int) -> Factors:
-    centred = centred_cells(cells, n_items).join(items, "product_id")
-    centred = centred.select("user_id", "item_idx", "offset", F.col("centred").alias("value"))
-    centred = materialize(centred, "centred")
-    basis = materialize(leading_item_vectors(centred, n_items, k), "basis")
-    width = basis.select(F.size("vector")).first()[0]
-    offsets = centred.groupBy("user_id").agg(F.first("offset").alias("offset"))
-    users = multiply(centred, basis, "item_idx", "user_id", width)
-    return Factors(
-        offsets.join(users, "user_id"), items.join(basis, "item_idx").select("product_id", "vector")
-    )
+def check_solver_budget(n_items: int, k: int, budget: int = SOLVER_BYTES) -> None:
+    """Fail if the solver's item side would not fit the driver's ``budget`` of bytes."""
+    needed = n_items * k * SOLVER_BYTES_PER_ENTRY
+    if needed > budget:
+        raise ValueError(
+            f"{n_items} products with {k} factors need about {needed >> 20} MB of driver memory, "
+            f"the budget is {budget >> 20} MB: raise it, use fewer factors or fewer products"
+        )
 
 
-def _factorize_rows(
-    rows: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int
-) -> Factors:
+def factorize(cells: DataFrame, items: DataFrame, n_items: int, n_cells: int, k: int) -> Factors:
+    """Truncated SVD of the centred matrix by MLlib: at most ``k`` factors."""
+    rows = materialize(centred_rows(cells, items, n_items), "rows")
     basis = _right_basis(rows, n_items, n_cells, k)
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(basis)
+    cells_per_step = CELLS_PER_STEP
 
     def project(batches):
         v = shared.value
         for batch in batches:
-            starts = batch.column("indices").offsets.to_numpy()
+            starts = batch.column("indices").offsets.to_numpy().astype(np.int64)
             indices = batch.column("indices").values.to_numpy(zero_copy_only=False)
             values = batch.column("values").values.to_numpy(zero_copy_only=False)
             vectors = np.zeros((batch.num_rows, v.shape[1]))
-            for i, (start, stop) in enumerate(zip(starts[:-1], starts[1:])):
-                vectors[i] = values[start:stop] @ v[indices[start:stop]]
+            row = 0
+            while row < batch.num_rows:
+                # as many whole users as there are cells in a step, one at least
+                end = int(np.searchsorted(starts, starts[row] + cells_per_step, side="right")) - 1
+                end = min(max(end, row + 1), batch.num_rows)
+                low, high = starts[row], starts[end]
+                products = values[low:high, None] * v[indices[low:high]]
+                some = row + np.flatnonzero(np.diff(starts[row : end + 1]))
+                if len(some):
+                    vectors[some] = np.add.reduceat(products, starts[some] - low, axis=0)
+                row = end
             nested = pa.FixedSizeListArray.from_arrays(pa.array(vectors.ravel()), v.shape[1])
             yield pa.RecordBatch.from_arrays(
                 [batch.column("user_id"), batch.column("offset"), nested.cast(pa.list_(pa.float64()))],
@@ -167,19 +162,29 @@ def _factorize_rows(
     return Factors(user_factors, item_factors)
 
 
+def sparse_vectors(rows: DataFrame, size: int) -> DataFrame:
+    """``row``: the (indices, values) of each row as a sparse vector.
+
+    A vector is stored as a struct of its kind, size, indices and values. The struct is written and
+    read back under the vector's type, so rows never pass through Python.
+    """
+    row = F.struct(
+        F.lit(0).cast("tinyint").alias("type"), F.lit(size).alias("size"), "indices", "values"
+    )
+    schema = T.StructType([T.StructField("row", VectorUDT())])
+    return materialize(rows.select(row.alias("row")), "vectors", schema)
+
+
 def _right_basis(rows: DataFrame, n_items: int, n_cells: int, k: int) -> np.ndarray:
     """The k leading right singular vectors as an (n_items, k) array."""
-    sparse = F.udf(lambda i, v: Vectors.sparse(n_items, i, v), VectorUDT())
     cores = rows.sparkSession.sparkContext.defaultParallelism
     tasks = math.ceil(n_cells / MIN_CELLS_PER_TASK)
     tasks = max(1, min(tasks, max(cores, math.ceil(n_cells / MAX_CELLS_PER_TASK))))
-    vectors = rows.select("indices", "values").repartition(tasks)
-    matrix = RowMatrix(vectors.select(sparse("indices", "values").alias("row")), numCols=n_items)
-    # The solver passes over the rows hundreds of times: keep them as JVM vectors, not as SQL rows.
-    stored = matrix._java_matrix_wrapper._java_model.rows()
-    level = StorageLevel.MEMORY_AND_DISK_DESER
-    stored.persist(rows.sparkSession.sparkContext._getJavaStorageLevel(level))
+    # the solver passes over the rows hundreds of times
+    vectors = sparse_vectors(rows, n_items).repartition(tasks)
+    vectors = vectors.persist(StorageLevel.MEMORY_AND_DISK_DESER)
     try:
+        matrix = RowMatrix(vectors, numCols=n_items)
         return matrix.computeSVD(k, computeU=False, rCond=NOISE_SHARE).V.toArray()
     finally:
-        stored.unpersist(False)
+        vectors.unpersist()

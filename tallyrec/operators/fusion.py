@@ -18,9 +18,8 @@ CANDIDATE_FACTOR = 3
 WEIGHTED_DIGITS = 4
 RANK_DIGITS = 6
 
-# Weights tried by the tuning and the number of users it looks at.
+# Weights tried by the tuning.
 ALPHA_GRID = (0.3, 0.4, 0.5, 0.6, 0.7, 0.8)
-TUNING_USERS = 200
 
 
 def weighted_fusion(
@@ -91,9 +90,10 @@ def _fuse(
     )
 
 
-def tuning_users(ratings: DataFrame, limit: int = TUNING_USERS) -> DataFrame:
-    """The first users, in id order, that have a relevant product."""
-    return relevant_products(ratings).select("user_id").distinct().orderBy("user_id").limit(limit)
+def tuning_users(ratings: DataFrame, limit: int | None = None) -> DataFrame:
+    """The users that have a relevant product; with a ``limit``, the first ones in id order."""
+    users = relevant_products(ratings).select("user_id").distinct()
+    return users if limit is None else users.orderBy("user_id").limit(limit)
 
 
 def alpha_scores(

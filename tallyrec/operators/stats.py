@@ -29,7 +29,8 @@ WHISKER_RANGE = 1.5
 
 
 def rating_distribution(interactions: DataFrame) -> DataFrame:
-    """One row: mean, median, std, min, max and the share of each whole star."""
+    """One row: mean, median, std, min, max, the share of each whole star, and ``shares``: an array
+    of (value, share) for every rating that occurs, in ascending order."""
     return rating_figures(value_counts(interactions, "rating"))
 
 
@@ -51,10 +52,23 @@ def rating_figures(counts: DataFrame) -> DataFrame:
         F.min(value).alias("min"),
         F.max(value).alias("max"),
         *stars,
+        F.array_sort(F.collect_list(F.struct(value.alias("value"), n.alias("share")))).alias("shares"),
+    )
+    share = F.transform(
+        "shares",
+        lambda item: F.struct(
+            item["value"].alias("value"), (item["share"] / F.col("total")).alias("share")
+        ),
     )
     median = quantiles_of_counts(counts, {"median": 0.5}).scalar()
     return figures.where("total > 0").select(
-        "mean", median.alias("median"), "std", "min", "max", *(f"pct_{star}" for star in STARS)
+        "mean",
+        median.alias("median"),
+        "std",
+        "min",
+        "max",
+        *(f"pct_{star}" for star in STARS),
+        share.alias("shares"),
     )
 
 
@@ -168,12 +182,12 @@ def activity_outliers(interactions: DataFrame, key: str) -> DataFrame:
 # --- time ----------------------------------------------------------------------------------
 
 
-def monthly_activity(interactions: DataFrame) -> DataFrame:
+def monthly_activity(interactions: DataFrame, unit: str = "s") -> DataFrame:
     """(month, n, avg_rating) for months that have rows; unusable timestamps are left out."""
     if "timestamp" not in interactions.columns:
         interactions = interactions.withColumn("timestamp", F.lit(None).cast("bigint"))
     return (
-        interactions.select("rating", unix_timestamp_to_month(F.col("timestamp")).alias("month"))
+        interactions.select("rating", unix_timestamp_to_month(F.col("timestamp"), unit).alias("month"))
         .where(F.col("month").isNotNull())
         .groupBy("month")
         .agg(F.count("rating").alias("n"), F.avg("rating").alias("avg_rating"))
@@ -181,9 +195,9 @@ def monthly_activity(interactions: DataFrame) -> DataFrame:
     )
 
 
-def temporal_trends(interactions: DataFrame) -> DataFrame:
+def temporal_trends(interactions: DataFrame, unit: str = "s") -> DataFrame:
     """One row: first and last month, number of months, peak month and its count, or skipped."""
-    return trend_figures(monthly_activity(interactions))
+    return trend_figures(monthly_activity(interactions, unit))
 
 
 def trend_figures(months: DataFrame) -> DataFrame:

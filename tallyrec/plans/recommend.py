@@ -97,6 +97,7 @@ class SvdRecommender(Recommender):
         rank = min(self.n_factors, size["users"] - 1, n_items - 1)
         if rank < 1:
             raise ValueError("the model needs at least two users and two products")
+        factor.check_solver_budget(n_items, rank)
         factors = factor.factorize(cells, items, n_items, size["cells"], rank)
         self.user_factors = materialize(factors.users, "user-factors")
         self.item_factors = materialize(factors.items, "item-factors")
@@ -106,8 +107,7 @@ class SvdRecommender(Recommender):
 
     def recommend(self, users: DataFrame, top_k: int | str = TOP_K) -> DataFrame:
         self._check_fitted()
-        wanted = users.where(F.col("user_id").isNotNull()).groupBy("user_id")
-        wanted = wanted.agg(F.max(_depth(top_k)).alias("depth"))
+        wanted = users.groupBy("user_id").agg(F.max(_depth(top_k)).alias("depth"))
         known = wanted.join(self.user_factors, "user_id")
         queries = known.select(F.col("user_id").alias("query_id"), "vector", "depth")
         scored = scaled_scores(top_matches(queries, self.item_factors))
@@ -151,12 +151,15 @@ def popular_items(counts: DataFrame, top_k: int) -> DataFrame:
 def popular_lists(counts: DataFrame, users: DataFrame, deepest: int) -> DataFrame:
     """The popular products, with score 0, for every row of (user_id, depth).
 
-    The list has at most ``deepest`` rows and is broadcast; users meet it by rank.
+    No list is longer than ``deepest`` or the catalogue. Users meet the list by rank.
     """
+    deepest = min(deepest, counts.count())
     order = Window.orderBy(F.col("n").desc(), F.col("product_id").asc())
     ranked = popular_items(counts, deepest).select("product_id", F.row_number().over(order).alias("rank"))
-    lists = users.select("user_id", F.explode(F.sequence(F.lit(1), F.col("depth"))).alias("rank"))
-    return lists.join(F.broadcast(ranked), "rank").select(
+    ranks = F.sequence(F.lit(1), F.least("depth", F.lit(deepest)))
+    ranks = F.when(F.lit(deepest) > 0, ranks).otherwise(F.array().cast("array<int>"))
+    lists = users.select("user_id", F.explode(ranks).alias("rank"))
+    return lists.join(ranked, "rank").select(
         "user_id", "product_id", F.lit(0.0).alias("score"), "rank"
     )
 
@@ -194,9 +197,12 @@ class HybridRecommender(Recommender):
         self._index = SemanticIndex(vectors)
 
     @classmethod
-    def build(cls, cf: SvdRecommender, vectors: DataFrame, **settings) -> HybridRecommender:
-        """A model from vectors that may repeat a product: the first one counts."""
-        return cls(cf, materialize(unique_vectors(vectors), "vectors"), **settings)
+    def build(
+        cls, cf: SvdRecommender, vectors: DataFrame, order_by: Sequence, **settings
+    ) -> HybridRecommender:
+        """A model from vectors that may repeat a product: the first one by ``order_by`` counts."""
+        first = unique_vectors(vectors, order_by).select("product_id", "embedding")
+        return cls(cf, materialize(first, "vectors"), **settings)
 
     def fit(self, data: DataFrame) -> HybridRecommender:
         self.cf.fit(data)
@@ -230,29 +236,38 @@ class HybridRecommender(Recommender):
         users = wanted.groupBy("user_id").agg(depth.alias("depth"))
         cf = materialize(self.cf.recommend(users, "depth"), "cf-candidates")
         seeds = cf.where("rank = 1").select("user_id", F.col("product_id").alias("seed"))
-        asked = seeds.join(users, "user_id").select(F.col("seed").alias("product_id"), "depth")
+        asked = _join_user(seeds, users).select(F.col("seed").alias("product_id"), "depth")
         similar = self._index.similar_products(asked, "depth").withColumnRenamed("query_id", "seed")
         deep_enough = F.col("rank") <= F.col("top_k") * CANDIDATE_FACTOR
-        cf = wanted.join(cf, "user_id").where(deep_enough)
-        semantic = _join_by_seed(wanted.join(seeds, "user_id"), similar, hot_seeds(seeds))
+        cf = _join_user(wanted, cf).where(deep_enough)
+        semantic = _join_by_seed(_join_user(wanted, seeds), similar, hot_seeds(seeds))
         return cf, semantic.where(deep_enough)
 
     def tuning_scores(
-        self, ratings: DataFrame, alphas: Sequence[float] = ALPHA_GRID, k: int = CUT_OFF
+        self,
+        ratings: DataFrame,
+        alphas: Sequence[float] = ALPHA_GRID,
+        k: int = CUT_OFF,
+        limit: int | None = None,
     ) -> DataFrame:
-        """(position, alpha, ndcg) over the tuning users of ``ratings``."""
+        """(position, alpha, ndcg) over the users of ``ratings`` that have a relevant product, or
+        over the first ``limit`` of them."""
         self._check_fitted()
-        users = tuning_users(ratings)
+        users = tuning_users(ratings, limit)
         cf, semantic = self.candidates(users.withColumn("top_k", F.lit(k)))
         return alpha_scores(
             cf, semantic, relevant_products(ratings), users, alphas, k, self.strategy == "weighted"
         )
 
     def tune_alpha(
-        self, ratings: DataFrame, alphas: Sequence[float] = ALPHA_GRID, k: int = CUT_OFF
+        self,
+        ratings: DataFrame,
+        alphas: Sequence[float] = ALPHA_GRID,
+        k: int = CUT_OFF,
+        limit: int | None = None,
     ) -> float:
         """Set and return the weight with the best mean NDCG@k; keep it when nobody can judge."""
-        best = best_alpha(self.tuning_scores(ratings, alphas, k)).first()
+        best = best_alpha(self.tuning_scores(ratings, alphas, k, limit)).first()
         if best is not None:
             self.alpha = best["alpha"]
         return self.alpha
@@ -272,6 +287,12 @@ class HybridRecommender(Recommender):
         return cls(cf, vectors, **_load_params(spark, root))
 
 
+def _join_user(left: DataFrame, right: DataFrame) -> DataFrame:
+    """An inner join by ``user_id`` in which a missing id is an id like any other."""
+    right = right.withColumnRenamed("user_id", "_user")
+    return left.join(right, left["user_id"].eqNullSafe(right["_user"])).drop("_user")
+
+
 def hot_seeds(seeds: DataFrame) -> DataFrame:
     """The seeds that belong to more than ``HOT_SHARE`` of the users: at most 1 / HOT_SHARE."""
     users = seeds.groupBy("seed").agg(F.count(F.lit(1)).alias("n"))

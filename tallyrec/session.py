@@ -6,6 +6,7 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 
 def local_session(cores: int | str = 8, memory: str = "16g") -> SparkSession:
@@ -41,12 +42,12 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+def materialize(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
+    """Write ``df`` to the shared folder and read it back, under another ``schema`` if one is given.
 
     This cuts the lineage and, unlike a checkpointed RDD, keeps column pruning and gives the
     optimizer the true size of the table, so its choice of broadcast or shuffle join is checked.
     """
     path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(schema or df.schema).parquet(path)

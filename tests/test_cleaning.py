@@ -27,7 +27,7 @@ def test_duplicates_of_a_hot_key_are_cut_before_the_shuffle(spark):
 
 def test_duplicate_whose_first_row_is_invalid_loses_both(spark):
     df = reviews(spark, ("a", "x", None), ("a", "x", 5.0), ("b", "x", 9.0), ("b", "x", 4.0))
-    prepared = prepare(df, min_user_reviews=1, min_product_reviews=1)
+    prepared = prepare(df, min_user_reviews=1, min_product_reviews=1, order_by=["seq"])
     assert rows(prepared.interactions) == []
     assert prepared.stage_counts.first().asDict() == {
         "raw": 4, "deduplicated": 2, "complete": 1, "valid_rating": 0, "cold_start": 0,
@@ -36,7 +36,7 @@ def test_duplicate_whose_first_row_is_invalid_loses_both(spark):
 
 def test_unreadable_rating_counts_as_rating_drop(spark):
     df = reviews(spark, ("a", "x", "four"), ("a", "y", "4"), rating="string")
-    prepared = prepare(df, min_user_reviews=1, min_product_reviews=1)
+    prepared = prepare(df, min_user_reviews=1, min_product_reviews=1, order_by=["seq"])
     counts = prepared.stage_counts.first()
     assert (counts["complete"], counts["valid_rating"]) == (2, 1)
 
@@ -44,7 +44,7 @@ def test_unreadable_rating_counts_as_rating_drop(spark):
 def test_numeric_ids_match_metadata(spark):
     df = spark.createDataFrame([(0, 1, 7, 5.0)], "seq int, user_id int, product_id int, rating double")
     meta = spark.createDataFrame([("7", "lamp"), ("8", "desk")], "product_id string, title string")
-    prepared = prepare(df, meta, 1, 1)
+    prepared = prepare(df, meta, 1, 1, ["seq"])
     assert rows(prepared.products, "product_id", "title") == [("7", "lamp")]
 
 
@@ -70,9 +70,7 @@ def brute_force(pairs, min_user, min_product):
 
 
 @pytest.mark.parametrize("thresholds", [(5, 10), (9, 7), (12, 9), (1, 1)])
-@pytest.mark.parametrize("local_ids", [10_000, 0])
-def test_cold_start_matches_brute_force(spark, ratings, monkeypatch, thresholds, local_ids):
-    monkeypatch.setattr(cleaning, "LOCAL_IDS", local_ids)
+def test_cold_start_matches_brute_force(spark, ratings, thresholds):
     pairs = [(r["user_id"], r["product_id"]) for r in ratings.collect()]
     kept, dropped, trace = brute_force(pairs, *thresholds)
     result = cleaning.filter_cold_start(ratings, *thresholds)
@@ -81,9 +79,9 @@ def test_cold_start_matches_brute_force(spark, ratings, monkeypatch, thresholds,
     assert result.rows_per_pass == trace
 
 
-@pytest.mark.parametrize("rewrite_ids", [0, 1])
-def test_cold_start_with_frequent_rewrites_and_missing_ids(spark, monkeypatch, rewrite_ids):
-    monkeypatch.setattr(cleaning, "REWRITE_IDS", rewrite_ids)
+@pytest.mark.parametrize("max_parts", [1, 8])
+def test_cold_start_with_many_passes_and_missing_ids(spark, monkeypatch, max_parts):
+    monkeypatch.setattr(cleaning, "MAX_PARTS", max_parts)
     # a chain that unravels one end per half pass, and rows without ids
     pairs = [(f"u{i}", f"p{j}") for i in range(12) for j in (i, i + 1)]
     pairs += [(None, "p3"), ("u4", None)] + [("v", "q")] * 3
@@ -95,6 +93,25 @@ def test_cold_start_with_frequent_rewrites_and_missing_ids(spark, monkeypatch, r
     assert result.rows_per_pass == trace
 
 
+def test_stage_counts_read_the_raw_input_once(spark, folder):
+    reviews(spark, ("a", "x", 1.0), ("a", "x", 2.0), ("b", "y", None)).write.parquet(f"{folder}/raw")
+    raw = spark.read.parquet(f"{folder}/raw")
+    prepared = prepare(raw, None, 1, 1, ["seq"])
+    assert prepared.stage_counts.first().asDict() == {
+        "raw": 3, "deduplicated": 2, "complete": 1, "valid_rating": 1, "cold_start": 1,
+    }
+    plan = prepared.stage_counts._jdf.queryExecution().executedPlan().toString()
+    assert f"{folder}/raw" not in plan
+    assert prepare(raw.limit(0), None, 1, 1, ["seq"]).stage_counts.first()["raw"] == 0
+
+
+def test_milliseconds(spark):
+    df = spark.createDataFrame([("a", "x", 1.0, 1_600_000_000_999)], "user_id string, product_id string, rating double, timestamp long")
+    assert tables.build_interactions(df, "ms").first()["timestamp"] == 1_600_000_000
+    with pytest.raises(ValueError, match="unit"):
+        tables.build_interactions(df, "us")
+
+
 def test_products_without_metadata_vanish_and_repeated_ones_stay(spark):
     df = reviews(spark, ("a", "x", 1.0), ("a", "y", 1.0))
     meta = spark.createDataFrame(

@@ -92,4 +92,4 @@ def test_unit_scale_of_a_constant_row_is_zero(spark):
 def test_l2_normalize(spark):
     unit = one(spark, c.l2_normalize(F.array(F.lit(3.0), F.lit(4.0))))
     assert unit == pytest.approx([0.6, 0.8])
-    assert one(spark, c.l2_normalize(F.array(F.lit(0.0), F.lit(0.0)))) == [None, None]
+    assert one(spark, c.l2_normalize(F.array(F.lit(0.0), F.lit(0.0)))) == [0.0, 0.0]

@@ -50,9 +50,31 @@ def test_scores_match_numpy(model, ratings):
     check_against_numpy(model, ratings, 5)
 
 
-def test_scores_match_numpy_with_the_item_side_as_a_table(ratings, monkeypatch):
-    monkeypatch.setattr(factor, "MAX_SOLVER_BYTES", 0)
-    check_against_numpy(SvdRecommender(n_factors=5).fit(ratings), ratings, 5)
+def test_too_many_products_for_the_driver_are_an_error_at_once():
+    with pytest.raises(ValueError, match="the budget is 1 MB"):
+        factor.check_solver_budget(100_000, 50, 1 << 20)
+    factor.check_solver_budget(100, 50, 1 << 20)
+
+
+def test_no_row_passes_through_python_on_the_way_to_the_solver(spark, ratings):
+    cells = factor.rating_cells(ratings)
+    items = factor.dense_index(cells, "product_id", "item_idx")
+    rows_ = factor.centred_rows(cells, items, 30)
+    vectors = factor.sparse_vectors(rows_, 30)
+    for df in (rows_, vectors):
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        assert "Python" not in plan and "Arrow" not in plan
+    entries = {(r["user_id"], i): v for r in rows_.collect() for i, v in zip(r["indices"], r["values"])}
+    assert sum(len(r["row"].indices) for r in vectors.collect()) == len(entries)
+
+
+def test_a_missing_id_gets_the_popular_list(spark, model, hybrid):
+    wanted = spark.createDataFrame([(None,), ("nobody",)], "user_id string")
+    for answer in (model.recommend(wanted, 4), hybrid.recommend(wanted, 4)):
+        found = {}
+        for r in answer.orderBy("rank").collect():
+            found.setdefault(r["user_id"], []).append((r["product_id"], r["score"]))
+        assert len(found[None]) == 4 and found[None] == found["nobody"]
 
 
 def test_factors_are_capped(ratings):
@@ -127,7 +149,7 @@ def test_dense_index_has_no_gaps(spark):
 @pytest.fixture(scope="module")
 def hybrid(spark, model):
     # vectors for p0..p24 only: some seeds are unknown to the index
-    return HybridRecommender.build(model, spark.createDataFrame(unit_vectors(25, 16, "p", 42)))
+    return HybridRecommender.build(model, spark.createDataFrame(unit_vectors(25, 16, "p", 42)), ["product_id"])
 
 
 def fuse_by_hand(hybrid, user, k, spark):

@@ -46,7 +46,7 @@ def test_every_text_format_gives_the_same_reviews(spark, folder, suffix):
     path = readers.resolve_source(spark, folder, "reviews")
     assert path.endswith(suffix)
     loaded = readers.load_reviews(spark, path)
-    ordered = loaded.orderBy("seq").select("user_id", "product_id", to_number(loaded, "rating"))
+    ordered = loaded.orderBy(readers.INPUT_ORDER).select("user_id", "product_id", to_number(loaded, "rating"))
     assert [tuple(r) for r in ordered.collect()] == [
         ("a", "x", 5.0), ("a", "x", 1.0), ("b", "x", 4.0), ("b", "y", 9.0),
     ]
@@ -67,10 +67,27 @@ def test_suffixes_are_tried_in_order(spark, folder):
 def test_csv_null_words_quotes_and_line_breaks(spark, folder):
     with open(f"{folder}/t.csv", "w") as f:
         f.write('a,b\nNA,"say ""hi""\nthere"\nnull,n/a\n,x\n')
-    read = readers.read_table(spark, f"{folder}/t.csv")
+    read = readers.read_table(spark, f"{folder}/t.csv", multiline_csv=True)
     assert set(rows(read)) == {(None, "x"), (None, 'say "hi"\nthere'), (None, None)}
 
 
+def test_one_csv_file_is_read_by_several_tasks(spark, folder, monkeypatch):
+    with open(f"{folder}/t.csv", "w") as f:
+        f.write("a,b\n" + "".join(f"{i},{i}\n" for i in range(40_000)))
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "64k")
+    try:
+        read = readers.read_table(spark, f"{folder}/t.csv")
+        assert read.rdd.getNumPartitions() > 3 and read.count() == 40_000
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+
+
+def test_an_input_column_named_seq_stays(spark, folder):
+    spark.createDataFrame([("a", "x", 1.0, 7)], "user_id string, product_id string, rating double, seq int").write.parquet(f"{folder}/reviews.parquet")
+    assert readers.load_reviews(spark, f"{folder}/reviews.parquet").first()["seq"] == 7
+
+
 def test_missing_columns_are_an_error(spark):
     df = spark.createDataFrame([("a", 1.0)], "reviewerID string, overall double")
     with pytest.raises(ValueError, match="product_id"):

@@ -46,19 +46,18 @@ def test_similar_to_vector(spark, vectors, k):
 
 
 @pytest.mark.parametrize("exclude", [True, False])
-@pytest.mark.parametrize("block_bytes", [1, 1000, 100_000])
-def test_blocks_and_broadcast_agree(spark, vectors, exclude, block_bytes):
+@pytest.mark.parametrize("block_bytes", [600, 2000, 100_000])
+def test_blocks_of_any_size_agree(spark, vectors, exclude, block_bytes):
     # equal vectors under many ids: every score is a tie
     copies = vectors.select(F.concat("product_id", F.lit("-copy")).alias("product_id"), "embedding")
     index = vectors.union(copies).withColumnRenamed("embedding", "vector")
     queries = index.select(
         F.col("product_id").alias("query_id"), "vector", (F.length("product_id") - 1).alias("depth")
     )
-    broadcast = top_matches(queries, index, exclude)
-    blocks = top_matches(queries, index, exclude, max_broadcast_bytes=0, block_bytes=block_bytes)
-    assert rows(broadcast) == rows(blocks)
+    whole = top_matches(queries, index, exclude)
+    assert rows(whole) == rows(top_matches(queries, index, exclude, block_bytes=block_bytes))
     depth = {r["query_id"]: r["depth"] for r in queries.collect()}
-    counts = {r["query_id"]: r["count"] for r in broadcast.groupBy("query_id").count().collect()}
+    counts = {r["query_id"]: r["count"] for r in whole.groupBy("query_id").count().collect()}
     assert counts == depth
 
 
@@ -69,6 +68,28 @@ def test_more_ties_than_results(spark):
     assert [r["product_id"] for r in found.collect()] == ["p00", "p01", "p02", "p03"]
 
 
+@pytest.mark.parametrize("block_bytes", [600, 100_000])
+@pytest.mark.parametrize("k", [1, 2, 5, 50])
+def test_null_zero_and_nan_vectors(spark, vectors, k, block_bytes):
+    odd = [("null", None), ("hole", [None] + [0.1] * 15), ("nan", [float("nan")] * 16), ("zero", [0.0] * 16)]
+    extra = spark.createDataFrame(odd, "product_id string, embedding array<float>")
+    index = vectors.union(extra).withColumnRenamed("embedding", "vector")
+    queries = index.select(F.col("product_id").alias("query_id"), "vector", F.lit(k).alias("depth"))
+    found = top_matches(queries, index, True, block_bytes)
+    counts = {r["query_id"]: r["count"] for r in found.groupBy("query_id").count().collect()}
+    assert counts == {**{f"p{i}": min(k, 20) for i in range(20)}, "zero": min(k, 20)}
+    assert {r["product_id"] for r in found.collect()}.isdisjoint({"null", "hole", "nan"})
+
+
+def test_vectors_of_different_lengths_are_an_error(spark):
+    index = spark.createDataFrame([("a", [1.0]), ("b", [1.0, 2.0])], "product_id string, vector array<double>")
+    queries = spark.createDataFrame([("q", [1.0, 0.0], 4)], "query_id string, vector array<double>, depth int")
+    with pytest.raises(ValueError, match="between 1 and 2"):
+        top_matches(queries, index)
+    with pytest.raises(Exception, match="a query has 2 elements, the index 1"):
+        top_matches(queries, index.where("product_id = 'a'")).count()
+
+
 def test_empty_index(spark, vectors):
     index = semantic.SemanticIndex(vectors.where("false"))
     assert index.similar_products(vectors.select("product_id"), 3).count() == 0

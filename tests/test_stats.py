@@ -17,9 +17,25 @@ def one(df):
     return df.first().asDict()
 
 
+def test_ranges_stay_even_with_an_outlier(spark):
+    from tallyrec.operators import distribution
+
+    values = spark.range(20_000).select(F.col("id").cast("double").alias("v"))
+    values = values.union(spark.createDataFrame([(1e12,)], "v double"))
+    counts = distribution.value_counts(values, "v")
+    bounds = counts.agg(distribution.range_bounds("value")).scalar()
+    sizes = counts.withColumn("b", bounds).groupBy(distribution._range_of(F.col("value"), F.col("b"))).count()
+    assert sizes.agg(F.max("count")).first()[0] <= 60
+    ranks = distribution.average_ranks(counts)
+    assert ranks.where("value = 1e12").first()["rank"] == 20_001
+    assert ranks.where("value = 7777").first()["rank"] == 7778
+
+
 def test_rating_distribution(ratings, pdf):
     r = pdf["rating"]
     found = one(stats.rating_distribution(ratings))
+    shares = r.value_counts(normalize=True).sort_index()
+    assert dict(tuple(s) for s in found.pop("shares")) == pytest.approx(shares.to_dict())
     expected = {"mean": r.mean(), "median": r.median(), "std": r.std(), "min": r.min(), "max": r.max()}
     expected |= {f"pct_{i}": (r == i).mean() for i in range(1, 6)}
     assert found == pytest.approx(expected)
