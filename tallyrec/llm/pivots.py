@@ -28,8 +28,8 @@ from tallyrec.llm.vectors import as_doubles, is_finite, matrix, unit_rows
 from tallyrec.session import materialize
 
 PIVOTS = 128
-PREFIX = 12
-SHARED = 5
+PREFIX = 16
+SHARED = 6
 BLOCK = 2048
 MIN_COSINE = 0.93
 SEED = 7
