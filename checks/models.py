@@ -163,7 +163,7 @@ def popular_for_deep_requests(spark, sf_dir):
 # --- the factor model ----------------------------------------------------------------------
 
 
-def _brand_ratings(spark, sf_dir):
+def brand_ratings(spark, sf_dir):
     """Ratings of brands, one of them listed twice under different ids.
 
     The copy makes the matrix one rank short, so the model, which keeps one factor fewer than
@@ -211,7 +211,7 @@ from predicted window w as (partition by user_id)"""
     )
 )
 def svd_reproduces_matrix(spark, sf_dir):
-    ratings = _brand_ratings(spark, sf_dir)
+    ratings = brand_ratings(spark, sf_dir)
     model = SvdRecommender().fit(ratings)
     users = ratings.select("user_id").distinct()
     steps = F.floor(F.col("score") * STEPS + STEP_START).alias("score_steps")
