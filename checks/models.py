@@ -270,6 +270,12 @@ def product_texts(spark, sf_dir):
     return semantic.product_texts(views.products(spark, sf_dir))
 
 
+def _elements(embedded, digits):
+    """One row per element of each vector."""
+    each = embedded.select("product_id", F.posexplode("embedding").alias("position", "x"))
+    return each.select("product_id", "position", c.round_half_up(F.col("x").cast("double"), digits).alias("x"))
+
+
 def _shape(embedded):
     length = F.sqrt(c.dot(F.col("embedding"), F.col("embedding")))
     return embedded.select(
@@ -288,10 +294,25 @@ def embed_documents(spark, sf_dir):
     return _shape(semantic.embed_texts(texts))
 
 
-@query("select cast(doc_id as varchar) as product_id, 26 as dim, 1.0::double as length from documents")
+LETTERS = "abcdefghijklmnopqrstuvwxy"
+
+
+@query(
+    f"""
+with counts as (
+    select cast(doc_id as varchar) as product_id, list_prepend(1, list_transform(
+               string_split('{" ".join(LETTERS)}', ' '),
+               lambda c: len(lower("text")) - len(replace(lower("text"), c, '')))) as n
+    from documents),
+elements as (
+    select product_id, unnest(n) as x, generate_subscripts(n, 1) - 1 as position,
+           sqrt(list_sum(list_transform(n, lambda c: c * c))) as length
+    from counts)
+select product_id, cast(position as int) as position, {r("x / length", 4)} as x from elements"""
+)
 def embed_with_own_encoder(spark, sf_dir):
     def load_encoder():
-        letters = "abcdefghijklmnopqrstuvwxy"
+        letters = LETTERS
 
         def encode(texts):
             return [[1.0, *(text.lower().count(letter) for letter in letters)] for text in texts]
@@ -299,7 +320,7 @@ def embed_with_own_encoder(spark, sf_dir):
         return encode
 
     texts = views.table(spark, sf_dir, "documents").select(F.col("doc_id").alias("product_id"), "text")
-    return _shape(semantic.embed_texts(texts, load_encoder))
+    return _elements(semantic.embed_texts(texts, load_encoder), 4)
 
 
 @query(
@@ -328,19 +349,15 @@ def l2_normalize(spark, sf_dir):
 
 
 @query(
-    sql("""
-select product_id, len(embedding) as dim,
-       floor(list_inner_product(embedding, embedding) * 1e5 + 0.5) / 1e5 as squared
-from vectors""")
+    sql(f"""
+select product_id, cast(position as int) as position, {r("x", 6)} as x from (
+    select product_id, unnest(embedding) as x, generate_subscripts(embedding, 1) - 1 as position
+    from vectors)""")
 )
 def vector_table(spark, sf_dir):
     path = scratch(spark, "vectors")
     sinks.save_vectors(views.vectors(spark, sf_dir), path)
-    return sinks.load_vectors(spark, path).select(
-        "product_id",
-        F.size("embedding").cast("bigint").alias("dim"),
-        c.round_half_up(c.dot(F.col("embedding"), F.col("embedding")), 5).alias("squared"),
-    )
+    return _elements(sinks.load_vectors(spark, path), 6)
 
 
 @query(sql("select product_id, floor(embedding[1] * 1e6 + 0.5) / 1e6 as first from vectors"))
@@ -410,7 +427,8 @@ GAPS = """, gaps as (
             else x end) end as embedding
     from vectors),
 usable as (
-    select * from gaps where embedding is not null
+    select product_id, list_transform(embedding, lambda x: coalesce(x, 0)) as embedding
+    from gaps where embedding is not null
     and len(list_filter(embedding, lambda x: x is null or isnan(x))) = 0)"""
 SIMILAR_WITH_GAPS = GAPS + matches_sql(
     "select product_id as query_id, embedding as vector from usable", 10, True

@@ -290,17 +290,17 @@ def most_active_users(spark, sf_dir):
 @query(
     sql(
         SIZE
-        + """
-select user_id, count(rating) as n_rated from top_users left join (
-    select user_id, rating from sampled join top_products using (product_id)
-    join interactions using (user_id, product_id)) using (user_id)
-group by user_id"""
+        + f"""
+select user_id, product_id, {r('avg(rating)')} as avg_rating
+from interactions join top_users using (user_id) join top_products using (product_id)
+where rating is not null group by user_id, product_id"""
     )
 )
 def top_rating_matrix(spark, sf_dir):
     wide = stats.top_rating_matrix(_built(spark, sf_dir), 100, 100)
-    rated = [F.col(f"`{name}`").isNotNull().cast("bigint") for name in wide.columns[1:]]
-    return wide.select("user_id", sum(rated[1:], rated[0]).alias("n_rated"))
+    products = [F.col(f"`{name}`") for name in wide.columns[1:]]
+    long = wide.unpivot("user_id", products, "product_id", "avg_rating")
+    return long.where("avg_rating is not null").select("user_id", "product_id", rounded("avg_rating"))
 
 
 IMPACT = {
@@ -399,13 +399,8 @@ SUMMARY_SQL = (
 )
 
 
-@query(sql(SUMMARY_SQL))
-def exploration_summary(spark, sf_dir):
-    interactions = _built(spark, sf_dir)
-    n_raw = views.lines(spark, sf_dir).agg(F.count(F.lit(1)))
-    record = summarize(
-        interactions, views.products(spark, sf_dir), _users(spark, sf_dir), n_raw
-    )
+def _flat_summary(record):
+    """The figures of the nested record side by side."""
     groups = {
         "rating_distribution": RATINGS,
         "user_activity": ACTIVITY,
@@ -422,7 +417,17 @@ def exploration_summary(spark, sf_dir):
     return record.select(*flat, "temporal_trends.*", "categories.n_categories")
 
 
-@query(sql(f"select cast({r('avg(rating)')} as double) as mean, 1 as n_lines from interactions"))
+@query(sql(SUMMARY_SQL))
+def exploration_summary(spark, sf_dir):
+    interactions = _built(spark, sf_dir)
+    n_raw = views.lines(spark, sf_dir).agg(F.count(F.lit(1)))
+    record = summarize(
+        interactions, views.products(spark, sf_dir), _users(spark, sf_dir), n_raw
+    )
+    return _flat_summary(record)
+
+
+@query(sql(SUMMARY_SQL))
 def summary_as_json(spark, sf_dir):
     interactions = _built(spark, sf_dir)
     n_raw = views.lines(spark, sf_dir).agg(F.count(F.lit(1)))
@@ -431,7 +436,4 @@ def summary_as_json(spark, sf_dir):
     )
     path = scratch(spark, "summary")
     sinks.save_summary(record, path)
-    lines = spark.read.json(path)
-    return lines.agg(
-        F.max("rating_distribution.mean").alias("mean"), F.count(F.lit(1)).cast("int").alias("n_lines")
-    ).select(rounded("mean"), "n_lines")
+    return _flat_summary(spark.read.json(path))

@@ -1,6 +1,6 @@
 import numpy as np
 import pytest
-from conftest import rows, unit_vectors
+from conftest import N_PRODUCTS, N_USERS, rows, unit_vectors
 from pyspark.sql import functions as F
 
 from tallyrec.operators import factor
@@ -59,8 +59,8 @@ def test_too_many_products_for_the_driver_are_an_error_at_once():
 def test_no_row_passes_through_python_on_the_way_to_the_solver(spark, ratings):
     cells = factor.rating_cells(ratings)
     items = factor.dense_index(cells, "product_id", "item_idx")
-    rows_ = factor.centred_rows(cells, items, 30)
-    vectors = factor.sparse_vectors(rows_, 30)
+    rows_ = factor.centred_rows(cells, items, N_PRODUCTS)
+    vectors = factor.sparse_vectors(rows_, N_PRODUCTS)
     for df in (rows_, vectors):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "Python" not in plan and "Arrow" not in plan
@@ -79,7 +79,7 @@ def test_a_missing_id_gets_the_popular_list(spark, model, hybrid):
 
 def test_factors_are_capped(ratings):
     model = SvdRecommender(n_factors=500).fit(ratings)
-    assert model.user_factors.agg(F.max(F.size("vector"))).first()[0] <= 19
+    assert model.user_factors.agg(F.max(F.size("vector"))).first()[0] <= N_USERS - 1
 
 
 def test_one_product_cannot_be_factorized(spark):
@@ -218,7 +218,7 @@ def test_batch_of_requests(spark, hybrid):
     assert len(found) == 10
     assert {i for i, r in found.items() if r["status"] == "invalid"} == {5, 6, 7, 8}
     lengths = {i: len(r["recommendations"]) for i, r in found.items() if r["status"] == "ok"}
-    assert lengths == {1: 2, 2: 6, 3: 2, 4: 3, 9: 10, 10: 30}
+    assert lengths == {1: 2, 2: 6, 3: 2, 4: 3, 9: 10, 10: N_PRODUCTS}
     assert found[1]["recommendations"] == found[3]["recommendations"]
     alone = hybrid.recommend(spark.createDataFrame([("u1",)], "user_id string"), 6).orderBy("rank")
     assert [(r["product_id"], r["score"]) for r in found[2]["recommendations"]] == [

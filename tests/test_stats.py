@@ -1,7 +1,7 @@
 import numpy as np
 import pandas as pd
 import pytest
-from conftest import rows
+from conftest import N_PRODUCTS, N_RATINGS, N_USERS, rows
 from pyspark.sql import functions as F
 
 from tallyrec.operators import distribution, stats, tables
@@ -127,7 +127,7 @@ def test_sparsity_report_and_heatmap(ratings, pdf):
     table = pdf.pivot_table(index="user_id", columns="product_id", values="rating", aggfunc="mean")
     table = table.reindex(index=users, columns=products)
     assert found["sample_sparsity"] == pytest.approx(1 - table.notna().values.mean())
-    assert found["density"] == pytest.approx(200 / (20 * 30))
+    assert found["density"] == pytest.approx(N_RATINGS / (N_USERS * N_PRODUCTS))
     grid = stats.interaction_heatmap(ratings, 5)
     assert grid.count() == 25
     assert grid.agg(F.sum("has_interaction")).first()[0] == table.notna().values.sum()
@@ -143,9 +143,9 @@ def test_heatmap_plan_has_no_cross_join(ratings):
 
 
 def test_filter_impact(spark, ratings):
-    n_raw = spark.range(1).select(F.lit(400).alias("n"))
+    n_raw = spark.range(1).select(F.lit(2 * N_RATINGS).alias("n"))
     assert one(stats.filter_impact(n_raw, ratings)) == {
-        "n_raw": 400, "n_processed": 200, "pct_retained": 50.0, "n_dropped": 200,
+        "n_raw": 2 * N_RATINGS, "n_processed": N_RATINGS, "pct_retained": 50.0, "n_dropped": N_RATINGS,
     }
     none = spark.range(1).select(F.lit(0).alias("n"))
     assert one(stats.filter_impact(none, ratings))["pct_retained"] == 0.0
@@ -182,7 +182,7 @@ def test_correlation_of_a_constant_is_null(spark):
 def test_rating_bins_keep_every_user(ratings):
     users = tables.build_users(ratings)
     found = stats.activity_rating_bins(users)
-    assert found.agg(F.sum("n"), F.max("x_bin"), F.max("y_bin")).first()[:] == (20, 39, 39)
+    assert found.agg(F.sum("n"), F.max("x_bin"), F.max("y_bin")).first()[:] == (N_USERS, 39, 39)
 
 
 def test_summary_of_empty_tables(spark, ratings):
