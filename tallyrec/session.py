@@ -4,6 +4,9 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.types import StructType
@@ -42,12 +45,49 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+_workspace: ContextVar[str | None] = ContextVar("workspace", default=None)
+
+
+@contextmanager
+def workspace(spark: SparkSession) -> Iterator[str]:
+    """A folder of its own for the tables that :func:`materialize` writes, deleted at the end.
+
+    What a job returns reads those tables, so write or collect it before the end.
+    """
+    path = f"{shared_folder(spark)}/workspace-{uuid.uuid4().hex}"
+    token = _workspace.set(path)
+    try:
+        yield path
+    finally:
+        _workspace.reset(token)
+        delete(spark, path)
+
+
+def _hadoop_path(spark: SparkSession, path: str):
+    # PySpark has no public way to look at or delete files of a store that only Spark reaches
+    found = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return found, found.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    """Whether there is a file or folder of that name."""
+    found, store = _hadoop_path(spark, path)
+    return store.exists(found)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Delete a file, or a folder with all that is in it."""
+    found, store = _hadoop_path(spark, path)
+    store.delete(found, True)
+
+
 def materialize(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, under another ``schema`` if one is given.
 
     This cuts the lineage and, unlike a checkpointed RDD, keeps column pruning and gives the
     optimizer the true size of the table, so its choice of broadcast or shuffle join is checked.
     """
-    path = f"{shared_folder(df.sparkSession)}/{label}-{uuid.uuid4().hex}"
+    folder = _workspace.get() or shared_folder(df.sparkSession)
+    path = f"{folder}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return df.sparkSession.read.schema(schema or df.schema).parquet(path)

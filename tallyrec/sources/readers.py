@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tallyrec.functions.columns import flatten_category, flatten_description
+from tallyrec.session import exists
 
 # File suffixes in the order they are tried.
 SUFFIXES = ("parquet", "json.gz", "jsonl.gz", "json", "jsonl", "csv.gz", "csv")
@@ -39,12 +40,9 @@ PROCESSED_TABLES = ("interactions", "products", "users")
 
 def resolve_source(spark: SparkSession, folder: str, stem: str) -> str | None:
     """The first existing ``{stem}.{suffix}`` in ``folder``, a file or a folder of part files."""
-    jvm = spark.sparkContext._jvm
-    conf = spark.sparkContext._jsc.hadoopConfiguration()
     for suffix in SUFFIXES:
         name = f"{folder.rstrip('/')}/{stem}.{suffix}"
-        path = jvm.org.apache.hadoop.fs.Path(name)
-        if path.getFileSystem(conf).exists(path):
+        if exists(spark, name):
             return name
     return None
 

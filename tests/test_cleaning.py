@@ -3,6 +3,7 @@ from conftest import rows
 
 from tallyrec.operators import cleaning, tables
 from tallyrec.plans.prepare import prepare
+from tallyrec.session import exists, workspace
 
 
 def reviews(spark, *data, rating="double"):
@@ -105,6 +106,15 @@ def test_stage_counts_read_the_raw_input_once(spark, folder):
     assert prepare(raw.limit(0), None, 1, 1, ["seq"]).stage_counts.first()["raw"] == 0
 
 
+def test_a_workspace_leaves_nothing_behind(spark):
+    df = reviews(spark, *[(f"u{i % 7}", f"p{i % 5}", 4.0) for i in range(60)])
+    with workspace(spark) as path:
+        prepared = prepare(df, None, 2, 2, ["seq"])
+        assert prepared.interactions.count() == 35
+        assert exists(spark, path)
+    assert not exists(spark, path)
+
+
 def test_milliseconds(spark):
     df = spark.createDataFrame([("a", "x", 1.0, 1_600_000_000_999)], "user_id string, product_id string, rating double, timestamp long")
     assert tables.build_interactions(df, "ms").first()["timestamp"] == 1_600_000_000
