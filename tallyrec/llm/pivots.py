@@ -133,14 +133,15 @@ def _judge(n_pivots: int, min_cosine: float) -> Callable:
             np.add.at(links, right, linked.T @ sizes[left])
         some = np.flatnonzero(links)
         roots = _least_linked(linked, ids, left, right)
-        return pa.table(
-            {"class_id": pa.array(ids[some]), "links": pa.array(links[some]), "root": pa.array(roots[some])}
-        )
+        found = [pa.array(column[some]) for column in (ids, links, roots)]
+        return pa.table(found, ["class_id", "links", "root"])
 
     return run
 
 
-def _least_linked(linked: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarray) -> np.ndarray:
+def _least_linked(
+    linked: np.ndarray, ids: np.ndarray, left: np.ndarray, right: np.ndarray
+) -> np.ndarray:
     """For each row the smallest id in its component inside the group."""
     least, none = ids.copy(), np.iinfo(np.int64).max
     while True:

@@ -50,7 +50,9 @@ def _best(scores: np.ndarray, k: int) -> np.ndarray:
     k = min(k, n)
     if np.abs(scores.astype(float)).max(initial=0) < 2.0**62 / max(n, 1):
         unique = scores * n + np.arange(n - 1, -1, -1)
-        best = np.argpartition(unique, n - k, axis=1)[:, n - k :] if k < n else np.arange(n) + 0 * unique
+        best = np.broadcast_to(np.arange(n), scores.shape)
+        if k < n:
+            best = np.argpartition(unique, n - k, axis=1)[:, n - k :]
         order = np.argsort(-np.take_along_axis(unique, best, axis=1), axis=1)
         return np.take_along_axis(best, order, axis=1)
     rows = [sorted(range(n), key=lambda j, row=row: (-int(row[j]), j))[:k] for row in scores]
