@@ -28,7 +28,8 @@ from tallyrec.llm.batches import slices, texts
 
 PIECES_AT_ONCE = 100_000
 LONG_PIECE = 128  # bytes; longer pieces contract all places of a pair at once where that is safe
-CACHED_CHUNKS = 500_000
+SLICE_BYTES = 4 << 20  # of texts at a time
+CACHED_CHUNKS = 350_000
 CACHED_BYTES = 64 << 20
 DUCKDB_MEMORY = "256MB"
 
@@ -155,6 +156,12 @@ class Codec:
         self._table(name, w=np.arange(len(lists), dtype=np.int32), ids=lists)
         return self.con.sql(query).to_arrow_table().column(1).combine_chunks()
 
+    def release(self) -> None:
+        """Give back what was kept of earlier texts; workers live on after a task."""
+        self._forget()
+        self.con.execute("drop table if exists start; drop table if exists encoded")
+        pa.default_memory_pool().release_unused()
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """Tokens (little-endian unsigned 32-bit) and decoded bytes of distinct pieces."""
         kinds = [0 if p in self.ranks else 1 if len(p) <= LONG_PIECE else 2 for p in pieces]
@@ -274,13 +281,16 @@ _KINDS = {
 def _encoder(ranks: Broadcast, pattern: str, columns: Sequence[str]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
-        for batch in slices(batches, "text"):
-            values: list[list] = [[] for _ in columns]
-            for found in codec.encode([t.decode() for t in texts(batch, "text")]):
-                for own, name in zip(values, columns, strict=True):
-                    own.append(_COLUMNS[name][1](*found))
-            arrays = [pa.array(v, _COLUMNS[n][0]) for v, n in zip(values, columns, strict=True)]
-            yield pa.record_batch([batch.column("doc_id"), *arrays], ["doc_id", *columns])
+        try:
+            for batch in slices(batches, "text", size=SLICE_BYTES):
+                values: list[list] = [[] for _ in columns]
+                for found in codec.encode([t.decode() for t in texts(batch, "text")]):
+                    for own, name in zip(values, columns, strict=True):
+                        own.append(_COLUMNS[name][1](*found))
+                arrays = [pa.array(v, _COLUMNS[n][0]) for v, n in zip(values, columns, strict=True)]
+                yield pa.record_batch([batch.column("doc_id"), *arrays], ["doc_id", *columns])
+        finally:
+            codec.release()
 
     return run
 
