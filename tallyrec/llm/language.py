@@ -27,6 +27,7 @@ DOCS_PER_LANGUAGE = 2000  # the model is fitted on about so many documents of a
 PENALTY = 12.0  # nats for a change of language between two words
 SMOOTHING = 0.2
 SCRIPT_SHARE = 0.01  # of a language's letters that make a script one of its own
+SLICE_BYTES = 2 << 20  # of texts at a time; the arrays made of them take some thirty times that
 SEED = 909
 UNKNOWN = "und"
 
@@ -255,7 +256,7 @@ def _predictor(
     model: Model, spans: bool, lang: str = "lang_pred", score: str = "score"
 ) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, "text", size=4 << 20):
+        for batch in slices(batches, "text", size=SLICE_BYTES):
             some = [t.decode() for t in texts(batch, "text")]
             found, scores, runs = _predict(model, some, spans)
             columns = [*batch.columns, pa.array(found, pa.string()), pa.array(scores, pa.float64())]
