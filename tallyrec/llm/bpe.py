@@ -28,7 +28,7 @@ from tallyrec.llm.batches import slices, texts
 
 PIECES_AT_ONCE = 100_000
 LONG_PIECE = 128  # bytes; longer pieces contract all places of a pair at once where that is safe
-SLICE_BYTES = 4 << 20  # of texts at a time
+SLICE_BYTES = 8 << 20  # of texts at a time
 CACHED_CHUNKS = 350_000
 CACHED_BYTES = 64 << 20
 DUCKDB_MEMORY = "256MB"
