@@ -391,7 +391,11 @@ def remove_repeats(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
         F.coalesce(F.octet_length("text"), F.lit(0)).alias("bytes"),
     )
     slim = materialize(slim, "substring-rows")
-    firsts = slim.groupBy("hash", "hash2").agg(F.min("key").alias("first"))
+    texts_ = slim.groupBy("hash", "hash2").agg(
+        F.min("key").alias("first"), F.max("key").alias("last")
+    )
+    # written, so that Spark can split the join where one text has a large share of the rows
+    firsts = materialize(texts_.where("first < last").drop("last"), "substring-firsts")
     copies = slim.join(firsts, ["hash", "hash2"]).where(F.col("key") != F.col("first"))
     copies = copies.select("key", "hash", F.lit(None).cast("binary").alias("places"), F.lit(True).alias("is_copy"))
 
