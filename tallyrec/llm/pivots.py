@@ -10,8 +10,10 @@ A list longer than ``BLOCK`` rows is cut into blocks by a hash, and each pair of
 its own, so memory is bounded however many vectors lie near one pivot. A group never emits pairs: it
 returns, per vector, the number of links found and the smallest vector reachable inside the group.
 
-The reference points are the fit of the index: a sample of ``PIVOTS`` vectors, those with the
-smallest hashes. Vectors of a length that the sample holds too few of get seeded random points.
+The reference points are the fit of the index: of the ``CANDIDATES`` vectors with the smallest hashes,
+up to ``PIVOTS`` of which no two lie within twice the angle of a link. So a large group of similar
+vectors holds about one of them, and far points order its members, which see them much alike; were
+many points inside the group, their order would be noise. Seeded random points fill up what is missing.
 """
 
 from __future__ import annotations
@@ -28,6 +30,7 @@ from tallyrec.llm.vectors import as_doubles, is_finite, matrix, unit_rows
 from tallyrec.session import materialize
 
 PIVOTS = 128
+CANDIDATES = 2048
 PREFIX = 16
 SHARED = 6
 BLOCK = 2048
@@ -60,21 +63,34 @@ def vector_classes(vectors: DataFrame) -> DataFrame:
     )
 
 
-def sample_pivots(classes: DataFrame, n_pivots: int = PIVOTS) -> dict[int, np.ndarray]:
-    """The reference points by vector length, at most ``n_pivots`` in all."""
-    rows = classes.orderBy(F.xxhash64("vector"), "class_id").limit(n_pivots).select("vector")
+def sample_pivots(
+    classes: DataFrame, n_pivots: int = PIVOTS, min_cosine: float = MIN_COSINE
+) -> dict[int, np.ndarray]:
+    """The reference points by vector length, at most ``n_pivots`` of each."""
+    rows = classes.orderBy(F.xxhash64("vector"), "class_id").limit(CANDIDATES).select("vector")
     found: dict[int, list] = {}
     for (vector,) in rows.collect():
         found.setdefault(len(vector), []).append(vector)
-    enough = {dim: np.array(some) for dim, some in found.items() if len(some) >= 2 * PREFIX}
-    return {dim: unit_rows(some) for dim, some in enough.items()}
+    return {dim: _thinned(unit_rows(np.array(some)), n_pivots, min_cosine) for dim, some in found.items()}
+
+
+def _thinned(units: np.ndarray, n_pivots: int, min_cosine: float) -> np.ndarray:
+    """The first ``n_pivots`` rows that are more than twice the angle of a link from each other."""
+    nearest = 2 * min_cosine**2 - 1
+    kept: list[int] = []
+    for i, unit in enumerate(units):
+        if len(kept) == n_pivots:
+            break
+        if (units[kept] @ unit < nearest).all():
+            kept.append(i)
+    return units[kept]
 
 
 def _points(pivots: dict[int, np.ndarray], dim: int, n_pivots: int) -> np.ndarray:
-    if dim not in pivots:
-        rng = np.random.default_rng([SEED, dim])
-        return unit_rows(rng.standard_normal((n_pivots, dim)))
-    return pivots[dim]
+    own = pivots.get(dim, np.empty((0, dim)))
+    rng = np.random.default_rng([SEED, dim])
+    fill = rng.standard_normal((n_pivots - len(own), dim))
+    return np.vstack([own, unit_rows(fill)]) if len(fill) else own
 
 
 def _describe(pivots: dict[int, np.ndarray], n_pivots: int) -> Callable:
@@ -96,9 +112,11 @@ def _describe(pivots: dict[int, np.ndarray], n_pivots: int) -> Callable:
     return run
 
 
-def describe(classes: DataFrame, n_pivots: int = PIVOTS) -> DataFrame:
+def describe(
+    classes: DataFrame, n_pivots: int = PIVOTS, min_cosine: float = MIN_COSINE
+) -> DataFrame:
     """The classes with ``nearest``, their nearest pivots in order of nearness."""
-    pivots = sample_pivots(classes, n_pivots)
+    pivots = sample_pivots(classes, n_pivots, min_cosine)
     kind = f"{classes.select('label').schema[0].dataType.simpleString()}"
     schema = (
         f"class_id long, label {kind}, dim int, vector array<double>, size long, first long, "
@@ -192,7 +210,7 @@ def vector_duplicates(vectors: DataFrame, min_cosine: float = MIN_COSINE) -> Dat
     the share of links found is a matter of the index and is measured in the tests.
     """
     classes = vector_classes(vectors)
-    found = materialize(link_counts(describe(classes), min_cosine=min_cosine), "vector-links")
+    found = materialize(link_counts(describe(classes, min_cosine=min_cosine), min_cosine=min_cosine), "vector-links")
     labels = connected_components(found.select("class_id", "root"), "class_id", "root")
     labels = labels.withColumnRenamed("node", "class_id")
     counts = found.groupBy("class_id").agg(F.sum("links").alias("links"))

@@ -2,6 +2,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from llm_cases import components
 
 from tallyrec.llm.pivots import describe, link_counts, vector_classes, vector_duplicates
@@ -104,6 +105,26 @@ def test_recall_near_the_threshold(spark):
     assert found / len(rows) >= 0.9
 
 
+@pytest.mark.parametrize("share", [1 / 3, 0.98])
+@pytest.mark.parametrize("spread", ["equal", "mixed"])
+def test_recall_in_a_large_group(spark, share, spread):
+    # one group of similar vectors holds a third or nearly all of them
+    rng, n, dim = np.random.default_rng(4), 1500, 64
+    size = int(share * n)
+    units = rng.standard_normal((n, dim))
+    units /= np.linalg.norm(units, axis=1, keepdims=True)
+    centre = units[-1]
+    inside = units[:size] - np.outer(units[:size] @ centre, centre)
+    inside /= np.linalg.norm(inside, axis=1, keepdims=True)
+    cosines = np.full((size, 1), math.sqrt(0.935)) if spread == "equal" else 1 - 0.06 * rng.random((size, 1))
+    units[:size] = cosines * centre + np.sqrt(1 - cosines**2) * inside
+    near = units @ units.T >= 0.93
+    np.fill_diagonal(near, False)
+    found = vector_duplicates(table(spark, [(i, v.tolist(), 0) for i, v in enumerate(units)]))
+    links = sum(r.n_links for r in found.collect())
+    assert 0.9 <= links / near.sum() <= 1
+
+
 def test_blocks_give_the_same_links(spark):
     rows = clustered(5, 3, 60, 0.6)
     described = describe(vector_classes(table(spark, rows)))
