@@ -16,6 +16,7 @@ neither a bucket nor the list of bucket totals of a source with a third of all r
 from __future__ import annotations
 
 import json
+from collections.abc import Sequence
 
 import numpy as np
 from pyspark.sql import Column, DataFrame, Window
@@ -103,12 +104,14 @@ def _plan(sources: list, n_shards: int, n_blocks: int) -> str:
     )
 
 
-def mix_sources(docs: DataFrame, n_shards: int = N_SHARDS, n_blocks: int = N_BLOCKS) -> DataFrame:
+def mix_sources(
+    docs: DataFrame, n_shards: int = N_SHARDS, n_blocks: int = N_BLOCKS, carry: Sequence[str] = ()
+) -> DataFrame:
     """What the mix takes from every document.
 
     Sources in the order of their code points, null last, weigh 3, 1, 2 and so on. Returns, one row
     per row of ``docs``: ``doc_id``, ``source``, ``size`` (words), ``source_size``, ``target`` (words
-    to take from the source) and ``pieces``, an array of ``copy`` (0 or 1), ``shard``, ``block``,
+    to take from the source), the columns named in ``carry`` and ``pieces``, an array of ``copy`` (0 or 1), ``shard``, ``block``,
     ``first_word`` (from 0) and ``n_words``. A source's pieces add up to its target, rounded to a
     word, and a document is taken twice at most. Everything depends on the rows only, so another
     run gives the same mix.
@@ -125,6 +128,7 @@ def mix_sources(docs: DataFrame, n_shards: int = N_SHARDS, n_blocks: int = N_BLO
         F.col("source").cast("string").alias("source"),
         n_words(text).alias("size"),
         F.xxhash64(F.lit(SEED), F.col("doc_id"), text).alias("turn"),
+        *[F.col(name).alias(f"_{i}") for i, name in enumerate(carry)],
     )
     slim = materialize(slim, "mix-rows")
     found = slim.groupBy("source").agg(
@@ -148,7 +152,8 @@ def mix_sources(docs: DataFrame, n_shards: int = N_SHARDS, n_blocks: int = N_BLO
     known = slim.join(sources, same).withColumn(
         "bucket", F.pmod("turn", F.ceil(F.col("rows") / rows_each))
     )
-    own = Window.partitionBy("rank", "bucket").orderBy("turn", "doc_id")
+    carried = [F.col(f"_{i}") for i in range(len(carry))]
+    own = Window.partitionBy("rank", "bucket").orderBy("turn", "doc_id", *carried)
     until = Window.partitionBy("rank").orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = (
         known.groupBy("rank", "bucket")
@@ -160,7 +165,9 @@ def mix_sources(docs: DataFrame, n_shards: int = N_SHARDS, n_blocks: int = N_BLO
     placed = placed.withColumn("start", F.col("skip") + F.col("running") - F.col("size"))
     copies = [_pieces(copy) for copy in range(MAX_REPEATS)]
     return placed.select(
-        "doc_id", "source", "size", "source_size", "target", F.concat(*copies).alias("pieces")
+        *("doc_id", "source", "size", "source_size", "target"),
+        *[column.alias(name) for column, name in zip(carried, carry, strict=True)],
+        F.concat(*copies).alias("pieces"),
     )
 
 
@@ -193,10 +200,13 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A document that is taken in part, at the end of its source's words, keeps its first words,
     joined by single spaces. ``docs`` needs ``doc_id``, ``source`` and ``text``; ``n_chars`` is set
-    anew if it is there. Rows that repeat a ``doc_id`` are taken as often as all of them together.
+    anew if it is there. Each row is taken as the mix takes it, whatever rows share its ``doc_id`` or
+    have none: rows are told apart by a number that is written once.
     """
-    taken = mix_sources(docs).select(
-        F.col("doc_id").alias("_id"),
+    columns = docs.columns
+    docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
+    taken = mix_sources(docs, carry=["_row"]).select(
+        "_row",
         F.col("size").alias("_size"),
         F.inline(
             F.transform(
@@ -215,12 +225,12 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     taken = taken.where("_taken > 0")
     text = F.col("text")
     front = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORDS), 0), 1, F.col("_taken")), " ")
-    joined = docs.join(taken, docs["doc_id"].eqNullSafe(taken["_id"])).withColumn(
+    joined = docs.join(taken, "_row").withColumn(
         "text", F.when(F.col("_taken") < F.col("_size"), front).otherwise(text)
     )
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*docs.columns)
+    return joined.select(*columns)
 
 
 def write_mix(docs: DataFrame, path: str) -> None:

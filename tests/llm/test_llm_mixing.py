@@ -103,3 +103,21 @@ def test_empty_tables(spark):
     assert mix_sources(empty).count() == 0 and mixed_documents(empty).count() == 0
     wordless = table(spark, [(1, None), (2, " ")], ["a", None])
     assert [r.pieces for r in mix_sources(wordless).collect()] == [[], []]
+
+
+def test_mixed_documents_without_own_ids(spark):
+    # a third of the rows has no id and another third has one id, with texts of different lengths
+    rows = [([None, 7, i][i % 3], f"w{i} " * (3 + i % 30)) for i in range(150)]
+    sources = ["a" if i < 100 else "b" for i in range(150)]
+    sizes = [sum(len(t.split()) for (_, t), s in zip(rows, sources) if s == name) for name in "ab"]
+    got, times = {"a": 0, "b": 0}, {}
+    for r in mixed_documents(table(spark, rows, sources)).collect():
+        own = r.text.split()
+        i = int(own[0][1:])
+        assert set(own) == {f"w{i}"} and (r.doc_id, r.source) == (rows[i][0], sources[i])
+        got[r.source] += len(own)
+        times.setdefault(i, []).append(len(own))
+    assert [got[name] for name in "ab"] == [round(t) for t in targets(sizes)]
+    assert max(map(len, times.values())) <= 2
+    cut = [n for i, taken in times.items() for n in taken if n < 3 + i % 30]
+    assert len(cut) <= 2  # the last document of a source only
