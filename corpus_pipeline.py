@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tallyrec.llm.bpe import encode_documents
 from tallyrec.llm.language import UNKNOWN, own_model, tagged
 from tallyrec.llm.mixing import mixed_documents
-from tallyrec.llm.simhash import simhash_duplicates
+from tallyrec.llm.simhash import without_near_duplicates
 from tallyrec.llm.substrings import remove_repeats
 from tallyrec.session import shared_folder
 
@@ -29,8 +29,7 @@ def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near-duplicates stays, the one with the smallest id."""
-    others = simhash_duplicates(docs).where(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(others, docs["doc_id"].eqNullSafe(others["_gone"]), "left_anti")
+    return without_near_duplicates(docs)
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -12,7 +12,7 @@ Only distinct fingerprints are joined: copies of any number are one row there.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
@@ -58,15 +58,20 @@ def simhash(text: bytes | None) -> int:
 
 def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = batch.column(1).cast(pa.binary())
+        texts = batch.column("text").cast(pa.binary())
         found = np.array([simhash(t.as_py()) for t in texts], np.uint64).view(np.int64)
-        yield pa.record_batch([batch.column(0), pa.array(found)], ["doc_id", "fingerprint"])
+        others = batch.drop_columns(["text"])
+        yield pa.record_batch(
+            [*others.columns, pa.array(found)], [*others.schema.names, "fingerprint"]
+        )
 
 
-def fingerprints(docs: DataFrame) -> DataFrame:
-    """``doc_id`` and the fingerprint of ``text`` as a signed long, one row per row of ``docs``."""
-    slim = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string"))
-    return slim.mapInArrow(_fingerprint_batches, "doc_id long, fingerprint long")
+def fingerprints(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, the columns named in ``carry`` and the fingerprint of ``text`` as a signed long, one
+    row per row of ``docs``."""
+    slim = docs.select(F.col("doc_id").cast("long"), *carry, F.col("text").cast("string"))
+    kinds = [f"{f.name} {f.dataType.simpleString()}" for f in slim.drop("text").schema.fields]
+    return slim.mapInArrow(_fingerprint_batches, ", ".join([*kinds, "fingerprint long"]))
 
 
 def near_pairs(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFrame:
@@ -129,18 +134,39 @@ def simhash_duplicates(docs: DataFrame) -> DataFrame:
     ``text`` are ignored; an empty table gives an empty result.
     """
     marked = materialize(fingerprints(docs), "fingerprints")
-    classes = marked.groupBy("fingerprint").agg(F.min("doc_id").alias("first"))
-    labels = connected_components(near_pairs(classes.select("fingerprint")))
-    labels = labels.withColumnRenamed("node", "fingerprint")
-    rooted = classes.join(labels, "fingerprint", "left").withColumn(
-        "root", F.coalesce("root", "fingerprint")
-    )
-    rooted = materialize(rooted, "fingerprint-roots")
-    least = rooted.groupBy("root").agg(F.min("first").alias("component_id"))
-    members = rooted.join(least, "root").select("fingerprint", "component_id")
+    members = _members(marked, F.col("doc_id")).withColumnRenamed("least", "component_id")
     return marked.join(members, "fingerprint").select(
         "doc_id",
         F.lower(F.lpad(F.hex("fingerprint"), 16, "0")).alias("fingerprint"),
         "component_id",
         F.col("doc_id").eqNullSafe(F.col("component_id")).alias("kept"),
     )
+
+
+def _members(marked: DataFrame, order: Column) -> DataFrame:
+    """``fingerprint`` and ``least``, the smallest ``order`` of the rows in its component."""
+    classes = marked.groupBy("fingerprint").agg(F.min(order).alias("first"))
+    labels = connected_components(near_pairs(classes.select("fingerprint")))
+    labels = labels.withColumnRenamed("node", "fingerprint")
+    rooted = classes.join(labels, "fingerprint", "left").withColumn(
+        "root", F.coalesce("root", "fingerprint")
+    )
+    rooted = materialize(rooted, "fingerprint-roots")
+    least = rooted.groupBy("root").agg(F.min("first").alias("least"))
+    return rooted.join(least, "root").select("fingerprint", "least")
+
+
+def without_near_duplicates(docs: DataFrame) -> DataFrame:
+    """One row of each component of :func:`simhash_duplicates`, with all columns of ``docs``.
+
+    The row with the smallest ``doc_id`` stays, one without an id only if no other is there, and of
+    several such rows a single one. Rows are told apart by a number that is written once, so rows
+    that share a ``doc_id``, or have none, are judged each by its own text.
+    """
+    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    numbered = materialize(numbered, "near-documents")
+    marked = materialize(fingerprints(numbered, ["_row"]), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
+    members = _members(marked, order).select("fingerprint", F.col("least")["_row"].alias("stays"))
+    gone = marked.join(members, "fingerprint").where(F.col("_row") != F.col("stays"))
+    return numbered.join(gone.select("_row"), "_row", "left_anti").select(*docs.columns)

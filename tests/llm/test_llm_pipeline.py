@@ -33,6 +33,18 @@ def test_stages(spark):
     assert sorted((r.doc_id is None, r.doc_id or 0, r.ids) for r in last) == wanted
 
 
+def test_near_duplicates_by_row(spark):
+    texts = {name: prose(seed, 90) for name, seed in zip("abcdef", range(900, 906))}
+    rows = [(1, "a"), (None, "a"), (None, "b"), (3, "c"), (5, "c"), (5, "d"), (8, "d")]
+    rows += [(None, "e"), (None, "e"), (9, "f"), (9, "f"), (9, "f")]
+    docs = spark.createDataFrame(documents([(i, texts[name]) for i, name in rows]))
+    found = corpus_pipeline.near_duplicates(spark, docs, "")
+    assert found.columns == docs.columns
+    names = {text: name for name, text in texts.items()}
+    kept = sorted((names[r.text], r.doc_id) for r in found.collect())
+    assert kept == [("a", 1), ("b", None), ("c", 3), ("d", 5), ("e", None), ("f", 9)]
+
+
 def test_run_on_given_table(spark):
     found = corpus_pipeline.run(spark, "/root/testdata/sf0.001")
     words = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
