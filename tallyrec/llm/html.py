@@ -3,9 +3,10 @@
 A page becomes a tree of elements. Every paragraph has points for its length and its commas, less the
 share of its text that is links, and passes them on to its ancestors, less the farther up. The
 container with the most points, again discounted by its links, is the article; if it lies in an
-``article`` or ``main`` element, that element is. Siblings with a fair share of points stay, too.
-Elements that are no article by their kind or name (menus, footers, sidebars, notices, adverts,
-forms, comments and the like) are left out wherever they stand.
+``article`` or ``main`` element, that element is, and siblings with a fair share of points stay, too.
+A page without such an element has no mark where its article ends, so all of it stays but link lists
+outside the best container. Elements that are no article by their kind or name (menus, footers,
+sidebars, notices, adverts, forms, comments and the like) are left out wherever they stand.
 
 Each page is parsed on its own inside an Arrow batch; there is no shuffle.
 """
@@ -27,7 +28,7 @@ POINT_CHARS, MOST_LENGTH_POINTS = 100, 3
 LEVELS = 5
 SEMANTIC_BONUS = 25
 SIBLING_SHARE = 0.2
-MAX_LINK_DENSITY = 0.5  # of lists and boxes inside the article
+MAX_LINK_DENSITY = 0.5  # of lists and boxes outside the article
 
 # Elements of the HTML standard by how they are treated.
 VOID = set("area base br col embed hr img input link meta param source track wbr".split())
@@ -261,8 +262,9 @@ def _final(node: _Node) -> float:
     return (node.points + node.bonus) * (1 - _density(node)) if node.points > 0 else 0.0
 
 
-def _containers(nodes: list[_Node]) -> list[_Node]:
-    """The article and the siblings that belong to it, in page order."""
+def _containers(nodes: list[_Node]) -> tuple[_Node, list[_Node]]:
+    """The article, and what to show in page order: it and the siblings that belong to it, or all of
+    the page."""
     best, most = nodes[0], 0.0
     for node in nodes[1:]:
         if not node.inline and node.tag not in PARAGRAPHS and node.points > 0:
@@ -276,9 +278,9 @@ def _containers(nodes: list[_Node]) -> list[_Node]:
             if above.tag == "article":
                 break
         above = above.parent
-    best = article or best
-    if best.parent is None:
-        return [best]
+    if article is None:
+        return best, nodes[:1]
+    best = article
     most = _final(best)
     kept = []
     for item in best.parent.items:
@@ -290,23 +292,39 @@ def _containers(nodes: list[_Node]) -> list[_Node]:
             is_like = item.points and _final(item) - item.bonus >= max(10, SIBLING_SHARE * most)
             if is_heading or is_text or is_like:
                 kept.append(item)
-    return kept
+    return best, kept
+
+
+def _is_link_list(node: _Node, article: _Node) -> bool:
+    """Whether a box outside the article is mostly links, or a plain list inside it nothing else."""
+    if _density(node) <= MAX_LINK_DENSITY:
+        return False
+    above = node
+    while above is not None and above is not article:
+        above = above.parent
+    if above is article:
+        return node.tag == "ul" and node.links >= node.text
+    above = article
+    while above is not None and above is not node:
+        above = above.parent
+    return above is None  # a box around the article stays
 
 
 def _is_comment_box(node: _Node) -> bool:
-    """Whether the first thing in it is a heading that announces comments."""
+    """Whether the first thing in it is a heading of no more than a title of comments and a count."""
     for item in node.items:
         if isinstance(item, _Node):
             if item.tag not in HEADINGS:
                 return False
             words = "".join(i for i in item.items if isinstance(i, str)).lower().split()
-            return any(w.strip("():") in COMMENT_TITLES for w in words)
+            titles = [w for w in (w.strip("():") for w in words) if not re.fullmatch(r"[\d.,]*", w)]
+            return len(titles) == 1 and titles[0] in COMMENT_TITLES
         if not item.isspace():
             return False
     return False
 
 
-def _blocks(containers: list[_Node]) -> list[str]:
+def _blocks(article: _Node, containers: list[_Node]) -> list[str]:
     out: list[str] = []
     run: list[str] = []
 
@@ -333,7 +351,7 @@ def _blocks(containers: list[_Node]) -> list[str]:
         else:
             end_block()
             box = item.tag in ("ul", "ol", "div", "section", "table", "dl")
-            linked = box and item.links and _density(item) > MAX_LINK_DENSITY
+            linked = box and item.links and _is_link_list(item, article)
             other = item.left_out or linked or box and _is_comment_box(item)
             if not other or id(item) in tops:
                 todo.append(None)
@@ -346,7 +364,7 @@ def main_text(page: str) -> str:
     """The blocks of the article, joined by newlines; empty if the page has no text."""
     nodes = _parse(page)
     _score(nodes)
-    return "\n".join(_blocks(_containers(nodes)))
+    return "\n".join(_blocks(*_containers(nodes)))
 
 
 _RESULT = "page_id long, url string, text string, n_chars long"

@@ -42,6 +42,25 @@ def test_cases(name):
     assert main_text(page) == "\n".join(blocks)
 
 
+SHORT = "A short closing paragraph of the second part, some words."
+WHOLE = {
+    "sections": (f"<div><section><p>{ONE * 9}</p></section><section><h2>B</h2><p>{SHORT}</p></section></div>", [ONE * 9, "B", SHORT]),
+    "nested sections": (f"<div><section><div><p>{ONE * 9}</p></div></section><section><div><p>{SHORT}</p></div></section></div>", [ONE * 9, SHORT]),
+    "between": (f"<div>intro<section><p>{ONE * 9}</p></section><h2>B</h2><p>Yes.</p><ul><li>item</ul><table><tr><td>cell</table></div>", ["intro", ONE * 9, "B", "Yes.", "item", "cell"]),
+    "link box outside": (f"<div><div><a>{OTHER}</a><a>{OTHER}</a> more</div><div><p>{ONE}</p><p>{TWO}</p></div></div>", [ONE, TWO]),
+    "box around": (f"<div><div><a>{OTHER * 9}</a></div><div><p>{ONE}</p><p>{TWO}</p></div></div>", [ONE, TWO]),
+    "sources": (f"<article><p>{ONE}</p><ol><li>A, <a>{TWO}</a></li></ol><ul><li>B, <a>{TWO}</a></li></ul></article>", [ONE, f"A, {TWO}", f"B, {TWO}"]),
+    "discussion": (f"<main><p>{ONE}</p><section><h3>Discussion of results</h3><p>{TWO}</p></section></main>", [ONE, "Discussion of results", TWO]),
+    "counted comments": (f"<main><p>{ONE}</p><section><h3>1,204 Comments:</h3><p>{OTHER}</p></section></main>", [ONE]),
+}
+
+
+@pytest.mark.parametrize("name", WHOLE)
+def test_nothing_else_is_dropped(name):
+    page, blocks = WHOLE[name]
+    assert main_text(page) == "\n".join(blocks)
+
+
 def test_given_pages():
     pages = duckdb.sql("select html from '/root/testdata/sf0.01/pages.parquet'").fetchall()
     from html import unescape
