@@ -21,8 +21,6 @@ from pyspark.sql import functions as F
 
 from tallyrec.session import materialize, shared_folder
 
-MIN_WORDS = 2  # a shorter passage is too common to name its original
-
 MARKS = r"^((?:[ \t]*>)+)"
 # How mail programs announce a quote, in four languages.
 ATTRIBUTION = r"(?i)^(on|am|le|el)\s.*(wrote|schrieb.*|écrit|escribió)\s*:\s*$"
@@ -97,10 +95,7 @@ def _passages(lines: Column) -> Column:
         first, last = span["first"], span["last"]
         own = F.transform(F.slice(lines, first + 1, last - first + 1), lambda line: line["content"])
         said = F.concat(F.array(F.array_join(own, " ")), own)
-        said = F.filter(
-            F.array_distinct(F.transform(said, _normal)),
-            lambda s: F.size(F.split(s, " ")) >= MIN_WORDS,
-        )
+        said = F.filter(F.array_distinct(F.transform(said, _normal)), lambda s: s != "")
         hashes = F.transform(
             said,
             lambda s: F.struct(F.xxhash64(s).alias("hash"), F.xxhash64(F.lit(1), s).alias("hash2")),
@@ -133,8 +128,7 @@ def link_quotations(messages: DataFrame) -> DataFrame:
     every answer comes after what it answers.
 
     A quote is linked to the first message of the same conversation, before the quoting one, that has
-    the passage or one of its lines among its own; passages of less than ``MIN_WORDS`` words are
-    not linked. Of several quotes the outermost level counts, and there the latest original. A null or
+    the passage or one of its lines among its own, however short, with or without spaces. Of several quotes the outermost level counts, and there the latest original. A null or
     empty text has neither quotes nor own passages; messages without a conversation or turn are
     not linked. Rows that repeat a turn are all returned, and count as one message in threads.
     Other columns are ignored; an empty table gives an empty result.

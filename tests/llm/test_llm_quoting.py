@@ -74,6 +74,17 @@ def test_odd_rows(spark):
     assert link_quotations(empty).count() == 0
 
 
+def test_one_word_and_unspaced_quotes(spark):
+    rows = [(1, 0, "Yes."), (1, 1, "> yes.\nWhy?"), (1, 2, "> Why?\nso")]
+    rows += [(2, 0, "今日は天気がいいですね。"), (2, 1, "> 今日は天気がいいですね。\n本当に"), (2, 2, "> 本当に")]
+    rows += [(3, 0, "\t"), (3, 1, ">\t\nno words quoted")]
+    found = {(r.conv_id, r.turn): r for r in link_quotations(spark.createDataFrame(table(rows))).collect()}
+    for conv in (1, 2):
+        got = [(found[conv, i].reply_to, found[conv, i].thread, found[conv, i].n_linked) for i in range(3)]
+        assert got == [(None, 0, 0), (0, 0, 1), (1, 0, 1)]
+    assert found[3, 1].reply_to is None
+
+
 def test_written_in_reply_order(spark, folder):
     write_conversations(spark.createDataFrame(table(CHAT)), f"{folder}/out")
     assert spark.read.parquet(f"{folder}/out").count() == len(CHAT)
