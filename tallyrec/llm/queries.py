@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrec.llm.bpe import encode_documents
+from tallyrec.llm.codes import compress_vectors
 from tallyrec.llm.html import extract_pages
 from tallyrec.llm.language import language_predictions
 from tallyrec.llm.mixing import mix_sources
+from tallyrec.llm.negatives import hard_negatives
 from tallyrec.llm.pivots import vector_duplicates
+from tallyrec.llm.quality import quality_scores
 from tallyrec.llm.quoting import link_quotations
 from tallyrec.llm.search import top_products
 from tallyrec.llm.sharding import assign_shards
@@ -213,3 +216,99 @@ left join roots using (conv_id, turn) left join quotes using (conv_id, turn)
 @query(QUOTATIONS_SQL)
 def op5_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     return link_quotations(table(spark, sf_dir, "conversations"))
+
+
+HARD_NEGATIVES_SQL = """
+with usable as (
+    select vec_id, case when vec_id % 7 = 0 then (label + 1) % 10 else label end as label,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where label is not null and embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+scored as (
+    select a.vec_id as anchor_id, b.vec_id, a.label = b.label as same,
+           cast(list_inner_product(a.v, b.v) as bigint) as score
+    from usable a join usable b on a.vec_id <> b.vec_id and len(a.v) = len(b.v)
+    where a.vec_id % 50 = 0
+),
+positives as (
+    select anchor_id, vec_id as positive_id, score as positive_score from (
+        select *, row_number() over (partition by anchor_id order by score desc, vec_id) as place
+        from scored where same)
+    where place <= 5
+),
+ranked as (
+    select p.*, n.vec_id as negative_id, n.score as negative_score,
+           row_number() over (partition by p.anchor_id, p.positive_id
+                              order by n.score desc, n.vec_id) as rank
+    from positives p join scored n using (anchor_id)
+    where not n.same and 50 * positive_score <= 100 * n.score and 100 * n.score <= 95 * positive_score
+)
+select anchor_id, positive_id, cast(rank as integer) as rank, negative_id, positive_score,
+       negative_score
+from ranked where rank <= 3
+"""
+
+
+@query(HARD_NEGATIVES_SQL)
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    rows = rows.withColumn("label", moved)
+    return hard_negatives(rows, rows.where("vec_id % 50 = 0"))
+
+
+_CHOSEN = """
+chosen{0} as (
+    select n, p, min(struct_pack(d := a.c2 + b.c2 - 2 * list_inner_product(a.c, b.c), e := b.e)) as best
+    from parts a join (select *, list_inner_product(c, c) as c2 from book{0}) b using (p)
+    group by n, p
+)"""
+_REFINED = """
+means{1} as (
+    select p, e, list(m order by i) as c from (
+        select p, best.e as e, i, floor(sum(c[i]) / count(*)) as m
+        from chosen{0} join parts using (n, p), range(1, 5) place(i) group by p, best.e, i)
+    group by p, e
+),
+book{1} as (
+    select p, e, coalesce(means{1}.c, book{0}.c) as c from book{0} left join means{1} using (p, e)
+)"""
+VECTOR_CODES_SQL = f"""
+with kept as (
+    select *, row_number() over (order by vec_id) - 1 as n,
+           list_transform(embedding, lambda x: floor(256 * cast(x as double))) as v
+    from embeddings
+    where embedding is not null
+      and len(list_filter(embedding, lambda x: x is null or not isfinite(x))) = 0
+),
+parts as materialized (
+    select *, list_inner_product(c, c) as c2 from (
+        select n, p, v[4 * p + 1 : 4 * p + 4] as c from kept, range(16) part(p))
+),
+book0 as (select p, n as e, c from parts where n < 64),
+{_CHOSEN.format(0)}, {_REFINED.format(0, 1)},
+{_CHOSEN.format(1)}, {_REFINED.format(1, 2)},
+{_CHOSEN.format(2)},
+coded as (
+    select n, string_agg(printf('%02x', best.e), '' order by p) as code,
+           cast(sum(best.d) as bigint) as error
+    from chosen2 group by n
+)
+select vec_id, code, error, cast(sum(error) over (partition by label) as bigint) as label_error,
+       (select sha256(string_agg(cast(cast(c[i] as bigint) as varchar), ',' order by p, e, i))
+        from book2, range(1, 5) place(i)) as codebooks_sha256
+from kept join coded using (n)
+"""
+
+
+@query(VECTOR_CODES_SQL)
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = compress_vectors(table(spark, sf_dir, "embeddings")).codes
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
+@query()
+def op13_passage_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_scores(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
