@@ -1,21 +1,27 @@
 """Exact top-k inner products between a table of query vectors and a table of product vectors.
 
-No pair of rows is ever joined or emitted: blocks of both tables are multiplied as matrices inside
-the tasks and only the best matches of each query leave a task.
+No pair of rows is ever joined or emitted. Both tables are packed into chunks of some hundred vectors
+a row and dealt into blocks; a task multiplies one block of queries with one block of the index, and
+only the best matches of each query leave it. The lists of a query are then merged in two steps, so
+that no step holds more than the square root of the number of index blocks of them.
 """
 
 from __future__ import annotations
 
 import math
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tallyrec.session import materialize
 
-# Size of a block of the index. One block at a time is broadcast and held by a task.
-BLOCK_BYTES = 64 << 20
+# Size of the vectors in a block of either table; a task holds one of each.
+BLOCK_BYTES = 32 << 20
+
+# Vectors packed into a row, unless a block is smaller than a few such rows, and the fewest query
+# vectors of a block that is made smaller so that all cores have something to do.
+CHUNK_ROWS = 512
+LEAST_QUERIES = 256
 
 # Scores held in memory at a time, as a number of matrix cells.
 CELLS_PER_STEP = 1 << 23
@@ -24,33 +30,35 @@ CELLS_PER_STEP = 1 << 23
 # on how its rows are batched; without rounding, so would the order of equal scores.
 SCORE_DIGITS = 9
 
-BLOCK_SCHEMA = (
-    "query_id string, depth int, low double, high double, "
+PACKED_SCHEMA = "ids array<string>, depths array<int>, vectors binary"
+TILE_SCHEMA = (
+    "query_id string, branch int, depth int, low double, high double, "
     "matches array<struct<loss:double,product_id:string>>"
 )
 
 
-def top_matches(
+def match_lists(
     queries: DataFrame,
     index: DataFrame,
     exclude_self: bool = False,
     block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
-    """The ``depth`` best products for every query, by inner product, ties by product id.
+    """(query_id, low, high, matches): the ``depth`` best products of every query as one array.
 
     ``queries`` is (query_id, vector, depth) and ``index`` (product_id, vector), both with unique
-    ids. ``exclude_self`` leaves out the product whose id equals the query id. ``low`` and ``high``
-    are the smallest and largest score of the query over the whole index. Vectors that are null or
-    hold a null or NaN take no part; vectors of different lengths are an error.
-
-    The index is cut into blocks of at most ``block_bytes``. Queries stay where they are and meet
-    one block after the other; each leaves one row per query, with its best products in the block.
+    ids. ``exclude_self`` leaves out the product whose id equals the query id. ``matches`` holds
+    (loss, product_id), best first: the loss is the negative inner product, ties go by product id.
+    ``low`` and ``high`` are the smallest and largest score of the query over the whole index.
+    Vectors that are null or hold a null or NaN take no part; vectors of different lengths are an
+    error.
+
+    Blocks hold at most about ``block_bytes`` of vectors. The plan is the same for any number of
+    blocks, and neither table passes through the driver.
     """
     queries = _usable(queries, "query_id", F.col("depth").cast("int").alias("depth"))
     index = _usable(index, "product_id")
     size = index.agg(
         F.count(F.lit(1)).alias("rows"),
-        F.coalesce(F.sum(F.size("vector") * 8 + F.length("product_id") + 8), F.lit(0)).alias("bytes"),
         F.min(F.size("vector")).alias("shortest"),
         F.max(F.size("vector")).alias("longest"),
     ).first()
@@ -58,20 +66,42 @@ def top_matches(
         raise ValueError(
             f"the vectors of the index have between {size['shortest']} and {size['longest']} elements"
         )
-    n_blocks = max(1, math.ceil(size["bytes"] / block_bytes))
-    if n_blocks > 1:
-        index, queries = materialize(index, "index"), materialize(queries, "queries")
-    number = F.pmod(F.xxhash64("product_id"), F.lit(n_blocks))
-    blocks = [index.where(number == i) if n_blocks > 1 else index for i in range(n_blocks)]
-    found = reduce(DataFrame.union, [_match_block(queries, b, exclude_self) for b in blocks])
-    if n_blocks > 1:
-        # at most n_blocks * depth products per query
+    width = 8 * max(size["shortest"] or 0, 1)
+    chunk = min(CHUNK_ROWS, max(1, block_bytes // (4 * width)))
+    packed = materialize(queries.mapInArrow(_packer("query_id", chunk), PACKED_SCHEMA), "queries")
+    asked = packed.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n")).first()["n"]
+
+    n_index = max(1, math.ceil(size["rows"] * width / block_bytes))
+    n_queries = max(1, math.ceil(asked * width / block_bytes))
+    cores = queries.sparkSession.sparkContext.defaultParallelism
+    n_queries = max(n_queries, min(math.ceil(cores / n_index), asked // LEAST_QUERIES))
+    left = packed.select("*", _dealt(n_queries, "q"), _every(n_index, "i"))
+    right = index.mapInArrow(_packer("product_id", chunk), PACKED_SCHEMA)
+    right = right.select("*", _dealt(n_index, "i"), _every(n_queries, "q"))
+    tile = _tile(exclude_self, max(1, math.isqrt(n_index)))
+    tiles = left.groupBy("q", "i").cogroup(right.groupBy("q", "i")).applyInArrow(tile, TILE_SCHEMA)
+
+    # both steps group by query inside one partitioning by query
+    merged = tiles.repartition("query_id")
+    for by in (("query_id", "branch"), ("query_id",)):
         best = F.array_sort(F.flatten(F.collect_list("matches")))
-        found = found.groupBy("query_id").agg(
+        merged = merged.groupBy(*by).agg(
             F.min("low").alias("low"),
             F.max("high").alias("high"),
             F.slice(best, 1, F.max("depth")).alias("matches"),
+            F.max("depth").alias("depth"),
         )
+    return merged.drop("depth")
+
+
+def top_matches(
+    queries: DataFrame,
+    index: DataFrame,
+    exclude_self: bool = False,
+    block_bytes: int = BLOCK_BYTES,
+) -> DataFrame:
+    """(query_id, product_id, score, rank, low, high): :func:`match_lists`, a row per match."""
+    found = match_lists(queries, index, exclude_self, block_bytes)
     return found.select(
         "query_id", "low", "high", F.posexplode("matches").alias("position", "match")
     ).select(
@@ -84,29 +114,51 @@ def top_matches(
     )
 
 
+def _dealt(n: int, name: str) -> Column:
+    """The block of a chunk."""
+    return F.pmod(F.xxhash64(F.col("ids")), F.lit(n)).cast("int").alias(name)
+
+
+def _every(n: int, name: str) -> Column:
+    return F.explode(F.sequence(F.lit(0), F.lit(n - 1))).alias(name)
+
+
 def _usable(df: DataFrame, key: str, *more: Column) -> DataFrame:
     vector = F.col("vector").cast("array<double>")
     some = df.select(F.col(key).cast("string").alias(key), vector.alias("vector"), *more)
     return some.where(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x)))
 
 
-def _match_block(queries: DataFrame, block: DataFrame, exclude_self: bool) -> DataFrame:
-    match = _matcher(exclude_self)
-    payload = queries.sparkSession.sparkContext.broadcast(
-        block.toArrow().combine_chunks().sort_by("product_id")
-    )
+def _packer(key: str, chunk: int):
+    """Rows of an id, a vector and perhaps a depth as chunks; all vectors of a chunk are as long."""
+    import numpy as np
+    import pyarrow as pa
 
-    def run(batches):
-        products = None
+    def pack(batches):
         for batch in batches:
-            if products is None:
-                products = match.prepare(payload.value)
-            yield from match.best(products, batch)
-
-    return queries.mapInArrow(run, BLOCK_SCHEMA)
-
-
-def _matcher(exclude_self: bool):
+            vectors = batch.column("vector")
+            lengths = np.diff(vectors.offsets.to_numpy())
+            cuts = np.flatnonzero(np.diff(lengths)) + 1
+            for first, last in zip((0, *cuts), (*cuts, batch.num_rows)):
+                for at in range(first, last, chunk):
+                    part = batch.slice(at, min(chunk, last - at))
+                    n = part.num_rows
+                    ids, flat = part.column(key), part.column("vector").flatten()
+                    depths = part.column("depth") if "depth" in batch.schema.names else pa.nulls(n, pa.int32())
+                    whole = pa.array([0, n], pa.int32())
+                    yield pa.RecordBatch.from_arrays(
+                        [
+                            pa.ListArray.from_arrays(whole, ids.cast(pa.string())),
+                            pa.ListArray.from_arrays(whole, depths),
+                            pa.array([flat.to_numpy(zero_copy_only=False).tobytes()], pa.binary()),
+                        ],
+                        ["ids", "depths", "vectors"],
+                    )
+
+    return pack
+
+
+def _tile(exclude_self: bool, n_branches: int):
     """The code that runs inside the tasks, closed over its settings.
 
     It is defined inside a function so that it reaches the Python workers by value and they need
@@ -119,73 +171,68 @@ def _matcher(exclude_self: bool):
     import pyarrow.compute as pc
 
     entry = pa.struct([("loss", pa.float64()), ("product_id", pa.string())])
-    names = ["query_id", "depth", "low", "high", "matches"]
-
-    def as_matrix(vectors):
-        if isinstance(vectors, pa.ChunkedArray):
-            vectors = vectors.combine_chunks()
-        lengths = np.diff(vectors.offsets.to_numpy())
-        if len(lengths) and lengths.min() != lengths.max():
-            raise ValueError(f"vectors have between {lengths.min()} and {lengths.max()} elements")
-        return vectors.flatten().to_numpy(zero_copy_only=False).reshape(len(vectors), -1)
-
-    class Matcher:
-        @staticmethod
-        def prepare(table):
-            """Product ids in id order, so that a smaller position wins a tie, and their vectors."""
-            ids = table.column("product_id").combine_chunks()
-            return ids, as_matrix(table.column("vector")) if len(ids) else None
-
-        @staticmethod
-        def best(products, batch):
-            ids, matrix = products
-            n = len(ids)
-            if not n or not batch.num_rows:
-                return
-            query_ids = batch.column("query_id")
-            vectors = as_matrix(batch.column("vector"))
+    schema = pa.schema(
+        [("query_id", pa.string()), ("branch", pa.int32()), ("depth", pa.int32()), ("low", pa.float64()),
+         ("high", pa.float64()), ("matches", pa.list_(entry))]
+    )
+
+    def unpacked(table):
+        """Ids and vectors of chunks; the vectors of the index are all as long."""
+        ids = pa.concat_arrays([c.flatten() for c in table.column("ids").chunks])
+        flat = np.frombuffer(b"".join(v.as_buffer() for v in table.column("vectors")), np.float64)
+        return ids, flat.reshape(len(ids), -1)
+
+    def best(ids, matrix, query_ids, vectors, depths):
+        """The best rows of each query as batches; a smaller position in ``ids`` wins a tie."""
+        n = len(ids)
+        step = max(1, cells_per_step // n)
+        for start in range(0, len(query_ids), step):
+            part = slice(start, start + step)
+            wanted = np.minimum(depths[part], n)
+            scores = vectors[part] @ matrix.T
+            scale = 10.0**digits
+            scores = np.floor(scores * scale + 0.5) / scale
+            low, high = scores.min(axis=1), scores.max(axis=1)
+            if exclude_self:
+                own = pc.index_in(query_ids[part], value_set=ids)
+                own = own.fill_null(-1).to_numpy(zero_copy_only=False)
+                rows = np.flatnonzero(own >= 0)
+                scores[rows, own[rows]] = -np.inf
+            k = max(int(wanted.max()), 1)
+            # everything that reaches the k-th best score, ties included
+            bar = np.partition(scores, n - k, axis=1)[:, n - k]
+            row, position = np.nonzero((scores >= bar[:, None]) & np.isfinite(scores))
+            score = scores[row, position]
+            order = np.lexsort((position, -score, row))
+            row, position, score = row[order], position[order], score[order]
+            rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
+            keep = rank <= wanted[row]
+            row, position, score = row[keep], position[keep], score[keep]
+            ends = np.searchsorted(row, np.arange(len(wanted) + 1)).astype(np.int32)
+            matches = pa.StructArray.from_arrays(
+                [pa.array(-score), ids.take(pa.array(position)).cast(pa.string())], fields=list(entry)
+            )
+            yield query_ids[part], depths[part], low, high, pa.ListArray.from_arrays(pa.array(ends), matches)
+
+    def run(left, right):
+        tables = [schema.empty_table()]
+        if not len(left) or not len(right):
+            return tables[0]
+        ids, matrix = unpacked(right)
+        order = pc.sort_indices(ids)  # in id order, so that a smaller position wins a tie
+        ids, matrix = ids.take(order), matrix[order.to_numpy()]
+        branch = right.column("i")[0].as_py() % n_branches
+        for row in range(len(left)):
+            chunk = left.slice(row, 1)
+            query_ids, vectors = unpacked(chunk)
             if vectors.shape[1] != matrix.shape[1]:
-                raise ValueError(
-                    f"a query has {vectors.shape[1]} elements, the index {matrix.shape[1]}"
-                )
-            depths = batch.column("depth").to_numpy(zero_copy_only=False)
-            step = max(1, cells_per_step // n)
-            for start in range(0, batch.num_rows, step):
-                part = slice(start, start + step)
-                wanted = np.minimum(depths[part], n)
-                scores = vectors[part] @ matrix.T
-                scale = 10.0**digits
-                scores = np.floor(scores * scale + 0.5) / scale
-                low, high = scores.min(axis=1), scores.max(axis=1)
-                if exclude_self:
-                    own = pc.index_in(query_ids[part], value_set=ids)
-                    own = own.fill_null(-1).to_numpy(zero_copy_only=False)
-                    rows = np.flatnonzero(own >= 0)
-                    scores[rows, own[rows]] = -np.inf
-                k = max(int(wanted.max()), 1)
-                # everything that reaches the k-th best score, ties included
-                bar = np.partition(scores, n - k, axis=1)[:, n - k]
-                row, position = np.nonzero((scores >= bar[:, None]) & np.isfinite(scores))
-                score = scores[row, position]
-                order = np.lexsort((position, -score, row))
-                row, position, score = row[order], position[order], score[order]
-                rank = np.arange(len(row)) - np.searchsorted(row, row) + 1
-                keep = rank <= wanted[row]
-                row, position, score = row[keep], position[keep], score[keep]
-                ends = np.searchsorted(row, np.arange(len(wanted) + 1)).astype(np.int32)
-                best = pa.StructArray.from_arrays(
-                    [pa.array(-score), ids.take(pa.array(position)).cast(pa.string())],
-                    fields=list(entry),
-                )
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        query_ids[part].cast(pa.string()),
-                        batch.column("depth")[part],
-                        pa.array(low),
-                        pa.array(high),
-                        pa.ListArray.from_arrays(pa.array(ends), best),
-                    ],
-                    names,
-                )
-
-    return Matcher
+                raise ValueError(f"a query has {vectors.shape[1]} elements, the index {matrix.shape[1]}")
+            depths = pa.concat_arrays([c.flatten() for c in chunk.column("depths").chunks])
+            depths = depths.to_numpy(zero_copy_only=False)
+            for found_ids, wanted, low, high, matches in best(ids, matrix, query_ids, vectors, depths):
+                arrays = [found_ids, pa.array(np.full(len(wanted), branch, np.int32)), pa.array(wanted)]
+                arrays += [pa.array(low), pa.array(high), matches]
+                tables.append(pa.table(arrays, schema=schema))
+        return pa.concat_tables(tables)
+
+    return run

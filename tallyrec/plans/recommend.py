@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import json
 from abc import ABC, abstractmethod
 from collections.abc import Sequence
 
@@ -25,6 +24,7 @@ from tallyrec.operators.metrics import CUT_OFF, mean_metrics, relevant_products,
 from tallyrec.operators.nearest import top_matches
 from tallyrec.operators.semantic import SemanticIndex, unique_vectors
 from tallyrec.session import materialize
+from tallyrec.sources.versions import Version, load_version, save_version
 
 # Defaults of the models.
 N_FACTORS = 50
@@ -53,12 +53,16 @@ class Recommender(ABC):
 
     @abstractmethod
     def save(self, path: str) -> None:
-        """Write the model as a folder of Parquet tables."""
+        """Write the model as the newest version of a folder of Parquet tables.
+
+        The folder may be the one it was loaded from. Earlier versions stay readable until
+        :func:`tallyrec.sources.versions.drop_old_versions` deletes them.
+        """
 
     @classmethod
     @abstractmethod
     def load(cls, spark: SparkSession, path: str) -> Recommender:
-        """Read a model written by :meth:`save`."""
+        """Read the newest model written by :meth:`save`."""
 
     def evaluate(self, test: DataFrame) -> DataFrame:
         """One row: precision_at_10, recall_at_10, ndcg_at_10, mrr.
@@ -115,20 +119,28 @@ class SvdRecommender(Recommender):
         deepest = top_k if isinstance(top_k, int) else wanted.agg(F.max("depth")).first()[0] or 0
         return scored.unionByName(popular_lists(self.popularity, unknown, deepest))
 
+    TABLES = ("user_factors", "item_factors", "popularity")
+
     def save(self, path: str) -> None:
         self._check_fitted()
-        root = path.rstrip("/")
-        for name in ("user_factors", "item_factors", "popularity"):
-            getattr(self, name).write.mode("overwrite").parquet(f"{root}/{name}")
-        params = {"n_factors": self.n_factors, "random_state": self.random_state}
-        _save_params(self.user_factors.sparkSession, params, root)
+        save_version(self.user_factors.sparkSession, path, self._tables(), self._params())
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> SvdRecommender:
-        root = path.rstrip("/")
-        model = cls(**_load_params(spark, root))
-        for name in ("user_factors", "item_factors", "popularity"):
-            setattr(model, name, spark.read.parquet(f"{root}/{name}"))
+        saved = _saved(spark, path)
+        return cls._from(saved.tables, saved.params)
+
+    def _tables(self) -> dict[str, DataFrame]:
+        return {name: getattr(self, name) for name in self.TABLES}
+
+    def _params(self) -> dict:
+        return {"n_factors": self.n_factors, "random_state": self.random_state}
+
+    @classmethod
+    def _from(cls, tables: dict[str, DataFrame], params: dict) -> SvdRecommender:
+        model = cls(**params)
+        for name in cls.TABLES:
+            setattr(model, name, tables[name])
         model._fitted = True
         return model
 
@@ -273,18 +285,20 @@ class HybridRecommender(Recommender):
         return self.alpha
 
     def save(self, path: str) -> None:
-        root = path.rstrip("/")
-        self.cf.save(f"{root}/cf")
-        self.vectors.write.mode("overwrite").parquet(f"{root}/vectors")
+        self._check_fitted()
         params = {"alpha": self.alpha, "strategy": self.strategy, "version": self.version}
-        _save_params(self.vectors.sparkSession, params, root)
+        save_version(
+            self.vectors.sparkSession,
+            path,
+            {**self.cf._tables(), "vectors": self.vectors},
+            {"model": params, "cf": self.cf._params()},
+        )
 
     @classmethod
     def load(cls, spark: SparkSession, path: str) -> HybridRecommender:
-        root = path.rstrip("/")
-        vectors = spark.read.parquet(f"{root}/vectors")
-        cf = SvdRecommender.load(spark, f"{root}/cf")
-        return cls(cf, vectors, **_load_params(spark, root))
+        saved = _saved(spark, path)
+        cf = SvdRecommender._from(saved.tables, saved.params["cf"])
+        return cls(cf, saved.tables["vectors"], **saved.params["model"])
 
 
 def _join_user(left: DataFrame, right: DataFrame) -> DataFrame:
@@ -315,10 +329,8 @@ def _join_by_seed(lists: DataFrame, similar: DataFrame, hot: DataFrame) -> DataF
     return left.drop("_hot").join(right.drop("_hot"), ["seed", "_salt"]).drop("seed", "_salt")
 
 
-def _save_params(spark: SparkSession, params: dict, root: str) -> None:
-    line = spark.createDataFrame([(json.dumps(params),)], "value string")
-    line.write.mode("overwrite").text(f"{root}/params.json")
-
-
-def _load_params(spark: SparkSession, root: str) -> dict:
-    return json.loads(spark.read.text(f"{root}/params.json").first()["value"])
+def _saved(spark: SparkSession, path: str) -> Version:
+    saved = load_version(spark, path)
+    if saved is None:
+        raise FileNotFoundError(f"no model is saved in {path}")
+    return saved

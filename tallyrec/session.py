@@ -81,6 +81,32 @@ def delete(spark: SparkSession, path: str) -> None:
     store.delete(found, True)
 
 
+def list_names(spark: SparkSession, path: str) -> list[str]:
+    """The names of the files and folders in a folder."""
+    found, store = _hadoop_path(spark, path)
+    return sorted(status.getPath().getName() for status in store.listStatus(found))
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Write a small file as a whole; False if there is one of that name already.
+
+    The text goes to a hidden file first, which is then renamed, so nobody sees half a file.
+    """
+    found, store = _hadoop_path(spark, path)
+    if store.exists(found):
+        return False
+    hidden, _ = _hadoop_path(spark, f"{found.getParent()}/.{uuid.uuid4().hex}")
+    out = store.create(hidden, False)
+    try:
+        out.write(bytearray(text.encode()))
+    finally:
+        out.close()
+    if store.rename(hidden, found):
+        return True
+    store.delete(hidden, False)
+    return False
+
+
 def materialize(df: DataFrame, label: str, schema: StructType | None = None) -> DataFrame:
     """Write ``df`` to the shared folder and read it back, under another ``schema`` if one is given.
 

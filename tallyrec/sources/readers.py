@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyrec.functions.columns import flatten_category, flatten_description
 from tallyrec.session import exists
+from tallyrec.sources.versions import load_version
 
 # File suffixes in the order they are tried.
 SUFFIXES = ("parquet", "json.gz", "jsonl.gz", "json", "jsonl", "csv.gz", "csv")
@@ -153,8 +154,10 @@ class Processed(NamedTuple):
 
 
 def load_processed(spark: SparkSession, folder: str) -> Processed:
-    """Read the three tables that :func:`tallyrec.sources.sinks.save_processed` writes."""
-    root = folder.rstrip("/")
+    """The three tables that :func:`tallyrec.sources.sinks.save_processed` wrote last, or the three
+    plain Parquet tables in a folder that it never wrote to."""
+    saved = load_version(spark, folder)
+    root = folder.rstrip("/") if saved is None else saved.folder
     return Processed(*(spark.read.parquet(f"{root}/{t}.parquet") for t in PROCESSED_TABLES))
 
 

@@ -6,15 +6,20 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tallyrec.sources.readers import PROCESSED_TABLES
+from tallyrec.sources.versions import save_version
 
 
 def save_processed(
     interactions: DataFrame, products: DataFrame, users: DataFrame, folder: str
 ) -> None:
-    """Write the three tables as Parquet, replacing earlier ones."""
-    root = folder.rstrip("/")
-    for name, df in zip(PROCESSED_TABLES, (interactions, products, users)):
-        df.write.mode("overwrite").parquet(f"{root}/{name}.parquet")
+    """Write the three tables as Parquet, replacing earlier ones all at once.
+
+    They are the newest version of the folder; :func:`tallyrec.sources.readers.load_processed` reads
+    it. The tables may be computed from those they replace.
+    """
+    names = (f"{name}.parquet" for name in PROCESSED_TABLES)
+    tables = dict(zip(names, (interactions, products, users)))
+    save_version(interactions.sparkSession, folder, tables)
 
 
 def save_summary(summary: DataFrame, path: str) -> None:
