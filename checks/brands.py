@@ -193,6 +193,25 @@ def brand_hybrid_saved_model(spark, sf_dir):
     return found.withColumn("model_version", F.lit(model.version))
 
 
+# A model that is saved, loaded, saved again in its place with another weight, and loaded.
+@query(sql(LISTS + PLAIN + WEIGHTED.format(a=0.3) + OUT + "ranked"))
+def brand_hybrid_saved_in_place(spark, sf_dir):
+    path = scratch(spark, "brand-hybrid-in-place")
+    _hybrid(spark, sf_dir, alpha=0.7).save(path)
+    model = HybridRecommender.load(spark, path)
+    model.alpha = 0.3
+    model.save(path)
+    return _lists(HybridRecommender.load(spark, path).recommend(_users(spark, sf_dir)))
+
+
+@query(sql(LISTS + OUT + 'all_cf where "rank" <= 10'))
+def brand_svd_saved_in_place(spark, sf_dir):
+    path = scratch(spark, "brand-svd-in-place")
+    _svd(spark, sf_dir).save(path)
+    SvdRecommender.load(spark, path).save(path)
+    return _lists(SvdRecommender.load(spark, path).recommend(_users(spark, sf_dir)))
+
+
 GRID = f""", grid as (
     select unnest({list(range(len(ALPHA_GRID)))}) as position, unnest({list(ALPHA_GRID)}::double[]) as alpha),
 cf as (select * from all_cf cross join grid where "rank" <= 30),

@@ -591,7 +591,7 @@ def alpha_scores(spark, sf_dir):
 
 
 @query(
-    sql(TUNING + f"select alpha, {r('ndcg')} as ndcg from scores order by scores.ndcg desc, position limit 1")
+    sql(TUNING + f"select alpha, {r('ndcg')} as ndcg from scores order by round(scores.ndcg, 12) desc, position limit 1")
 )
 def best_alpha(spark, sf_dir):
     best = fusion.best_alpha(_alpha_scores(spark, sf_dir))

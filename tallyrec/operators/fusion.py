@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tallyrec.functions.columns import round_half_up
-from tallyrec.operators.metrics import CUT_OFF, relevant_products, user_metrics
+from tallyrec.operators.metrics import CUT_OFF, fixed_mean, ideal_gain, relevant_products
 
 # Default weight of the collaborative score, the constant of reciprocal rank fusion,
 # candidates fetched per wanted result, digits of the fused scores.
@@ -96,6 +97,76 @@ def tuning_users(ratings: DataFrame, limit: int | None = None) -> DataFrame:
     return users if limit is None else users.orderBy("user_id").limit(limit)
 
 
+# What a candidate of a user's two lists is made of.
+ENTRY = ("product_id", "cf_score", "cf_rank", "semantic_score", "semantic_rank")
+_UNRANKED = 2**31 - 1
+
+
+def gather_by_user(cf: DataFrame, semantic: DataFrame, *others: DataFrame) -> DataFrame:
+    """One row per user with both lists put together: an array ``entries`` of ``ENTRY`` structs.
+
+    ``cf`` and ``semantic`` are (user_id, product_id, score, rank). ``others`` are further rows about
+    users or their products: (user_id, depth) gives the column ``depths``, the distinct depths of
+    the user; (user_id, product_id, relevant) marks entries as ``relevant`` and counts the user's
+    ``n_relevant`` products; (user_id, judge) sets ``judge``. All of it moves in one exchange.
+    """
+    kinds = {"depth": "int", "relevant": "boolean", "judge": "boolean"}
+    rows = cf.select("user_id", "product_id", F.col("score").alias("cf_score"), F.col("rank").alias("cf_rank"))
+    more = semantic.select(
+        "user_id", "product_id", F.col("score").alias("semantic_score"), F.col("rank").alias("semantic_rank")
+    )
+    for df in (more, *others):
+        rows = rows.unionByName(df, allowMissingColumns=True)
+    for name, kind in kinds.items():
+        if name not in rows.columns:
+            rows = rows.withColumn(name, F.lit(None).cast(kind))
+    figures = ("cf_score", "cf_rank", "semantic_score", "semantic_rank", "relevant", "judge")
+    merged = (
+        rows.repartition("user_id")
+        .groupBy("user_id", "product_id")
+        .agg(*(F.max(name).alias(name) for name in figures), F.collect_set("depth").alias("depths"))
+    )
+    listed = F.col("cf_rank").isNotNull() | F.col("semantic_rank").isNotNull()
+    entry = F.struct(*ENTRY, F.coalesce("relevant", F.lit(False)).alias("relevant"))
+    return merged.groupBy("user_id").agg(
+        F.collect_list(F.when(listed, entry)).alias("entries"),
+        F.flatten(F.collect_list("depths")).alias("depths"),
+        F.count_if("relevant").alias("n_relevant"),
+        F.coalesce(F.bool_or("judge"), F.lit(False)).alias("judge"),
+    )
+
+
+def fused_list(
+    entries: Column, top_k: int | Column, depth: int | Column, alpha: float | Column | None
+) -> Column:
+    """The best ``top_k`` entries as an array of (loss, ..., product_id, relevant), best first.
+
+    Of each list the first ``depth`` candidates count. The loss is the negative fused score: with
+    ``alpha`` the weighted one, without it that of reciprocal rank fusion. Equal scores put
+    collaborative candidates first, each list in its own order.
+    """
+    top_k, depth = (x if isinstance(x, Column) else F.lit(x) for x in (top_k, depth))
+
+    def scored(entry: Column) -> Column:
+        in_cf, in_semantic = entry["cf_rank"] <= depth, entry["semantic_rank"] <= depth
+        if alpha is None:
+            parts = [1 / (entry[r] + RANK_CONSTANT) for r in ("cf_rank", "semantic_rank")]
+        else:
+            weight = alpha if isinstance(alpha, Column) else F.lit(alpha)
+            parts = [weight * entry["cf_score"], (1 - weight) * entry["semantic_score"]]
+        cf, semantic = F.when(in_cf, parts[0]), F.when(in_semantic, parts[1])
+        return F.struct(
+            (-F.coalesce(cf + semantic, cf, semantic)).alias("loss"),
+            F.coalesce(F.when(in_cf, entry["cf_rank"]), F.lit(_UNRANKED)).alias("cf_rank"),
+            F.coalesce(F.when(in_semantic, entry["semantic_rank"]), F.lit(_UNRANKED)).alias("semantic_rank"),
+            entry["product_id"].alias("product_id"),
+            entry["relevant"].alias("relevant"),
+        )
+
+    inside = F.filter(entries, lambda e: (F.least(e["cf_rank"], e["semantic_rank"]) <= depth))
+    return F.slice(F.array_sort(F.transform(inside, scored)), 1, top_k)
+
+
 def alpha_scores(
     cf: DataFrame,
     semantic: DataFrame,
@@ -107,28 +178,29 @@ def alpha_scores(
 ) -> DataFrame:
     """(position, alpha, ndcg): mean NDCG@k per weight, in the order the weights were given.
 
-    Candidates are computed once; each row is repeated per weight and all weights are fused and
-    judged in one job.
+    Each user's two lists meet once, with the user's relevant products; all weights are fused and
+    judged inside that one row. The means do not depend on the order of the users, see
+    :func:`tallyrec.operators.metrics.fixed_mean`.
     """
-    grid = F.array(
-        *(
-            F.struct(F.lit(i).alias("position"), F.lit(float(a)).alias("alpha"))
-            for i, a in enumerate(alphas)
-        )
-    )
-
-    def per_weight(df: DataFrame) -> DataFrame:
-        return df.select("*", F.explode(grid).alias("_weight")).select("*", "_weight.*").drop("_weight")
-
-    by = ("user_id", "position", "alpha")
-    cf, semantic = per_weight(cf), per_weight(semantic)
-    fused = (
-        weighted_fusion(cf, semantic, k, F.col("alpha"), by)
-        if weighted
-        else rank_fusion(cf, semantic, k, by=by)
-    )
-    judged = user_metrics(fused, relevant, k, per_weight(users), ("position", "alpha"))
-    return judged.groupBy("position", "alpha").agg(F.avg("ndcg").alias("ndcg")).orderBy("position")
+    wanted = relevant.select("user_id", "product_id").distinct().withColumn("relevant", F.lit(True))
+    judges = users.select("user_id").distinct().withColumn("judge", F.lit(True))
+    judged = gather_by_user(cf, semantic, wanted, judges).where("judge")
+    gains = F.array(*(F.lit(1 / math.log2(i + 2)) for i in range(max(k, 1))))
+
+    def ndcg(alpha: float) -> Column:
+        best = fused_list(F.col("entries"), k, _UNRANKED - 1, alpha if weighted else None)
+        hits = F.transform(best, lambda e, i: F.when(e["relevant"], F.get(gains, i)).otherwise(0.0))
+        gain = F.aggregate(hits, F.lit(0.0), lambda total, hit: total + hit)
+        ideal = ideal_gain(F.col("n_relevant"), k)
+        return F.when(ideal > 0, gain / ideal).otherwise(0.0)
+
+    weights = [
+        F.struct(F.lit(i).alias("position"), F.lit(float(a)).alias("alpha"), ndcg(float(a)).alias("ndcg"))
+        for i, a in enumerate(alphas)
+    ]
+    flat = judged.select(F.inline(F.array(*weights)))
+    means = flat.groupBy("position", "alpha").agg(fixed_mean(F.col("ndcg")).alias("ndcg"))
+    return means.orderBy("position")
 
 
 def best_alpha(scores: DataFrame) -> DataFrame:

@@ -9,6 +9,7 @@ that no step holds more than the square root of the number of index blocks of th
 from __future__ import annotations
 
 import math
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,7 +31,7 @@ CELLS_PER_STEP = 1 << 23
 # on how its rows are batched; without rounding, so would the order of equal scores.
 SCORE_DIGITS = 9
 
-PACKED_SCHEMA = "ids array<string>, depths array<int>, vectors binary"
+PACKED_SCHEMA = "side int, n int, width int, ids array<string>, depths array<int>, vectors binary"
 TILE_SCHEMA = (
     "query_id string, branch int, depth int, low double, high double, "
     "matches array<struct<loss:double,product_id:string>>"
@@ -56,27 +57,30 @@ def match_lists(
     blocks, and neither table passes through the driver.
     """
     queries = _usable(queries, "query_id", F.col("depth").cast("int").alias("depth"))
-    index = _usable(index, "product_id")
-    size = index.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.min(F.size("vector")).alias("shortest"),
-        F.max(F.size("vector")).alias("longest"),
-    ).first()
-    if size["shortest"] != size["longest"]:
-        raise ValueError(
-            f"the vectors of the index have between {size['shortest']} and {size['longest']} elements"
-        )
-    width = 8 * max(size["shortest"] or 0, 1)
-    chunk = min(CHUNK_ROWS, max(1, block_bytes // (4 * width)))
-    packed = materialize(queries.mapInArrow(_packer("query_id", chunk), PACKED_SCHEMA), "queries")
-    asked = packed.agg(F.coalesce(F.sum(F.size("ids")), F.lit(0)).alias("n")).first()["n"]
-
-    n_index = max(1, math.ceil(size["rows"] * width / block_bytes))
-    n_queries = max(1, math.ceil(asked * width / block_bytes))
-    cores = queries.sparkSession.sparkContext.defaultParallelism
-    n_queries = max(n_queries, min(math.ceil(cores / n_index), asked // LEAST_QUERIES))
-    left = packed.select("*", _dealt(n_queries, "q"), _every(n_index, "i"))
-    right = index.mapInArrow(_packer("product_id", chunk), PACKED_SCHEMA)
+    index = _usable(index, "product_id", F.lit(None).cast("int").alias("depth"))
+    both = (
+        df.withColumnRenamed(key, "id").mapInArrow(_packer(side, block_bytes), PACKED_SCHEMA)
+        for side, (df, key) in enumerate(((queries, "query_id"), (index, "product_id")))
+    )
+    packed = materialize(reduce(DataFrame.union, both), "packed")
+    sizes = packed.groupBy("side").agg(
+        F.sum("n").alias("n"), F.min("width").alias("least"), F.max("width").alias("width")
+    )
+    sizes = {row["side"]: row for row in sizes.collect()}
+    n_queries, n_index, cores = 1, 1, packed.sparkSession.sparkContext.defaultParallelism
+    if 1 in sizes:
+        if sizes[1]["least"] != sizes[1]["width"]:
+            raise ValueError(
+                "the vectors of the index have between "
+                f"{sizes[1]['least']} and {sizes[1]['width']} elements"
+            )
+        n_index = max(1, math.ceil(sizes[1]["n"] * sizes[1]["width"] * 8 / block_bytes))
+    if 0 in sizes:
+        n_queries = max(1, math.ceil(sizes[0]["n"] * sizes[0]["width"] * 8 / block_bytes))
+        n_queries = max(n_queries, min(math.ceil(cores / n_index), sizes[0]["n"] // LEAST_QUERIES))
+    left = packed.where("side = 0").select("*", _dealt(n_queries, "q"), _every(n_index, "i"))
+    # other columns by the same names: a cogroup of a table with itself mixes up the two sides
+    right = packed.toDF(*packed.columns).where("side = 1")
     right = right.select("*", _dealt(n_index, "i"), _every(n_queries, "q"))
     tile = _tile(exclude_self, max(1, math.isqrt(n_index)))
     tiles = left.groupBy("q", "i").cogroup(right.groupBy("q", "i")).applyInArrow(tile, TILE_SCHEMA)
@@ -129,30 +133,33 @@ def _usable(df: DataFrame, key: str, *more: Column) -> DataFrame:
     return some.where(F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x)))
 
 
-def _packer(key: str, chunk: int):
-    """Rows of an id, a vector and perhaps a depth as chunks; all vectors of a chunk are as long."""
+def _packer(side: int, block_bytes: int):
+    """Rows of an id, a vector and a depth as chunks; all vectors of a chunk are as long."""
+    most = CHUNK_ROWS
+
     import numpy as np
     import pyarrow as pa
 
     def pack(batches):
         for batch in batches:
-            vectors = batch.column("vector")
-            lengths = np.diff(vectors.offsets.to_numpy())
+            lengths = np.diff(batch.column("vector").offsets.to_numpy())
             cuts = np.flatnonzero(np.diff(lengths)) + 1
             for first, last in zip((0, *cuts), (*cuts, batch.num_rows)):
-                for at in range(first, last, chunk):
-                    part = batch.slice(at, min(chunk, last - at))
+                width = int(lengths[first]) if last > first else 0
+                rows = min(most, max(1, block_bytes // (32 * max(width, 1))))
+                for at in range(first, last, rows):
+                    part = batch.slice(at, min(rows, last - at))
                     n = part.num_rows
-                    ids, flat = part.column(key), part.column("vector").flatten()
-                    depths = part.column("depth") if "depth" in batch.schema.names else pa.nulls(n, pa.int32())
                     whole = pa.array([0, n], pa.int32())
+                    vectors = part.column("vector").flatten().to_numpy(zero_copy_only=False)
                     yield pa.RecordBatch.from_arrays(
                         [
-                            pa.ListArray.from_arrays(whole, ids.cast(pa.string())),
-                            pa.ListArray.from_arrays(whole, depths),
-                            pa.array([flat.to_numpy(zero_copy_only=False).tobytes()], pa.binary()),
+                            *(pa.array([x], pa.int32()) for x in (side, n, width)),
+                            pa.ListArray.from_arrays(whole, part.column("id").cast(pa.string())),
+                            pa.ListArray.from_arrays(whole, part.column("depth")),
+                            pa.array([vectors.tobytes()], pa.binary()),
                         ],
-                        ["ids", "depths", "vectors"],
+                        ["side", "n", "width", "ids", "depths", "vectors"],
                     )
 
     return pack

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from tallyrec.functions.columns import l2_normalize, product_text
 from tallyrec.operators.cleaning import remove_duplicates
-from tallyrec.operators.nearest import top_matches
+from tallyrec.operators.nearest import match_lists, top_matches
 
 # Dimensions of a product vector and texts per call of an encoder.
 EMBEDDING_DIM = 384
@@ -103,12 +103,17 @@ class SemanticIndex:
         ``top_k`` is a number or the name of a column. The product itself is left out; products
         without a vector give no rows.
         """
+        return _matches(top_matches(self._asked(products, top_k), self.vectors, exclude_self=True))
+
+    def similar_lists(self, products: DataFrame, top_k: int | str = 10) -> DataFrame:
+        """(query_id, low, high, matches): :meth:`similar_products` with a list per row, see
+        :func:`tallyrec.operators.nearest.match_lists`."""
+        return match_lists(self._asked(products, top_k), self.vectors, exclude_self=True)
+
+    def _asked(self, products: DataFrame, top_k: int | str) -> DataFrame:
         depth = F.col(top_k) if isinstance(top_k, str) else F.lit(top_k)
         wanted = products.groupBy("product_id").agg(F.max(depth).alias("depth"))
-        queries = wanted.join(self.vectors, "product_id").withColumnRenamed(
-            "product_id", "query_id"
-        )
-        return _matches(top_matches(queries, self.vectors, exclude_self=True))
+        return wanted.join(self.vectors, "product_id").withColumnRenamed("product_id", "query_id")
 
     def similar_to_vector(self, queries: DataFrame, top_k: int = 10) -> DataFrame:
         """(query_id, product_id, score, rank) for outside unit vectors (query_id, embedding)."""

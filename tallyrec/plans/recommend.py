@@ -8,17 +8,19 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyrec.functions.columns import unit_scale
+from tallyrec.functions.columns import round_half_up, unit_scale
 from tallyrec.operators import factor
 from tallyrec.operators.fusion import (
     ALPHA,
     ALPHA_GRID,
     CANDIDATE_FACTOR,
+    RANK_DIGITS,
+    WEIGHTED_DIGITS,
     alpha_scores,
     best_alpha,
-    rank_fusion,
+    fused_list,
+    gather_by_user,
     tuning_users,
-    weighted_fusion,
 )
 from tallyrec.operators.metrics import CUT_OFF, mean_metrics, relevant_products, user_metrics
 from tallyrec.operators.nearest import top_matches
@@ -223,37 +225,61 @@ class HybridRecommender(Recommender):
 
     def recommend(self, users: DataFrame, top_k: int | str = TOP_K) -> DataFrame:
         """As :meth:`Recommender.recommend`; with a column, each (user_id, column) is a list."""
-        self._check_fitted()
+        depth = F.lit(top_k) if isinstance(top_k, int) else F.col(top_k)
+        lists = self.recommend_lists(users.select("user_id", depth.alias("top_k")))
+        found = lists.select("user_id", "top_k", F.posexplode("products").alias("position", "found"))
+        found = found.select(
+            "user_id", "top_k", "found.product_id", "found.score", (F.col("position") + 1).alias("rank")
+        )
         if isinstance(top_k, int):
-            wanted = users.select("user_id").distinct().withColumn("top_k", F.lit(top_k))
-            return self._fused(wanted).drop("top_k")
-        wanted = users.select("user_id", F.col(top_k).alias("top_k")).distinct()
-        return self._fused(wanted).withColumnRenamed("top_k", top_k)
+            return found.drop("top_k")
+        return found.withColumnRenamed("top_k", top_k)
 
-    def _fused(self, wanted: DataFrame) -> DataFrame:
+    def recommend_lists(self, wanted: DataFrame) -> DataFrame:
+        """(user_id, top_k, products) for every distinct (user_id, top_k): the list as one array of
+        (product_id, score), best first.
+
+        Candidates are exchanged once, by user, and all lists of a user come from the same row.
+        """
+        self._check_fitted()
+        wanted = materialize(wanted.select("user_id", "top_k").distinct(), "wanted")
         cf, semantic = self.candidates(wanted)
-        by, k = ("user_id", "top_k"), F.col("top_k")
-        if self.strategy == "weighted":
-            return weighted_fusion(cf, semantic, k, self.alpha, by)
-        return rank_fusion(cf, semantic, k, by=by)
+        depths = wanted.select("user_id", F.col("top_k").cast("int").alias("depth"))
+        gathered = gather_by_user(cf, semantic, depths)
+        lists = gathered.select("user_id", "entries", F.explode("depths").alias("top_k"))
+        weighted = self.strategy == "weighted"
+        depth = F.col("top_k") * CANDIDATE_FACTOR
+        best = fused_list(F.col("entries"), F.col("top_k"), depth, self.alpha if weighted else None)
+        digits = WEIGHTED_DIGITS if weighted else RANK_DIGITS
+        products = F.transform(
+            best,
+            lambda e: F.struct(e["product_id"], round_half_up(-e["loss"], digits).alias("score")),
+        )
+        return lists.select("user_id", "top_k", products.alias("products"))
 
     def candidates(self, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
-        """Both candidate lists, 3 * top_k deep, for every distinct (user_id, top_k).
+        """Both candidate lists of each user in (user_id, top_k), 3 * top_k deep for the largest
+        ``top_k`` of the user.
 
         The model is asked once per user and the index once per distinct seed, at the largest
-        depth needed; each list is then cut to its own depth before anything is fused.
+        depth needed.
         """
-        wanted = materialize(wanted, "wanted")
         depth = F.max("top_k") * CANDIDATE_FACTOR
         users = wanted.groupBy("user_id").agg(depth.alias("depth"))
         cf = materialize(self.cf.recommend(users, "depth"), "cf-candidates")
         seeds = cf.where("rank = 1").select("user_id", F.col("product_id").alias("seed"))
-        asked = _join_user(seeds, users).select(F.col("seed").alias("product_id"), "depth")
-        similar = self._index.similar_products(asked, "depth").withColumnRenamed("query_id", "seed")
-        deep_enough = F.col("rank") <= F.col("top_k") * CANDIDATE_FACTOR
-        cf = _join_user(wanted, cf).where(deep_enough)
-        semantic = _join_by_seed(_join_user(wanted, seeds), similar, hot_seeds(seeds))
-        return cf, semantic.where(deep_enough)
+        seeds = _join_user(seeds, users)
+        asked = seeds.select(F.col("seed").alias("product_id"), "depth")
+        similar = self._index.similar_lists(asked, "depth").withColumnRenamed("query_id", "seed")
+        found = _join_by_seed(seeds, similar, hot_seeds(seeds))
+        found = found.select("user_id", "depth", F.posexplode("matches").alias("position", "match"))
+        semantic = found.where(F.col("position") < F.col("depth")).select(
+            "user_id",
+            "match.product_id",
+            (-F.col("match.loss")).alias("score"),
+            (F.col("position") + 1).alias("rank"),
+        )
+        return cf, semantic
 
     def tuning_scores(
         self,
@@ -266,6 +292,7 @@ class HybridRecommender(Recommender):
         over the first ``limit`` of them."""
         self._check_fitted()
         users = tuning_users(ratings, limit)
+        users = materialize(users, "judges")
         cf, semantic = self.candidates(users.withColumn("top_k", F.lit(k)))
         return alpha_scores(
             cf, semantic, relevant_products(ratings), users, alphas, k, self.strategy == "weighted"
@@ -314,10 +341,10 @@ def hot_seeds(seeds: DataFrame) -> DataFrame:
 
 
 def _join_by_seed(lists: DataFrame, similar: DataFrame, hot: DataFrame) -> DataFrame:
-    """The products similar to the seed of each list, from (user_id, ..., seed) and (seed, ...).
+    """``lists`` with the list of its seed, from (user_id, ..., seed) and (seed, matches).
 
     One seed may belong to most users - all unknown users share theirs. The lists of hot seeds are
-    spread over ``SEED_SALTS`` keys and the similar products repeated for all of them.
+    spread over ``SEED_SALTS`` keys and the seeds' lists repeated for all of them.
     """
     hot = F.broadcast(hot.withColumn("_hot", F.lit(True)))
     salt = F.when(F.col("_hot"), F.pmod(F.xxhash64("user_id"), F.lit(SEED_SALTS)).cast("int"))

@@ -2,7 +2,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
-from tallyrec.operators import fusion
+from tallyrec.operators import fusion, metrics
 
 CF = [("ale", 0.92), ("bun", 0.61), ("cod", 0.44), ("dip", 0.13)]
 SEMANTIC = [("dip", 0.97), ("bun", 0.58), ("egg", 0.52), ("fig", 0.21), ("gum", 0.06)]
@@ -88,3 +88,65 @@ def test_tuning_users(spark):
     )
     assert rows(fusion.tuning_users(ratings)) == [("u1",), ("u3",), ("u5",), ("u7",)]
     assert rows(fusion.tuning_users(ratings, 2)) == [("u1",), ("u3",)]
+
+
+def many_users(spark, n=60):
+    """Lists of several users, which share nothing but the products."""
+    names = "abcdefghij"
+    cf, semantic, wanted = [], [], []
+    for u in range(n):
+        for i in range(6):
+            cf.append((f"u{u}", names[(u + i) % 10], (u * 7 + i * 3) % 11 / 11, i + 1))
+            semantic.append((f"u{u}", names[(u * 3 + i) % 10], (u * 5 + i) % 13 / 13, i + 1))
+        wanted += [(f"u{u}", names[(u * u + j) % 10]) for j in range(u % 4)]
+    schema = "user_id string, product_id string, score double, rank int"
+    lists = [spark.createDataFrame(rows_, schema) for rows_ in (cf, semantic)]
+    users = spark.createDataFrame([(f"u{u}",) for u in range(n)] + [("nobody",)], "user_id string")
+    return *lists, spark.createDataFrame(wanted, "user_id string, product_id string"), users
+
+
+def test_scores_do_not_depend_on_the_order_of_the_users(spark):
+    cf, semantic, wanted, users = many_users(spark)
+    # 0.5 twice: a tie that any difference in the last bit would decide
+    alphas = (0.2, 0.5, 0.5, 0.8)
+    found = set()
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for n in range(1, 21):
+            spark.conf.set("spark.sql.shuffle.partitions", str(n))
+            shuffled = [df.repartition(n, F.rand(n)) for df in (cf, semantic, wanted, users)]
+            scores = fusion.alpha_scores(*shuffled, alphas, 4)
+            found.add(tuple(r["ndcg"] for r in scores.collect()))
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
+    assert len(found) == 1
+    (ndcg,) = found
+    assert ndcg[1] == ndcg[2] and len(set(ndcg)) == 3
+
+
+@pytest.mark.parametrize("weighted", [True, False])
+def test_weights_are_judged_as_the_fused_lists_are(spark, weighted):
+    cf, semantic, wanted, users = many_users(spark, 25)
+    scores = fusion.alpha_scores(cf, semantic, wanted, users, (0.3, 0.9), 4, weighted).collect()
+    for row in scores:
+        fused = (
+            fusion.weighted_fusion(cf, semantic, 4, row["alpha"])
+            if weighted
+            else fusion.rank_fusion(cf, semantic, 4)
+        )
+        per_user = metrics.user_metrics(fused, wanted, 4, users)
+        assert row["ndcg"] == pytest.approx(metrics.mean_metrics(per_user).first()["ndcg_at_10"], abs=1e-11)
+
+
+def test_candidates_move_once_to_be_tuned(spark):
+    cf, semantic, wanted, users = many_users(spark, 5)
+    plan = fusion.alpha_scores(cf, semantic, wanted, users)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Exchange hashpartitioning(user_id#") == 3  # the candidates; distinct pairs and users
+    assert plan.count("REPARTITION_BY_COL") == 1
+
+
+def test_best_weight_of_equal_means_is_the_first(spark):
+    scores = spark.createDataFrame(
+        [(0, 0.3, 0.5), (1, 0.9, 0.75), (2, 0.1, 0.75)], "position int, alpha double, ndcg double"
+    )
+    assert fusion.best_alpha(scores.repartition(3)).first()["alpha"] == 0.9

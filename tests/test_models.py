@@ -234,3 +234,15 @@ def test_batch_of_requests(spark, hybrid):
 def test_requests_without_top_k_get_ten(spark, hybrid):
     asked = spark.createDataFrame([("u1",)], "user_id string")
     assert len(recommend_batch(hybrid, asked).first()["recommendations"]) == 10
+
+
+def test_candidates_are_exchanged_once_by_user(spark, hybrid, users):
+    wanted = users.select("user_id", F.explode(F.array(F.lit(3), F.lit(7))).alias("top_k"))
+    lists = hybrid.recommend_lists(wanted)
+    plan = lists._jdf.queryExecution().executedPlan().toString()
+    by_user = [line for line in plan.splitlines() if "Exchange hashpartitioning(user_id" in line]
+    assert len(by_user) == 1 and "REPARTITION_BY_COL" in by_user[0]
+    found = {(r["user_id"], r["top_k"]): r["products"] for r in lists.collect()}
+    alone = hybrid.recommend(users, 7).orderBy("user_id", "rank").collect()
+    assert [(r["product_id"], r["score"]) for r in alone if r["user_id"] == "u4"] == [tuple(p) for p in found["u4", 7]]
+    assert all(len(products) == top_k for (_, top_k), products in found.items())
