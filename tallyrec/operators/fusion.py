@@ -121,16 +121,17 @@ def gather_by_user(cf: DataFrame, semantic: DataFrame, *others: DataFrame) -> Da
         if name not in rows.columns:
             rows = rows.withColumn(name, F.lit(None).cast(kind))
     figures = ("cf_score", "cf_rank", "semantic_score", "semantic_rank", "relevant", "judge")
+    # a depth is a key of its own, so that only plain maxima are kept per product
     merged = (
         rows.repartition("user_id")
-        .groupBy("user_id", "product_id")
-        .agg(*(F.max(name).alias(name) for name in figures), F.collect_set("depth").alias("depths"))
+        .groupBy("user_id", "product_id", "depth")
+        .agg(*(F.max(name).alias(name) for name in figures))
     )
     listed = F.col("cf_rank").isNotNull() | F.col("semantic_rank").isNotNull()
     entry = F.struct(*ENTRY, F.coalesce("relevant", F.lit(False)).alias("relevant"))
     return merged.groupBy("user_id").agg(
         F.collect_list(F.when(listed, entry)).alias("entries"),
-        F.flatten(F.collect_list("depths")).alias("depths"),
+        F.collect_list("depth").alias("depths"),
         F.count_if("relevant").alias("n_relevant"),
         F.coalesce(F.bool_or("judge"), F.lit(False)).alias("judge"),
     )
@@ -167,6 +168,81 @@ def fused_list(
     return F.slice(F.array_sort(F.transform(inside, scored)), 1, top_k)
 
 
+LISTS_SCHEMA = "user_id string, top_k int, products array<struct<product_id:string,score:double>>"
+
+
+def fused_lists(gathered: DataFrame, alpha: float | None) -> DataFrame:
+    """(user_id, top_k, products): the fused list of each of the ``depths`` of each user.
+
+    ``gathered`` is the result of :func:`gather_by_user`; for a list of ``top_k`` products the first
+    ``CANDIDATE_FACTOR * top_k`` of both lists count. Scores and order are those of
+    :func:`weighted_fusion`, or without ``alpha`` those of :func:`rank_fusion`. Higher-order functions
+    take some thirty times as long for lists of several hundred entries, so these are sorted as
+    arrays, a batch of users at a time.
+    """
+    rows = gathered.select("user_id", "depths", *(F.col(f"entries.{name}").alias(name) for name in ENTRY))
+    return rows.mapInArrow(_fuser(alpha), LISTS_SCHEMA)
+
+
+def _fuser(alpha: float | None):
+    factor, constant, unranked = CANDIDATE_FACTOR, RANK_CONSTANT, _UNRANKED
+    scale = 10.0 ** (RANK_DIGITS if alpha is None else WEIGHTED_DIGITS)
+
+    import numpy as np
+    import pyarrow as pa
+    import pyarrow.compute as pc
+
+    def flat(batch, name, missing):
+        values = batch.column(name).flatten()
+        if missing is None:
+            return values.cast(pa.string())
+        return pc.fill_null(values, missing).to_numpy(zero_copy_only=False)
+
+    def fuse(batches):
+        for batch in batches:
+            ends = np.cumsum(pc.list_value_length(batch.column("product_id")).to_numpy())
+            ids = flat(batch, "product_id", None)
+            scores = [flat(batch, name, 0.0) for name in ("cf_score", "semantic_score")]
+            ranks = [flat(batch, name, unranked) for name in ("cf_rank", "semantic_rank")]
+            users, depths, lengths, chosen, found = [], [], [], [], []
+            for row, wanted in enumerate(batch.column("depths").to_pylist()):
+                own = slice(ends[row - 1] if row else 0, ends[row])
+                cf_rank, semantic_rank = ranks[0][own], ranks[1][own]
+                for top_k in wanted:
+                    cf_in, semantic_in = cf_rank <= factor * top_k, semantic_rank <= factor * top_k
+                    if alpha is None:
+                        cf, semantic = 1 / (cf_rank + constant), 1 / (semantic_rank + constant)
+                    else:
+                        cf, semantic = alpha * scores[0][own], (1 - alpha) * scores[1][own]
+                    fused = np.where(cf_in, cf, 0.0) + np.where(semantic_in, semantic, 0.0)
+                    inside = np.flatnonzero(cf_in | semantic_in)
+                    # equal scores: collaborative candidates first, each list in its own order
+                    later = np.where(semantic_in, semantic_rank, unranked)[inside]
+                    first = np.where(cf_in, cf_rank, unranked)[inside]
+                    best = inside[np.lexsort((later, first, -fused[inside]))[: max(top_k, 0)]]
+                    users.append(row)
+                    depths.append(top_k)
+                    lengths.append(len(best))
+                    chosen.append(best + own.start)
+                    found.append(fused[best])
+            positions = np.concatenate([np.zeros(0, np.int64), *chosen])
+            rounded = np.floor(np.concatenate([np.zeros(0), *found]) * scale + 0.5) / scale
+            offsets = np.concatenate(([0], np.cumsum(lengths, dtype=np.int64))).astype(np.int32)
+            products = pa.StructArray.from_arrays(
+                [ids.take(pa.array(positions)), pa.array(rounded)], ["product_id", "score"]
+            )
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("user_id").take(pa.array(users, pa.int64())).cast(pa.string()),
+                    pa.array(depths, pa.int32()),
+                    pa.ListArray.from_arrays(pa.array(offsets), products),
+                ],
+                ["user_id", "top_k", "products"],
+            )
+
+    return fuse
+
+
 def alpha_scores(
     cf: DataFrame,
     semantic: DataFrame,

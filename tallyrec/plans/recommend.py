@@ -8,17 +8,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tallyrec.functions.columns import round_half_up, unit_scale
+from tallyrec.functions.columns import unit_scale
 from tallyrec.operators import factor
 from tallyrec.operators.fusion import (
     ALPHA,
     ALPHA_GRID,
     CANDIDATE_FACTOR,
-    RANK_DIGITS,
-    WEIGHTED_DIGITS,
     alpha_scores,
     best_alpha,
-    fused_list,
+    fused_lists,
     gather_by_user,
     tuning_users,
 )
@@ -246,16 +244,7 @@ class HybridRecommender(Recommender):
         cf, semantic = self.candidates(wanted)
         depths = wanted.select("user_id", F.col("top_k").cast("int").alias("depth"))
         gathered = gather_by_user(cf, semantic, depths)
-        lists = gathered.select("user_id", "entries", F.explode("depths").alias("top_k"))
-        weighted = self.strategy == "weighted"
-        depth = F.col("top_k") * CANDIDATE_FACTOR
-        best = fused_list(F.col("entries"), F.col("top_k"), depth, self.alpha if weighted else None)
-        digits = WEIGHTED_DIGITS if weighted else RANK_DIGITS
-        products = F.transform(
-            best,
-            lambda e: F.struct(e["product_id"], round_half_up(-e["loss"], digits).alias("score")),
-        )
-        return lists.select("user_id", "top_k", products.alias("products"))
+        return fused_lists(gathered, self.alpha if self.strategy == "weighted" else None)
 
     def candidates(self, wanted: DataFrame) -> tuple[DataFrame, DataFrame]:
         """Both candidate lists of each user in (user_id, top_k), 3 * top_k deep for the largest
