@@ -70,6 +70,16 @@ def csv_scan(spark, sf_dir):
     return _text_reviews(spark, sf_dir, "csv", lambda df, path: df.write.csv(path, header=True))
 
 
+@query("select cast(doc_id as varchar) as doc_id, nullif(text, '') as body, lang from documents")
+def csv_line_breaks_scan(spark, sf_dir):
+    # whole texts with line breaks and quotes in quoted cells
+    docs = views.table(spark, sf_dir, "documents").select("doc_id", F.col("text").alias("body"), "lang")
+    path = f"{scratch(spark, 'breaks')}/documents.csv"
+    keep = {"ignoreLeadingWhiteSpace": False, "ignoreTrailingWhiteSpace": False}
+    docs.coalesce(1).write.csv(path, header=True, quoteAll=True, escape='"', **keep)
+    return readers.read_table(spark, path)
+
+
 @query(TEXT_REVIEWS)
 def gzip_json_lines_scan(spark, sf_dir):
     return _text_reviews(

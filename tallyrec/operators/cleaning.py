@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from functools import reduce
 from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from tallyrec.functions.columns import to_number
@@ -14,7 +14,7 @@ from tallyrec.session import materialize
 
 KEY_COLUMNS = ("user_id", "product_id")
 
-# Tables of pairs that fell out are put together in one once there are so many of a key.
+# Tables of the counts of a key are put together in one once there are so many.
 MAX_PARTS = 8
 
 
@@ -63,101 +63,99 @@ def filter_cold_start(
 ) -> ColdStart:
     """Drop users, then products, below their threshold until a pass drops nothing.
 
-    The loop runs on written tables: the distinct (user, product) pairs with their row counts, the
-    rows of every id, and, per half pass, the pairs that fell out with an id below its threshold. A
-    count changes only by pairs that fell out, so after its first check a key is judged for
-    the ids of the latest of these alone, and a late pass costs what it removes besides a scan of
-    the pairs. Spark knows the size of every table and broadcasts it only while it is small. The
-    rows themselves are filtered once, at the end, by the pairs that are left.
+    The loop needs the distinct (user, product) pairs with their row counts, and per key how many
+    rows every id has left. A half pass is one job: it takes what the ids that just fell out on the
+    other side had from the ids of this side, writes the new counts of those alone, and observes on
+    the way how many fell below the threshold and how many rows went with them. Pairs are never
+    rewritten; a pair is left as long as both its ids are. Spark knows the size of every table and
+    broadcasts it only while it is small. The rows themselves are filtered once, at the end.
     """
     thresholds = {"user_id": min_user_reviews, "product_id": min_product_reviews}
     other_key = {"user_id": "product_id", "product_id": "user_id"}
     pairs = materialize(
         df.groupBy(*KEY_COLUMNS).agg(F.count(F.lit(1)).alias("n_rows")), "pairs"
     )
-    counts = {
-        key: materialize(pairs.groupBy(key).agg(F.sum("n_rows").alias("n")), f"{key}-counts")
-        for key in thresholds
-    }
-    fallen = {key: _Fallen(key) for key in thresholds}
+    left = {key: _Left(pairs, key, threshold) for key, threshold in thresholds.items()}
     dropped = dict.fromkeys(thresholds, 0)
-    first = dict.fromkeys(thresholds, True)
-    remaining = _size(pairs)["rows"]
+    remaining = pairs.agg(F.coalesce(F.sum("n_rows"), F.lit(0))).first()[0]
     rows_per_pass = []
 
     unchecked = set(thresholds)  # keys whose counts may have changed since their last check
     while unchecked:
         rows_per_pass.append(remaining)
-        for key, threshold in thresholds.items():
+        for key in thresholds:
             if key not in unchecked:
                 continue
-            other = fallen[other_key[key]]
-            known = counts[key] if first[key] else _match(counts[key], other.latest, key, "left_semi")
-            weak = _below_threshold(known, other.everything(), key, threshold)
-            out = _match(pairs, weak, key, "left_semi")
-            if other.parts:
-                out = _match(out, other.everything(), other.key, "left_anti")
-            out = materialize(out, f"fallen-{key}")
-            size = _size(out)
-            first[key] = False
             unchecked.discard(key)
-            if size["pairs"]:
-                fallen[key].add(out)
-                dropped[key] += size["rows"]
-                remaining -= size["rows"]
+            n_ids, n_rows = left[key].check(left[other_key[key]])
+            if n_ids:
+                dropped[key] += n_rows
+                remaining -= n_rows
                 unchecked.add(other_key[key])
     if remaining < rows_per_pass[-1]:
         rows_per_pass.append(remaining)
 
-    left = pairs
-    for key in thresholds:
-        if fallen[key].parts:
-            left = _match(left, fallen[key].everything(), key, "left_anti")
     kept = df
-    if any(dropped.values()):
-        # a missing id never reaches a threshold, so no pair that is left has one
-        kept = df.join(materialize(left.select(*KEY_COLUMNS), "left"), list(KEY_COLUMNS), "left_semi")
+    for key in thresholds:
+        if dropped[key]:
+            # a missing id never reaches a threshold
+            ids = left[key].alive().withColumnRenamed(key, "_id")
+            kept = kept.join(ids, kept[key] == ids["_id"], "left_semi")
     return ColdStart(kept, dropped["user_id"], dropped["product_id"], rows_per_pass)
 
 
-class _Fallen:
-    """The pairs that fell out because of one key, a written table per half pass."""
+class _Left:
+    """The rows that the ids of one key have left: written tables of (id, n, step), the latest of
+    which counts. An id is out once its ``n`` is below the threshold, or if it is missing."""
 
-    def __init__(self, key: str) -> None:
-        self.key = key
+    def __init__(self, pairs: DataFrame, key: str, threshold: int) -> None:
+        self.pairs, self.key, self.threshold = pairs, key, threshold
         self.parts: list[DataFrame] = []
-
-    def add(self, part: DataFrame) -> None:
+        self.fallen: DataFrame | None = None  # ids that fell out in the latest check
+        self.step = 0
+
+    def check(self, other: _Left) -> tuple[int, int]:
+        """Take off what ``other`` lost in its latest check; how many ids fell out now, and rows.
+
+        An id that fell out before is not counted again: it had fewer rows than the threshold.
+        """
+        if not self.parts:
+            counts = self.pairs.groupBy(self.key).agg(F.sum("n_rows").alias("n"))
+            if other.fallen is not None:
+                counts = self._less(counts, other, "left")
+        else:
+            counts = self._less(self._current().where(self._is_in()), other, "inner")
+        self.step += 1
+        seen = Observation()
+        out = ~self._is_in()
+        ids, rows = F.count_if(out), F.sum(F.when(out, F.col("n")))
+        counts = counts.observe(seen, ids.alias("ids"), rows.alias("rows"))
+        written = materialize(counts.withColumn("step", F.lit(self.step)), f"{self.key}-left")
         if len(self.parts) >= MAX_PARTS:
-            self.parts = [materialize(self.everything(), f"fallen-{self.key}")]
-        self.parts.append(part)
-
-    @property
-    def latest(self) -> DataFrame:
-        return self.parts[-1]
-
-    def everything(self) -> DataFrame | None:
-        return reduce(DataFrame.union, self.parts) if self.parts else None
-
-
-def _below_threshold(
-    counts: DataFrame, lost: DataFrame | None, key: str, threshold: int
-) -> DataFrame:
-    """The ids of (key, n) that have too few rows after the loss of some pairs, or are missing."""
-    if lost is not None:
-        lost = lost.groupBy(F.col(key).alias("_lost")).agg(F.sum("n_rows").alias("less"))
-        counts = counts.join(lost, F.col(key).eqNullSafe(F.col("_lost")), "left")
-        counts = counts.withColumn("n", F.col("n") - F.coalesce("less", F.lit(0)))
-    return counts.where((F.col("n") < threshold) | F.col(key).isNull()).select(key)
-
-
-def _size(pairs: DataFrame):
-    return pairs.agg(
-        F.count(F.lit(1)).alias("pairs"), F.coalesce(F.sum("n_rows"), F.lit(0)).alias("rows")
-    ).first()
-
-
-def _match(df: DataFrame, ids: DataFrame, key: str, how: str) -> DataFrame:
-    """A semi or anti join by one key; a missing id is an id like any other."""
-    ids = ids.select(F.col(key).alias("_id")).distinct()
-    return df.join(ids, df[key].eqNullSafe(ids["_id"]), how)
+            self.parts = [materialize(self._current(), f"{self.key}-left")]
+        self.parts.append(written)
+        self.fallen = written.where(out).select(self.key)
+        return seen.get["ids"], seen.get["rows"] or 0
+
+    def alive(self) -> DataFrame:
+        return materialize(self._current().where(self._is_in()).select(self.key), f"{self.key}-alive")
+
+    def _is_in(self) -> Column:
+        return (F.col("n") >= self.threshold) & F.col(self.key).isNotNull()
+
+    def _current(self) -> DataFrame:
+        every = reduce(DataFrame.union, self.parts)
+        if len(self.parts) == 1:
+            return every
+        return every.groupBy(self.key).agg(
+            F.max_by("n", "step").alias("n"), F.max("step").alias("step")
+        )
+
+    def _less(self, counts: DataFrame, other: _Left, how: str) -> DataFrame:
+        """(id, n) after the loss of the pairs whose other id has just fallen out."""
+        ids = other.fallen.select(F.col(other.key).alias("_id"))
+        lost = self.pairs.join(ids, self.pairs[other.key].eqNullSafe(ids["_id"]), "left_semi")
+        lost = lost.groupBy(F.col(self.key).alias("_lost")).agg(F.sum("n_rows").alias("less"))
+        joined = counts.join(lost, counts[self.key].eqNullSafe(lost["_lost"]), how)
+        n = F.col("n") - F.coalesce("less", F.lit(0))
+        return joined.select(self.key, n.alias("n"))

@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 
 from tallyrec.functions.columns import flatten_category, flatten_description
 from tallyrec.session import exists
+from tallyrec.sources.csv_records import records, split_starts
 from tallyrec.sources.versions import load_version
 
 # File suffixes in the order they are tried.
@@ -52,21 +53,55 @@ def read_table(
     spark: SparkSession,
     path: str,
     schema: T.StructType | None = None,
-    multiline_csv: bool = False,
+    multiline_csv: bool = True,
 ) -> DataFrame:
     """Read Parquet, JSON Lines or CSV by suffix; JSON and CSV may be gzipped.
 
-    CSV columns come as strings with the usual null words removed, and Spark splits large files.
-    ``multiline_csv=True`` is needed where quoted cells hold line breaks; such a file is read in
-    one piece, as are gzip files, and its rows are spread over the cluster after reading.
+    CSV columns come as strings with the usual null words removed. Quoted cells may hold line breaks,
+    and Spark still splits large files: one scan looks for such cells, and only where it finds some
+    are lines put together, see :mod:`tallyrec.sources.csv_records`. Lines end with a line feed, with
+    or without a carriage return, and the header stands in one line. ``multiline_csv=False`` promises
+    that there are no such cells and spares the scan. Gzip files are read in one piece.
     """
+    return _read(spark, path, None, schema, multiline_csv)
+
+
+def _read(
+    spark: SparkSession,
+    path: str,
+    order: str | None,
+    schema: T.StructType | None = None,
+    multiline_csv: bool = True,
+) -> DataFrame:
+    """:func:`read_table`, with the input order as column ``order`` if that has a name."""
     name = path.lower().rstrip("/")
     reader = spark.read if schema is None else spark.read.schema(schema)
     if name.endswith(".parquet"):
-        return reader.parquet(path)
-    if name.endswith((".json", ".jsonl", ".json.gz", ".jsonl.gz")):
-        return reader.json(path)
-    df = reader.csv(path, header=True, multiLine=multiline_csv, escape='"', inferSchema=False)
+        df = reader.parquet(path)
+    elif name.endswith((".json", ".jsonl", ".json.gz", ".jsonl.gz")):
+        df = reader.json(path)
+    else:
+        starts = split_starts(spark, path) if multiline_csv else None
+        df = reader.csv(path, header=True, escape='"', inferSchema=False)
+        if starts is not None:
+            return _without_null_words(_parsed(records(spark, path, starts), df.schema, order))
+        df = df if order is None else with_input_order(df, order)
+        return _without_null_words(df)
+    return df if order is None else with_input_order(df, order)
+
+
+def _parsed(found: DataFrame, schema: T.StructType, order: str | None) -> DataFrame:
+    """The cells of CSV records."""
+    record = F.regexp_replace("record", r"\r$", "")
+    rows = found.where(~F.col("first") & (F.trim(record) != ""))
+    names = (field.name.replace("`", "``") for field in schema)
+    ddl = ", ".join(f"`{n}` {field.dataType.simpleString()}" for n, field in zip(names, schema))
+    cells = F.from_csv(record, ddl, {"escape": '"', "multiLine": "true"})
+    position = [] if order is None else [F.struct("file", "split", "row").alias(order)]
+    return rows.select(cells.alias("cells"), *position).select("cells.*", *(n for n in [order] if n))
+
+
+def _without_null_words(df: DataFrame) -> DataFrame:
     return df.select(
         *(
             F.when(~F.col(f"`{c}`").isin(*CSV_NULLS), F.col(f"`{c}`")).alias(c)
@@ -97,18 +132,15 @@ def with_input_order(df: DataFrame, name: str = INPUT_ORDER) -> DataFrame:
     )
 
 
-def spread_unsplittable(df: DataFrame, path: str, multiline_csv: bool = False) -> DataFrame:
+def spread_unsplittable(df: DataFrame, path: str) -> DataFrame:
     """Distribute the rows of an input that Spark had to read in one piece."""
-    whole = path.lower().endswith(".gz") or multiline_csv and path.lower().endswith(".csv")
-    return df.hint("rebalance") if whole else df
+    return df.hint("rebalance") if path.lower().endswith(".gz") else df
 
 
 def load_reviews(spark: SparkSession, path: str, **options) -> DataFrame:
     """Raw reviews under our column names, with their input order in ``INPUT_ORDER``."""
-    df = with_input_order(read_table(spark, path, **options))
-    return spread_unsplittable(
-        normalize_reviews(df, path), path, options.get("multiline_csv", False)
-    )
+    df = _read(spark, path, INPUT_ORDER, **options)
+    return spread_unsplittable(normalize_reviews(df, path), path)
 
 
 def normalize_reviews(df: DataFrame, source: str = "reviews") -> DataFrame:
@@ -124,11 +156,7 @@ def load_products(spark: SparkSession, path: str | None, **options) -> DataFrame
     """Raw product metadata under our column names, or None when there is no such input."""
     if path is None:
         return None
-    return spread_unsplittable(
-        normalize_products(read_table(spark, path, **options)),
-        path,
-        options.get("multiline_csv", False),
-    )
+    return spread_unsplittable(normalize_products(read_table(spark, path, **options)), path)
 
 
 def normalize_products(df: DataFrame) -> DataFrame:
