@@ -6,7 +6,13 @@ contracts, in every piece, the leftmost pair of the smallest rank until no pair
 an ordered aggregation of the tokens' bytes. Texts are then put together from their pieces' tokens.
 
 The merge table holds every pair of tokens whose joined bytes are a token; the rank of the joined
-token is the rank of the pair. Pieces that are tokens as they stand are not merged at all.
+token is the rank of the pair. Pieces that are tokens as they stand are not merged at all. A long piece
+is first cut at every place that no token occurring in the piece lies across: nothing is ever
+contracted there.
+
+A worker remembers the tokens of what stood between two spaces from one task to the next, up to a
+bound in bytes; beyond it the older half goes. Bytes are remembered only where decoding gives
+something else than was encoded, so the text itself serves as its own decoded form.
 """
 
 from __future__ import annotations
@@ -15,6 +21,7 @@ import base64
 import hashlib
 import tempfile
 from collections.abc import Callable, Iterator, Sequence
+from itertools import islice
 
 import duckdb
 import numpy as np
@@ -29,8 +36,9 @@ from tallyrec.llm.batches import slices, texts
 PIECES_AT_ONCE = 100_000
 LONG_PIECE = 128  # bytes; longer pieces contract all places of a pair at once where that is safe
 SLICE_BYTES = 8 << 20  # of texts at a time
-CACHED_CHUNKS = 350_000
-CACHED_BYTES = 64 << 20
+CACHED_BYTES = 128 << 20  # remembered by a worker, with what Python needs for an entry
+ENTRY_BYTES = 220
+CACHED_CHUNKS = 550_000
 DUCKDB_MEMORY = "256MB"
 
 _AFTER_SPACE, _START_OF_TEXT, _AFTER_SEAM = range(3)
@@ -136,6 +144,7 @@ class Codec:
             safe=~np.isin(pairs[:, 1], unsafe),
         )
         self._table("vocabulary", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks])
+        self.prefixes: set[bytes] | None = None
         self._forget()
 
     def _table(self, name: str, **columns) -> None:
@@ -144,11 +153,18 @@ class Codec:
         self.con.unregister("_new")
 
     def _forget(self) -> None:
-        # by kind of chunk: the tokens and the decoded bytes
+        # by kind of chunk: the tokens, and the decoded bytes where they are not the chunk's own
         self.ids = ({}, {}, {})
         self.decoded = ({}, {}, {})
         self.held = 0
 
+    def _drop_older_half(self) -> None:
+        self.ids = tuple(dict(islice(own.items(), (len(own) + 1) // 2, None)) for own in self.ids)
+        kept = zip(self.decoded, self.ids)
+        self.decoded = tuple({c: d for c, d in own.items() if c in ids} for own, ids in kept)
+        self.held = sum(ENTRY_BYTES * len(own) + sum(map(len, own)) for own in self.ids)
+        self.held += sum(len(tokens) for own in self.ids for tokens in own.values() if tokens)
+
     def _lists(self, query: str, name: str, values: np.ndarray, ends: np.ndarray) -> pa.Array:
         """The second column of a query over a table of numbered token lists, in their order."""
         offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
@@ -157,44 +173,79 @@ class Codec:
         return self.con.sql(query).to_arrow_table().column(1).combine_chunks()
 
     def release(self) -> None:
-        """Give back what was kept of earlier texts; workers live on after a task."""
-        self._forget()
+        """Give back what the last slice needed; workers live on after a task."""
         self.con.execute("drop table if exists start; drop table if exists encoded")
         pa.default_memory_pool().release_unused()
 
+    def _segments(self, piece: bytes) -> list[bytes]:
+        """The piece cut wherever no token that occurs in it lies across."""
+        if self.prefixes is None:
+            self.prefixes = {token[:i] for token in self.ranks for i in range(2, len(token) + 1)}
+        found, begin, reach = [], 0, 1
+        for at in range(len(piece)):
+            if at >= reach:
+                found.append(piece[begin:at])
+                begin = at
+            reach = max(reach, at + 1)
+            length = 2
+            while (part := piece[at : at + length]) in self.prefixes and len(part) == length:
+                if at + length > reach and part in self.ranks:
+                    reach = at + length
+                length += 1
+        return [*found, piece[begin:]]
+
     def encode_pieces(self, pieces: list[bytes]) -> tuple[list[bytes], list[bytes]]:
         """Tokens (little-endian unsigned 32-bit) and decoded bytes of distinct pieces."""
-        kinds = [0 if p in self.ranks else 1 if len(p) <= LONG_PIECE else 2 for p in pieces]
         tokens, decoded = [b""] * len(pieces), [b""] * len(pieces)
-        for kind, query in enumerate((None, _MERGE_ONE, _MERGE_ALL)):
-            own = [i for i, k in enumerate(kinds) if k == kind]
+        cut: dict[int, list[bytes]] = {}
+        short, long_ = [], []
+        for i, piece in enumerate(pieces):
+            rank = self.ranks.get(piece)
+            if rank is not None:
+                tokens[i], decoded[i] = rank.to_bytes(4, "little"), piece
+            elif len(piece) <= LONG_PIECE:
+                short.append(i)
+            elif len(segments := self._segments(piece)) > 1:
+                cut[i] = segments
+            else:
+                long_.append(i)
+        for own, query in ((short, _MERGE_ONE), (long_, _MERGE_ALL)):
             for at in range(0, len(own), PIECES_AT_ONCE):
                 part = own[at : at + PIECES_AT_ONCE]
-                if query is None:
-                    values = np.array([self.ranks[pieces[i]] for i in part], np.int32)
-                    ends = np.arange(1, len(part) + 1)
-                else:
-                    flat = np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)
-                    ends = np.cumsum([len(pieces[i]) for i in part])
-                    lists = self._lists(query, "start", self.byte_ids[flat], ends)
-                    values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()[1:]
+                flat = np.frombuffer(b"".join([pieces[i] for i in part]), np.uint8)
+                ends = np.cumsum([len(pieces[i]) for i in part])
+                lists = self._lists(query, "start", self.byte_ids[flat], ends)
+                values, ends = lists.values.to_numpy(), lists.offsets.to_numpy()[1:]
                 packed = values.astype("<u4").tobytes()
                 texts_ = self._lists(_DECODE, "encoded", values, ends).to_pylist()
                 begin = 0
                 for i, end, text in zip(part, (4 * ends.astype(np.int64)).tolist(), texts_, strict=True):
                     tokens[i], decoded[i] = packed[begin:end], text
                     begin = end
+        if cut:
+            parts = list({segment for segments in cut.values() for segment in segments})
+            own = dict(zip(parts, zip(*self.encode_pieces(parts))))
+            for i, segments in cut.items():
+                tokens[i], decoded[i] = (b"".join(x) for x in zip(*(own[s] for s in segments)))
         return tokens, decoded
 
+    def _keep(self, kind: int, chunk: str, tokens: bytes | None, decoded: bytes | None = None) -> None:
+        self.ids[kind][chunk] = tokens
+        self.held += ENTRY_BYTES + len(chunk) + len(tokens or b"")
+        if decoded is not None:
+            self.decoded[kind][chunk] = decoded
+
     def _learn(self, *chunks: set[str]) -> None:
         """Encode new chunks by kind: between two spaces of the text, at its start, and after a seam.
 
         A seam is a space between two characters that are no white space; pieces never lie across
-        one. A space of another kind is found by the chunks next to it, which get no tokens.
+        one. A space of another kind is found by the chunks next to it, which get no tokens. A piece
+        that is remembered as a chunk is not encoded again.
         """
         numbers: dict[str, int] = {}
         plain: list[list[str]] = []
-        cut: list[tuple[int, str, list[int]]] = []
+        cut: list[tuple[int, str, list[str]]] = []
+        words, odd = self.ids[_AFTER_SPACE], self.decoded[_AFTER_SPACE]
         for kind, some in enumerate(chunks):
             lead = "" if kind == _START_OF_TEXT else " "
             new = some - self.ids[kind].keys()
@@ -205,25 +256,39 @@ class Codec:
                 if kind == _AFTER_SPACE and (
                     not chunk or chunk[0].isspace() or chunk[-1].isspace()
                 ):
-                    self.ids[kind][chunk] = None
+                    self._keep(kind, chunk, None)
+                else:
+                    cut.append((kind, chunk, self.pattern.findall(lead + chunk)))
+        known: dict[str, bytes] = {}
+        for _, _, found in cut:
+            for piece in found:
+                own = words.get(piece[1:]) if piece[0] == " " and piece[1:].isalpha() else None
+                if own is not None and piece[1:] not in odd:
+                    known[piece] = own
                 else:
-                    found = self.pattern.findall(lead + chunk)
-                    cut.append((kind, chunk, [numbers.setdefault(p, len(numbers)) for p in found]))
-        tokens, decoded = self.encode_pieces([p.encode() for p in numbers])
+                    numbers.setdefault(piece, len(numbers))
+        raw = [p.encode() for p in numbers]
+        tokens, decoded = self.encode_pieces(raw)
+        known.update(zip(numbers, tokens))
+        changed = {p: d for p, d, r in zip(numbers, decoded, raw) if d != r}
         for kind, some in enumerate(plain):
             lead = "" if kind == _START_OF_TEXT else " "
-            for chunk in some:
-                i = numbers[lead + chunk]
-                self.ids[kind][chunk], self.decoded[kind][chunk] = tokens[i], decoded[i]
-        for kind, chunk, own in cut:
-            self.ids[kind][chunk] = b"".join([tokens[i] for i in own])
-            self.decoded[kind][chunk] = b"".join([decoded[i] for i in own])
-        self.held += sum(map(len, numbers))
+            own = [known[lead + chunk] for chunk in some]
+            self.ids[kind].update(zip(some, own))
+            self.held += ENTRY_BYTES * len(some) + sum(map(len, some)) + sum(map(len, own))
+            if changed:
+                odd_ones = {c: changed[lead + c] for c in some if lead + c in changed}
+                self.decoded[kind].update(odd_ones)
+        for kind, chunk, found in cut:
+            own, whole = None, len(chunk) + (kind != _START_OF_TEXT)
+            if changed and not changed.keys().isdisjoint(found) or sum(map(len, found)) != whole:
+                own = b"".join([changed.get(p, p.encode()) for p in found])
+            self._keep(kind, chunk, b"".join([known[p] for p in found]), own)
 
     def encode(self, some: list[str]) -> Iterator[tuple[bytes, bytes]]:
         """Per text its tokens as little-endian unsigned 32-bit integers, and their bytes."""
         if self.held > CACHED_BYTES or sum(map(len, self.ids)) > CACHED_CHUNKS:
-            self._forget()
+            self._drop_older_half()
         begins, rests = [], []
         for text in some:
             begin, *rest = text.split(" ")
@@ -242,11 +307,16 @@ class Codec:
         seamed: set[str] = set()
         seamed.update(*(rest for rest, kind in zip(rests, kinds, strict=True) if kind))
         self._learn(set(), set(begins), seamed)
-        for begin, rest, kind in zip(begins, rests, kinds, strict=True):
-            yield tuple(
-                b"".join([table[_START_OF_TEXT][begin], *map(table[kind].__getitem__, rest)])
-                for table in (self.ids, self.decoded)
-            )
+        for text, begin, rest, kind in zip(some, begins, rests, kinds, strict=True):
+            ids = b"".join([self.ids[_START_OF_TEXT][begin], *map(self.ids[kind].__getitem__, rest)])
+            yield ids, self._decoded(text, begin, rest, kind)
+
+    def _decoded(self, text: str, begin: str, rest: list[str], kind: int) -> bytes:
+        first, others = self.decoded[_START_OF_TEXT], self.decoded[kind]
+        if begin not in first and (not others or others.keys().isdisjoint(rest)):
+            return text.encode()
+        parts = [first.get(begin, begin.encode())]
+        return b"".join([*parts, *(others.get(c, b" " + c.encode()) for c in rest)])
 
 
 _CODECS: dict[str, Codec] = {}

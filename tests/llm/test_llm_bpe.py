@@ -1,4 +1,5 @@
 import hashlib
+import random
 
 import numpy as np
 import public_tokenizers
@@ -53,6 +54,42 @@ def test_any_characters(pair, texts):
     agree(pair, texts)
 
 
+def test_long_pieces(pair):
+    rng = random.Random(6)
+    letters = "".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(200_000))
+    syllables = "".join(rng.choice(["the", "ing", "ation", "ly", "re", "un"]) for _ in range(3_000))
+    agree(pair, [letters, "x " + letters[:5000] + " y", syllables, "a" * 20_000, "é" * 9_000])
+
+
+def test_segments_are_independent(pair):
+    codec, _ = pair
+    rng = random.Random(8)
+    for _ in range(40):
+        piece = "".join(rng.choice("etaoinqxzj") for _ in range(200)).encode()
+        segments = codec._segments(piece)
+        assert b"".join(segments) == piece and all(segments)
+        parts, decoded = codec.encode_pieces(list(dict.fromkeys(segments)))
+        own = dict(zip(dict.fromkeys(segments), parts))
+        whole = pair[1].encode_ordinary(piece.decode())
+        assert np.frombuffer(b"".join(own[s] for s in segments), "<u4").tolist() == whole
+
+
+def test_memory_lasts_and_is_bounded(pair, monkeypatch):
+    codec, _ = pair
+    texts = [" ".join(f"w{i}x{j}, plain{'abcdef'[j % 6]}" for j in range(300)) for i in range(6)]
+    agree(pair, texts)
+    held = sum(map(len, codec.ids))
+    codec.release()
+    calls = []
+    monkeypatch.setattr(codec, "encode_pieces", lambda pieces: calls.extend(pieces) or ([], []))
+    agree(pair, texts)
+    assert not calls and sum(map(len, codec.ids)) == held
+    monkeypatch.undo()
+    codec._drop_older_half()
+    assert sum(map(len, codec.ids)) <= held // 2 + 3 and codec.held > 0
+    agree(pair, texts)
+
+
 def test_forgetting_changes_nothing(pair, monkeypatch):
     monkeypatch.setattr("tallyrec.llm.bpe.CACHED_CHUNKS", 3)
     for _ in range(3):
