@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -35,3 +35,11 @@ def texts(batch: pa.RecordBatch, name: str) -> Iterator[bytes]:
     """The UTF-8 bytes of a text column; a null text is empty."""
     for value in batch.column(name).cast(pa.binary()):
         yield value.as_py() or b""
+
+
+def unused(columns: Iterable[str], name: str) -> str:
+    """``name``, with underscores until no column is called so; Spark does not tell cases apart."""
+    taken = {column.lower() for column in columns}
+    while name.lower() in taken:
+        name += "_"
+    return name

@@ -22,6 +22,7 @@ import numpy as np
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tallyrec.llm.batches import unused
 from tallyrec.session import materialize
 
 WORDS = r"[^\x20\x09-\x0D]+"
@@ -201,32 +202,34 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     A document that is taken in part, at the end of its source's words, keeps its first words,
     joined by single spaces. ``docs`` needs ``doc_id``, ``source`` and ``text``; ``n_chars`` is set
     anew if it is there. Each row is taken as the mix takes it, whatever rows share its ``doc_id`` or
-    have none: rows are told apart by a number that is written once.
+    have none: rows are told apart by a number that is written once. Further columns may have any
+    names.
     """
     columns = docs.columns
-    docs = materialize(docs.withColumn("_row", F.monotonically_increasing_id()), "mix-documents")
-    taken = mix_sources(docs, carry=["_row"]).select(
-        "_row",
-        F.col("size").alias("_size"),
+    row, size, copy, words = (unused(columns, n) for n in ("_row", "_size", "_copy", "_taken"))
+    docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
+    taken = mix_sources(docs, carry=[row]).select(
+        row,
+        F.col("size").alias(size),
         F.inline(
             F.transform(
                 F.array(F.lit(0), F.lit(1)),
-                lambda copy: F.struct(
-                    copy.alias("_copy"),
+                lambda number: F.struct(
+                    number.alias(copy),
                     F.aggregate(
-                        F.filter("pieces", lambda p: p["copy"] == copy),
+                        F.filter("pieces", lambda p: p["copy"] == number),
                         F.lit(0).cast("long"),
                         lambda n, p: n + p["n_words"],
-                    ).alias("_taken"),
+                    ).alias(words),
                 ),
             )
         ),
     )
-    taken = taken.where("_taken > 0")
+    taken = taken.where(F.col(words) > 0)
     text = F.col("text")
-    front = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORDS), 0), 1, F.col("_taken")), " ")
-    joined = docs.join(taken, "_row").withColumn(
-        "text", F.when(F.col("_taken") < F.col("_size"), front).otherwise(text)
+    front = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORDS), 0), 1, F.col(words)), " ")
+    joined = docs.join(taken, row).withColumn(
+        "text", F.when(F.col(words) < F.col(size), front).otherwise(text)
     )
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))

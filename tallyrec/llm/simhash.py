@@ -20,6 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tallyrec.llm.batches import unused
 from tallyrec.llm.components import connected_components
 from tallyrec.session import materialize
 
@@ -161,12 +162,14 @@ def without_near_duplicates(docs: DataFrame) -> DataFrame:
 
     The row with the smallest ``doc_id`` stays, one without an id only if no other is there, and of
     several such rows a single one. Rows are told apart by a number that is written once, so rows
-    that share a ``doc_id``, or have none, are judged each by its own text.
+    that share a ``doc_id``, or have none, are judged each by its own text. Further columns may have any
+    names.
     """
-    numbered = docs.withColumn("_row", F.monotonically_increasing_id())
+    row = unused(docs.columns, "_row")
+    numbered = docs.withColumn(row, F.monotonically_increasing_id())
     numbered = materialize(numbered, "near-documents")
-    marked = materialize(fingerprints(numbered, ["_row"]), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "_row")
-    members = _members(marked, order).select("fingerprint", F.col("least")["_row"].alias("stays"))
-    gone = marked.join(members, "fingerprint").where(F.col("_row") != F.col("stays"))
-    return numbered.join(gone.select("_row"), "_row", "left_anti").select(*docs.columns)
+    marked = materialize(fingerprints(numbered, [row]), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", row)
+    members = _members(marked, order).select("fingerprint", F.col("least")[row].alias("stays"))
+    gone = marked.join(members, "fingerprint").where(F.col(row) != F.col("stays"))
+    return numbered.join(gone.select(row), row, "left_anti").select(*docs.columns)

@@ -411,8 +411,10 @@ def remove_repeats(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
     n_parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     dealt = rows.repartition(n_parts, "key", "hash")
     marked = dealt.join(_one_each(marks), ["key", "hash"], "left")
-    # every column, so that the shuffle is the same as for the other join
-    windows = marked.select("row", "key", "hash", "text", "places", "is_copy").mapInArrow(
+    # every column, so that the shuffle is the same as for the other join; sorted, because a document
+    # travels as its place in a batch, and a task that is run again must cut the same batches
+    windows = marked.select("row", "key", "hash", "text", "places", "is_copy")
+    windows = windows.sortWithinPartitions("key", "hash").mapInArrow(
         _send_windows(max(1, round(n_words / BUCKET_HASHES / 4))), _PACKED
     )
     repeats = windows.groupBy("bucket").applyInArrow(_find_repeats, _MARKED)

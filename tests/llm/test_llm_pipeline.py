@@ -50,3 +50,18 @@ def test_run_on_given_table(spark):
     words = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").count()
     assert 0 < found.count() <= 2 * words
     assert np.all([r.n_tokens == len(r.ids) for r in found.collect()])
+
+
+def test_columns_of_any_names(spark):
+    names = ("_row", "_ROW_", "_size", "_taken", "_copy", "_lang_pred", "_score", "row", "places", "is_copy")
+    rows = [(i, f"{prose(i // 2, 40)} {prose(700, 30)}") for i in range(12)]
+    table = documents(rows, **{name: [name] * len(rows) for name in names}).drop_columns(["n_chars"])
+    docs = spark.createDataFrame(table)
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        out = stage(spark, docs, "")
+        assert out.columns == docs.columns
+        found = out.toArrow()
+        assert found.num_rows
+        assert all(set(found[name].to_pylist()) == {name} for name in names)
+        docs = spark.createDataFrame(found)
+    assert corpus_pipeline.STAGES[-1][1](spark, docs, "").count() == docs.count()
