@@ -9,6 +9,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tallyrec.llm.batches import unused
 from tallyrec.llm.bpe import encode_documents
 from tallyrec.llm.language import UNKNOWN, own_model, tagged
 from tallyrec.llm.mixing import mixed_documents
@@ -23,8 +24,9 @@ RANKS = "byte_bpe_50k.tiktoken"
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents in no language go: those without any letter."""
-    found = tagged(docs, own_model(docs), "_lang_pred", "_score")
-    return found.where(F.col("_lang_pred") != UNKNOWN).select(*docs.columns)
+    lang, score = (unused(docs.columns, name) for name in ("_lang_pred", "_score"))
+    found = tagged(docs, own_model(docs), lang, score)
+    return found.where(F.col(lang) != UNKNOWN).select(*docs.columns)
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -33,13 +35,19 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Passages that start earlier go; a document without any stays as it is."""
+    """Passages that start earlier go; a document without any stays as it is. ``n_chars`` is set anew
+    if it is there."""
+    # the operator's own columns come by other names than those of the table
     carry = [name for name in docs.columns if name not in ("doc_id", "text")]
-    found = remove_repeats(docs, carry)
+    inner = {name: f"column_{i}" for i, name in enumerate(carry)}
+    found = remove_repeats(docs.withColumnsRenamed(inner), list(inner.values()))
     text = F.when(F.col("n_removed") > 0, F.col("kept_text")).otherwise(F.col("text"))
     found = found.withColumn("text", text)
-    kind = docs.schema["n_chars"].dataType
-    return found.withColumn("n_chars", F.length("text").cast(kind)).select(*docs.columns)
+    back = {"doc_id": F.col("doc_id"), "text": F.col("text")}
+    back |= {name: F.col(own) for name, own in inner.items()}
+    if "n_chars" in back:
+        back["n_chars"] = F.length("text").cast(docs.schema["n_chars"].dataType)
+    return found.select(*(back[name].alias(name) for name in docs.columns))
 
 
 def mixture(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
