@@ -172,7 +172,7 @@ said as (
                lambda s: lower(trim(regexp_replace(s, '\s+', ' ', 'g')))))) as unit
     from passages
 ),
-units as (select * from said where len(string_split(unit, ' ')) >= 2),
+units as (select * from said where unit <> ''),
 originals as (
     select conv_id, unit, min(turn) as original from units where level = 0 group by conv_id, unit
 ),

@@ -22,6 +22,7 @@ CHAT = [
     (4, 9, "> later words here"),
     (4, 10, "later words here"),
     *[(5, i, f"> message number {i - 1}\nmessage number {i}") for i in range(40)],
+    *[(7, i, t) for i, t in enumerate(["Yes.", "> yes.\nWhy?", "> Why?\n今日は天気", "> 今日は天気\nso", "> so"])],
     *[(6, i, "we all say the same\n> we all say the same") for i in range(30)],
 ]
 
