@@ -1,3 +1,5 @@
+import re
+
 import numpy as np
 import pytest
 from conftest import rows, unit_vectors
@@ -139,3 +141,20 @@ def test_own_encoder_gets_batches_and_is_normalized(spark):
     # batches of 4, 4 and 2
     ratios = np.round(matrix[:, 0] / matrix[:, 1] * 3).astype(int)
     assert sorted(ratios) == [2] * 2 + [4] * 8
+
+
+def test_one_plan_for_any_number_of_blocks(spark, vectors, monkeypatch):
+    """The index never passes through the driver, and blocks change numbers in the plan only."""
+    index = vectors.withColumnRenamed("embedding", "vector")
+    queries = index.select(F.col("product_id").alias("query_id"), "vector", F.lit(3).alias("depth"))
+    monkeypatch.setattr("pyspark.sql.classic.dataframe.DataFrame.toArrow", None)
+    monkeypatch.setattr("pyspark.SparkContext.broadcast", None)
+    nodes, found = set(), set()
+    for block_bytes in (1 << 20, 128 * 7, 128):  # 1, 3 and 20 blocks
+        df = top_matches(queries, index, True, block_bytes)
+        plan = df._jdf.queryExecution().executedPlan().toString()
+        nodes.add(tuple(re.findall(r"[+:]- (?:\*\(\d+\) )?(\w+)", plan)))
+        found.add(tuple(rows(df)))
+    assert len(nodes) == 1 and len(found) == 1
+    (names,) = nodes
+    assert names.count("FlatMapCoGroupsInArrow") == 1 and "Union" not in names and "BroadcastExchange" not in names
