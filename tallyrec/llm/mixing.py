@@ -6,7 +6,7 @@ the output shards splits the blocks: each node divides the block quotas of its s
 two halves by draws without replacement (a multivariate hypergeometric draw), so every shard holds
 the same number of blocks, and the quotas of a source add up exactly. A shard then owns a
 run of each source's permuted stream; runs are disjoint, and inside a shard pieces are ordered by a
-hash.
+hash. What a document gives is what the shards' runs take of it, and nothing else.
 
 The driver plans with one figure per source and shard. Documents never leave the cluster: their
 places in the streams are added up in hash buckets of about the square root of a source's rows, so
@@ -85,7 +85,7 @@ def split_quotas(quotas: list[int], n_shards: int, seed: int = SEED) -> np.ndarr
 
 
 def _plan(sources: list, n_shards: int, n_blocks: int) -> str:
-    """One JSON record per source: its target, the words to take, and where its shards begin."""
+    """One JSON record per source: its target, and the run of its stream that each shard takes."""
     sizes = [row["source_size"] for row in sources]
     wanted = targets(sizes)
     words = [min(round(t), MAX_REPEATS * s) for t, s in zip(wanted, sizes, strict=True)]
@@ -96,15 +96,24 @@ def _plan(sources: list, n_shards: int, n_blocks: int) -> str:
             {
                 "rank": i,
                 "target": wanted[i],
-                "words": words[i],
                 "block_words": block,
-                "shard_ends": np.cumsum(quotas[i]).tolist(),
+                "runs": _runs(quotas[i], block, words[i]),
             }
             for i in range(len(sources))
         ]
     )
 
 
+def _runs(quotas: np.ndarray, block: int, words: int) -> list[dict[str, int]]:
+    """The words of a source's stream from ``low`` to ``high`` for each shard that has blocks of it."""
+    ends = np.cumsum(quotas)
+    return [
+        {"shard": shard, "low": int(end - own) * block, "high": min(int(end) * block, words)}
+        for shard, (own, end) in enumerate(zip(quotas, ends, strict=True))
+        if own
+    ]
+
+
 def mix_sources(
     docs: DataFrame, n_shards: int = N_SHARDS, n_blocks: int = N_BLOCKS, carry: Sequence[str] = ()
 ) -> DataFrame:
@@ -142,8 +151,8 @@ def mix_sources(
     ranked = materialize(ranked, "mix-sources")
     plan = _plan(ranked.orderBy("rank").select("source_size").collect(), n_shards, n_blocks)
     schema = (
-        "array<struct<rank:int,target:double,words:bigint,block_words:bigint,"
-        "shard_ends:array<bigint>>>"
+        "array<struct<rank:int,target:double,block_words:bigint,"
+        "runs:array<struct<shard:int,low:bigint,high:bigint>>>>"
     )
     planned = spark.range(1).select(F.inline(F.from_json(F.lit(plan), schema)))
     sources = ranked.join(planned, "rank").withColumnRenamed("source", "_source")
@@ -173,27 +182,31 @@ def mix_sources(
 
 
 def _pieces(copy: int) -> Column:
-    """What one pass takes of a document, block by block."""
+    """What the shards take of one pass of a document, run by run and block by block."""
     at = F.col("start") + copy * F.col("source_size")
-    end = F.least(at + F.col("size"), F.col("words"))
+    end = at + F.col("size")
     width = F.col("block_words")
 
-    def piece(block: Column) -> Column:
-        low = F.greatest(at, block * width)
-        high = F.least(end, (block + 1) * width)
-        shard = F.size(F.filter("shard_ends", lambda ends: ends <= block))
-        return F.struct(
-            F.lit(copy).alias("copy"),
-            shard.alias("shard"),
-            block.alias("block"),
-            (low - at).alias("first_word"),
-            (high - low).alias("n_words"),
-        )
-
-    first, last = F.floor(at / width), F.floor((end - 1) / width)
-    some = F.transform(F.sequence(first, last), piece)
+    def of_run(run: Column) -> Column:
+        def of_block(block: Column) -> Column:
+            low = F.greatest(at, run["low"], block * width)
+            high = F.least(end, run["high"], (block + 1) * width)
+            return F.struct(
+                F.lit(copy).alias("copy"),
+                run["shard"].alias("shard"),
+                block.alias("block"),
+                (low - at).alias("first_word"),
+                (high - low).alias("n_words"),
+            )
+
+        first = F.floor(F.greatest(at, run["low"]) / width)
+        last = F.floor((F.least(end, run["high"]) - 1) / width)
+        return F.transform(F.sequence(first, last), of_block)
+
+    # an empty document meets no run
+    met = F.filter("runs", lambda run: F.greatest(at, run["low"]) < F.least(end, run["high"]))
     kind = "array<struct<copy:int,shard:int,block:bigint,first_word:bigint,n_words:bigint>>"
-    return F.when(end > at, some).otherwise(F.array()).cast(kind)
+    return F.flatten(F.transform(met, of_run)).cast(kind)
 
 
 def mixed_documents(docs: DataFrame) -> DataFrame:
@@ -201,31 +214,22 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
 
     A document that is taken in part, at the end of its source's words, keeps its first words,
     joined by single spaces. ``docs`` needs ``doc_id``, ``source`` and ``text``; ``n_chars`` is set
-    anew if it is there. Each row is taken as the mix takes it, whatever rows share its ``doc_id`` or
+    anew if it is there. Every output partition has its shards one after the other, a row in the shard
+    of its first words, and each shard in an order given by a hash. Each row is taken as the mix takes it, whatever rows share its ``doc_id`` or
     have none: rows are told apart by a number that is written once. Further columns may have any
     names.
     """
     columns = docs.columns
-    row, size, copy, words = (unused(columns, n) for n in ("_row", "_size", "_copy", "_taken"))
+    helpers = ("_row", "_size", "_copy", "_taken", "_shard", "_turn")
+    row, size, copy, words, shard, turn = (unused(columns, name) for name in helpers)
     docs = materialize(docs.withColumn(row, F.monotonically_increasing_id()), "mix-documents")
     taken = mix_sources(docs, carry=[row]).select(
         row,
         F.col("size").alias(size),
-        F.inline(
-            F.transform(
-                F.array(F.lit(0), F.lit(1)),
-                lambda number: F.struct(
-                    number.alias(copy),
-                    F.aggregate(
-                        F.filter("pieces", lambda p: p["copy"] == number),
-                        F.lit(0).cast("long"),
-                        lambda n, p: n + p["n_words"],
-                    ).alias(words),
-                ),
-            )
-        ),
+        F.inline(F.array(*map(_of_copy, range(MAX_REPEATS)))).alias(copy, shard, words),
     )
     taken = taken.where(F.col(words) > 0)
+    taken = taken.withColumn(turn, F.xxhash64(F.lit(SEED + 1), row, copy))
     text = F.col("text")
     front = F.array_join(F.slice(F.regexp_extract_all(text, F.lit(WORDS), 0), 1, F.col(words)), " ")
     joined = docs.join(taken, row).withColumn(
@@ -233,7 +237,15 @@ def mixed_documents(docs: DataFrame) -> DataFrame:
     )
     if "n_chars" in docs.columns:
         joined = joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return joined.select(*columns)
+    return joined.sortWithinPartitions(shard, turn).select(*columns)
+
+
+def _of_copy(copy: int) -> Column:
+    """The first shard of one pass of a document, and the words that all shards take of it."""
+    own = F.filter("pieces", lambda piece: piece["copy"] == copy)
+    words = F.aggregate(own, F.lit(0).cast("long"), lambda n, piece: n + piece["n_words"])
+    shard = F.try_element_at(own, F.lit(1))["shard"]
+    return F.struct(F.lit(copy), shard, words)
 
 
 def write_mix(docs: DataFrame, path: str) -> None:

@@ -110,7 +110,8 @@ def op4_sampled_splitter_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     taken = F.aggregate("pieces", F.lit(0).cast("long"), lambda n, piece: n + piece["n_words"])
     mix = mix_sources(table(spark, sf_dir, "documents"))
-    return mix.select("doc_id", "size", "source_size", "target", taken.alias("taken"), "source")
+    columns = ("doc_id", "size", "source_size", "target", taken.alias("taken"), "source", "pieces")
+    return mix.select(*columns)
 
 
 @query()

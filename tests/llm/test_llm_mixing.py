@@ -121,3 +121,36 @@ def test_mixed_documents_without_own_ids(spark):
     assert max(map(len, times.values())) <= 2
     cut = [n for i, taken in times.items() for n in taken if n < 3 + i % 30]
     assert len(cut) <= 2  # the last document of a source only
+
+
+def test_taken_words_are_those_of_the_shards_runs(spark):
+    """The tree's runs laid out word by word, in the stream's order as the pieces show it."""
+    rows = [(i, prose(i, 5 + i % 30)) for i in range(150)]
+    found = mix_sources(table(spark, rows, ["ab"[i % 3 > 0] for i in range(150)]), 5, 60).collect()
+    for source, size in {(r.source, r.source_size) for r in found}:
+        own = [(p.block, p.shard, p.n_words) for r in found if r.source == source for p in r.pieces]
+        blocks = {}
+        for block, shard, n in own:
+            blocks.setdefault((block, shard), []).append(n)
+        # one shard per block, shards own runs of blocks, and all blocks but the last are full
+        order = sorted(blocks)
+        assert [b for b, _ in order] == list(range(len(order)))
+        assert [s for _, s in order] == sorted(s for _, s in order)
+        full = {sum(blocks[key]) for key in order[:-1]}
+        assert len(full) == 1 and 0 < sum(blocks[order[-1]]) <= full.pop()
+        assert sum(n for _, _, n in own) <= 2 * size
+
+
+def test_mixed_rows_lie_by_shard(spark):
+    rows = [(i, prose(i, 5 + i % 30)) for i in range(200)]
+    df = table(spark, rows, ["ab"[i % 2] for i in range(200)])
+    # a whole document's rows differ by their shards, so those tell the order of the rows
+    first = {}
+    for r in mix_sources(df).collect():
+        for copy in {p.copy for p in r.pieces}:
+            first.setdefault(r.doc_id, set()).add(next(p.shard for p in r.pieces if p.copy == copy))
+    out = [r.doc_id for r in mixed_documents(df).coalesce(1).collect()]
+    sure = [min(first[d]) for d in out if len(first[d]) == 1]
+    falls = sum(a > b for a, b in zip(sure, sure[1:]))
+    assert len(sure) > 50 and falls < 8  # at most one fall per partition
+    assert out != sorted(out)
