@@ -17,7 +17,7 @@ CASES = {
     "titled comments": (f"<main><p>{ONE}</p><section><h3>Comments (2)</h3><p>{OTHER}</p></section></main>", [ONE]),
     "header": (f"<header><h1>Site</h1></header><main><h1>T</h1><p>{ONE}</p><aside>{OTHER}</aside></main>", ["T", ONE]),
     "form": (f"<form id=aspnet><h1>T</h1><div><p>{ONE}</p></div></form><form><p>{OTHER}</p></form>", ["T", ONE]),
-    "links": (f"<article><p>{ONE}</p><ul><li><a>one link</a><li><a>another</a></ul><p>{TWO}</p></article>", [ONE, TWO]),
+    "links": (f"<article><p>{ONE}</p><ul><li><a>one link</a><li><a>another</a></ul><p>{TWO}</p></article>", [ONE, "one link", "another", TWO]),
     "list": (f"<article><p>{ONE}</p><ul><li>an item<li>another</ul></article>", [ONE, "an item", "another"]),
     "script": (f'<script>var t="</p><p>";</script><article><p>{ONE}</p><style>p{{}}</style></article>', [ONE]),
     "entities": ("<article><p>a &lt;b&gt; &amp;amp; caf&eacute;&nbsp; &#x41;&copy</p></article>", ["a <b> &amp; café A©"]),
@@ -54,6 +54,29 @@ WHOLE = {
     "counted comments": (f"<main><p>{ONE}</p><section><h3>1,204 Comments:</h3><p>{OTHER}</p></section></main>", [ONE]),
 }
 
+for box in ("market-share", "social-history", "search-results", "skip-intro"):
+    WHOLE[box] = (f'<article><p>{ONE}</p><div class="{box}"><p>{TWO}</p></div></article>', [ONE, TWO])
+WHOLE["lead"] = (f'<article><p class="teaser">{ONE}</p><p>{TWO}</p></article>', [ONE, TWO])
+WHOLE["teaser box"] = (f'<div><p>{ONE}</p><p>{TWO}</p></div><div class="teaser"><p>Other, news.</p><a>more</a></div>', [ONE, TWO])
+
+# Pages without article or main: what stands around the story goes, the story stays whole.
+BLURB = "This portal has brought you news from the region, day by day, since 1990."
+RIGHTS = "All rights reserved, in all countries, by the publisher."
+LINKS = "<ul><li><a>Home, sweet home</a></li><li><a>About us, all of us</a></li></ul>"
+STORY = f"<p>{ONE * 3}</p><p>{TWO * 3}</p><h2>B</h2><p>Yes.</p><ul><li><a>A source</a></li></ul>"
+TOLD = [ONE * 3, TWO * 3, "B", "Yes.", "A source"]
+WHOLE |= {
+    "boxes beside": (f'<body><div class="intro">{BLURB}</div><div class="weather"><b>Rain</b> 12 degrees</div><div id="content"><h1>T</h1>{STORY}</div><div>{RIGHTS}</div></body>', ["T", *TOLD]),
+    "paragraphs beside": (f"<nav>{LINKS}</nav><p>{BLURB}</p><div>{STORY}</div><p>{RIGHTS}</p>", TOLD),
+    "masthead": (f"<header><h1>The Site</h1><p>{BLURB}</p></header><div><h1>T</h1>{STORY}</div>", ["T", *TOLD]),
+    "masthead of a story with a heading": (f"<header><h1>The Site</h1></header><div><h2>T</h2>{STORY}</div>", ["T", *TOLD]),
+    "title in a header": (f"<div id=site><header><h1>T</h1></header><p>{ONE}</p><div>{STORY}</div><div>{RIGHTS}</div></div>", ["T", ONE, *TOLD]),
+    "frame in a frame": (f'<div id="page"><div class="nav">{LINKS}</div><div>{BLURB}</div><div><div>{STORY}</div></div><div>{RIGHTS}</div></div><div>{RIGHTS}</div>', TOLD),
+    "text in the container's parent": (f"<div><div class=post><h1>T</h1><p>By A</p><div>{STORY}</div><p>End.</p></div><div>{BLURB}</div></div>", ["T", "By A", *TOLD, "End."]),
+    "boxes of one class": (f'<div><div class="part"><p>{ONE * 3}</p></div><div class="part"><p>Short.</p></div></div><div>{RIGHTS}</div>', [ONE * 3, "Short."]),
+    "links outside": (f"<div>{LINKS}</div><div>{STORY}</div>{LINKS}", TOLD),
+}
+
 
 @pytest.mark.parametrize("name", WHOLE)
 def test_nothing_else_is_dropped(name):
