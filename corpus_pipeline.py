@@ -15,7 +15,7 @@ from tallyrec.llm.language import UNKNOWN, own_model, tagged
 from tallyrec.llm.mixing import mixed_documents
 from tallyrec.llm.simhash import without_near_duplicates
 from tallyrec.llm.substrings import remove_repeats
-from tallyrec.session import shared_folder
+from tallyrec.session import delete, shared_folder, workspace
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -75,11 +75,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """All stages over the table ``documents``; each result is written and read again."""
+    """All stages over the table ``documents``; each result is written and read again.
+
+    A stage's own tables, and the result it read, are deleted once its result is written; the last
+    result stays.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     folder = f"{shared_folder(spark)}/pipeline-{uuid.uuid4().hex}"
     for number, (_, stage) in enumerate(STAGES):
-        path = f"{folder}/{number}"
-        stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        with workspace(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        if number:
+            delete(spark, f"{folder}/{number - 1}")
+        docs = spark.read.parquet(f"{folder}/{number}")
     return docs
