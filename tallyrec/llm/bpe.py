@@ -36,7 +36,7 @@ from tallyrec.llm.batches import slices, texts
 PIECES_AT_ONCE = 100_000
 LONG_PIECE = 128  # bytes; longer pieces contract all places of a pair at once where that is safe
 SLICE_BYTES = 8 << 20  # of texts at a time
-CACHED_BYTES = 128 << 20  # remembered by a worker, with what Python needs for an entry
+CACHED_BYTES = 64 << 20  # remembered by a worker, with what Python needs for an entry
 ENTRY_BYTES = 220
 CACHED_CHUNKS = 550_000
 DUCKDB_MEMORY = "256MB"
@@ -173,7 +173,9 @@ class Codec:
         return self.con.sql(query).to_arrow_table().column(1).combine_chunks()
 
     def release(self) -> None:
-        """Give back what the last slice needed; workers live on after a task."""
+        """Give back what the last slice needed; workers live on after a task, and others beside them."""
+        while self.held > CACHED_BYTES:
+            self._drop_older_half()
         self.con.execute("drop table if exists start; drop table if exists encoded")
         pa.default_memory_pool().release_unused()
 
