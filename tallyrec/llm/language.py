@@ -7,7 +7,11 @@ is highest, where each change of language costs a penalty, which yields spans. T
 language is the one whose spans have the most letters.
 
 Everything is computed for a slice of documents at a time in whole arrays. Documents in which no
-stretch of words could pay for a change have one span and skip the step-by-step search.
+stretch of words could pay for a change have one span and skip the step-by-step search. The search
+goes through the words of a long document in blocks side by side, joined by max-plus products. A very
+long text is scored and searched in chunks that hand on the state: forwards for the values at the cuts,
+then backwards for the labels. Scores are multiples of 2**-16, so sums are exact and the labels do not
+depend on how words are grouped.
 """
 
 from __future__ import annotations
@@ -28,11 +32,14 @@ PENALTY = 12.0  # nats for a change of language between two words
 SMOOTHING = 0.2
 SCRIPT_SHARE = 0.01  # of a language's letters that make a script one of its own
 SLICE_BYTES = 2 << 20  # of texts at a time; the arrays made of them take some thirty times that
+CHUNK_BYTES = 1 << 20  # longer texts are scored and searched in chunks of so many bytes
+BLOCK_WORDS = 4096  # documents of more words are searched in blocks
 SEED = 909
 UNKNOWN = "und"
 
 _BUCKETS = 1 << 16
 _OUT_OF_SCRIPT = -50.0
+_GRAIN = 2.0**-16
 
 # First and last code points of scripts, as Unicode lays out its blocks.
 SCRIPTS = {
@@ -91,15 +98,19 @@ _IS_LETTER = (_BYTE >= 0x80) | ((_BYTE | 0x20 >= 0x61) & (_BYTE | 0x20 <= 0x7A)
 
 
 class _Words:
-    """The words with letters of some texts: where they are, their trigrams and scripts."""
+    """The words with letters of some texts: where they are, their trigrams and scripts.
 
-    def __init__(self, some: list[str]) -> None:
-        parts = [text.lower().encode() for text in some]
-        joined = np.frombuffer(b" " + b" ".join(parts) + b"  ", np.uint8)
+    ``parts`` are lower-cased texts, or one piece of a text with the byte ``before`` it and the two
+    ``after`` it.
+    """
+
+    def __init__(self, parts: list[bytes], before: bytes = b" ", after: bytes = b"  ") -> None:
+        joined = np.frombuffer(before + b" ".join(parts) + after, np.uint8)
         space = _IS_SPACE[joined]
         joined = np.where(space, np.uint8(0x20), joined)
-        self.letters = np.flatnonzero(_IS_LETTER[joined])
+        self.letters = 1 + np.flatnonzero(_IS_LETTER[joined[1:-2]])
         at = self.letters
+        self.spaces = int(space[:-2].sum())
         middle = joined[at].astype(np.uint32)
         after = joined[at + 1].astype(np.uint32)
         code = joined[at - 1].astype(np.uint32) << 16 | middle << 8 | after
@@ -137,13 +148,15 @@ class Model:
         self.masks = np.array([bits[own >= SCRIPT_SHARE].sum() for own in share.T], np.uint32)
 
     def scores(self, words: _Words) -> np.ndarray:
-        """Per word and language. A language without the word's scripts is ruled out, unless no
-        language has them."""
-        scores = words.sum(self.weights[words.trigrams])
-        seen = words.scripts()[:, None]
-        inside = (seen & ~self.masks[None, :]) == 0
+        """Per word and language."""
+        return self.ruled(words.sum(self.weights[words.trigrams]), words.scripts())
+
+    def ruled(self, sums: np.ndarray, scripts: np.ndarray) -> np.ndarray:
+        """A language without the word's scripts is ruled out, unless no language has them."""
+        inside = (scripts[:, None] & ~self.masks[None, :]) == 0
         out = ~inside & inside.any(axis=1)[:, None]
-        return np.where(out, scores + np.float32(_OUT_OF_SCRIPT), scores).astype(np.float64)
+        scores = np.where(out, sums + sums.dtype.type(_OUT_OF_SCRIPT), sums).astype(np.float64)
+        return np.round(scores / _GRAIN) * _GRAIN
 
 
 def viterbi(scores: np.ndarray, docs: np.ndarray, penalty: float = PENALTY) -> np.ndarray:
@@ -167,8 +180,13 @@ def viterbi(scores: np.ndarray, docs: np.ndarray, penalty: float = PENALTY) -> n
     lowest = np.minimum.accumulate(before - apart, axis=0) + apart
     most = np.maximum.reduceat((before + gains - lowest).max(axis=1), starts)
     mixed = np.flatnonzero(most > penalty / 2)
-    if len(mixed):
-        _search(scores, starts[mixed], lengths[some][mixed], penalty, labels)
+    starts, lengths = starts[mixed], lengths[some][mixed]
+    long = lengths > BLOCK_WORDS
+    for start, n in zip(starts[long], lengths[long], strict=True):
+        own = scores[start : start + n]
+        labels[start : start + n] = _trace(own, np.zeros(own.shape[1]), penalty)[0]
+    if not long.all():
+        _search(scores, starts[~long], lengths[~long], penalty, labels)
     return labels
 
 
@@ -197,6 +215,143 @@ def _search(
             label[:n] = came[starts[:n] + t, label[:n]]
 
 
+def _step(value: np.ndarray, penalty: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The values before a word's own scores, who stays, and whom the others come from."""
+    top = value.argmax(axis=-1)[..., None]
+    moved = np.take_along_axis(value, top, axis=-1) - penalty
+    stays = value >= moved
+    return np.where(stays, value, moved), stays, top
+
+
+def _blocked(scores: np.ndarray) -> np.ndarray:
+    """The words of a document as steps x blocks x languages. Words without any score fill the last
+    block up; they change nothing, as a value never falls further behind than a change costs."""
+    n, k = scores.shape
+    steps = max(1, int(n**0.5))
+    blocks = -(-n // steps)
+    full = np.zeros((steps * blocks, k))
+    full[:n] = scores
+    return np.ascontiguousarray(full.reshape(blocks, steps, k).transpose(1, 0, 2))
+
+
+def _values(blocked: np.ndarray, start: np.ndarray, penalty: float) -> np.ndarray:
+    """The value of every language before each block, and after the last: blocks' products in turn."""
+    _, blocks, k = blocked.shape
+    product = np.where(np.eye(k, dtype=bool), 0.0, -np.inf)
+    product = np.broadcast_to(product, (blocks, k, k))  # from a language, into a language
+    for own in blocked:
+        moved = product.max(axis=-1)[..., None] - penalty
+        product = np.maximum(product, moved) + own[:, None, :]
+    values = np.empty((blocks + 1, k))
+    values[0] = start
+    for b in range(blocks):
+        values[b + 1] = (values[b][:, None] + product[b]).max(axis=0)
+    return values
+
+
+def _trace(
+    scores: np.ndarray, start: np.ndarray, penalty: float, label: int | None = None
+) -> tuple[np.ndarray, int]:
+    """The labels of successive words, and the label before them.
+
+    ``start`` has the languages' values before the first word, ``label`` the last word's label where
+    later words have decided it.
+    """
+    n, k = scores.shape
+    blocked = _blocked(scores)
+    steps, blocks, _ = blocked.shape
+    values = _values(blocked, start, penalty)
+    came = np.empty((steps, blocks, k), np.int16)
+    own = np.arange(k, dtype=np.int16)
+    value = values[:-1]
+    for t in range(steps):
+        value, stays, top = _step(value, penalty)
+        came[t] = np.where(stays, own, top)
+        value = value + blocked[t]
+    before = np.broadcast_to(own, (blocks, k))  # a block's last label gives the label before it
+    for t in range(steps - 1, -1, -1):
+        before = np.take_along_axis(came[t], before.astype(np.int64), axis=1)
+    ends = np.empty(blocks, np.int64)
+    last = int(values[-1].argmax()) if label is None else label
+    for b in range(blocks - 1, -1, -1):
+        ends[b] = last
+        last = int(before[b, last])
+    labels = np.empty((blocks, steps), np.int64)
+    at = np.arange(blocks)
+    for t in range(steps - 1, -1, -1):
+        labels[:, t] = ends
+        ends = came[t, at, ends]
+    return labels.reshape(-1)[:n], last
+
+
+# -- very long texts -----------------------------------------------------------------------------
+
+# the sums, scripts and letters of a word that goes on in the next chunk
+_Open = tuple[np.ndarray, np.uint32, int]
+
+
+def _cuts(text: bytes) -> Iterator[tuple[int, int]]:
+    """Chunks of a text, cut after white space where there is any."""
+    low = 0
+    while low < len(text):
+        high = min(low + CHUNK_BYTES, len(text))
+        if high < len(text):
+            spaces = np.flatnonzero(_IS_SPACE[np.frombuffer(text, np.uint8, high - low, low)])
+            high = low + int(spaces[-1]) + 1 if len(spaces) else high
+        yield low, high
+        low = high
+
+
+def _chunk(
+    model: Model, text: bytes, low: int, high: int, open_word: _Open | None
+) -> tuple[np.ndarray, np.ndarray, _Open | None]:
+    """Scores and letters of the words that end in a chunk, and the word that goes on behind it."""
+    before, after = text[low - 1 : low] if low else b" ", (text[high : high + 2] + b"  ")[:2]
+    words = _Words([text[low:high]], before, after)
+    sums, scripts = words.sum(model.weights[words.trigrams]), words.scripts()
+    letters = np.diff(words.starts, append=len(words.letters))
+    goes_on = words.word[words.starts[-1]] == words.spaces if len(words.starts) else not words.spaces
+    goes_on = goes_on and high < len(text)
+    if open_word is not None:
+        sums = np.concatenate((open_word[0][None], sums))
+        scripts = np.concatenate((np.array([open_word[1]], np.uint32), scripts))
+        letters = np.concatenate(([open_word[2]], letters))
+        if len(words.starts) and words.word[0] == 0:  # the first word here is the same word
+            sums[1] += sums[0]
+            scripts[1] |= scripts[0]
+            letters[1] += letters[0]
+            sums, scripts, letters = sums[1:], scripts[1:], letters[1:]
+    open_word = None
+    if goes_on and len(sums):
+        open_word = sums[-1].astype(np.float64), scripts[-1], int(letters[-1])
+        sums, scripts, letters = sums[:-1], scripts[:-1], letters[:-1]
+    return model.ruled(sums, scripts), letters, open_word
+
+
+def label_long(
+    model: Model, text: str, penalty: float = PENALTY
+) -> tuple[np.ndarray, np.ndarray]:
+    """The labels of a text's words, and the letters in each language, in bounded memory beside the
+    text and a small number per word. The labels are those that :func:`viterbi` gives."""
+    low_case = text.lower().encode()
+    value, open_word = np.zeros(len(model.languages)), None
+    states = []
+    for low, high in _cuts(low_case):
+        states.append((low, high, value, open_word))
+        scores, _, open_word = _chunk(model, low_case, low, high, open_word)
+        if len(scores):
+            value = _values(_blocked(scores), value, penalty)[-1]
+    label, found = None, []
+    held = np.zeros(len(model.languages), np.int64)
+    for low, high, value, open_word in reversed(states):
+        scores, letters, _ = _chunk(model, low_case, low, high, open_word)
+        if len(scores):
+            labels, label = _trace(scores, value, penalty, label)
+            held += np.bincount(labels, letters, len(held)).astype(np.int64)
+            found.append(labels.astype(np.int16))
+    return np.concatenate([np.zeros(0, np.int16), *reversed(found)]), held
+
+
 # -- fitting -------------------------------------------------------------------------------------
 
 
@@ -206,7 +361,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for lang, text in zip(batch.column("lang").to_pylist(), texts(batch, "text"), strict=True):
             found.setdefault(lang, []).append(text.decode())
         for lang, some in found.items():
-            words = _Words(some)
+            words = _Words([text.lower().encode() for text in some])
             counts = np.bincount(words.trigrams, minlength=_BUCKETS)
             bits = [(words.script_bits >> b & 1).sum() for b in range(len(SCRIPTS))]
             counts = np.concatenate((counts, np.array(bits, np.int64)))
@@ -272,23 +427,33 @@ def _predictor(
     return run
 
 
+def _is_long(text: str) -> bool:
+    return len(text) > CHUNK_BYTES
+
+
 def _predict(model: Model, some: list[str], spans: bool) -> tuple[list, list, list]:
     found, shares, runs = [UNKNOWN] * len(some), [0.0] * len(some), [[] for _ in some]
     if not model.languages:
         return found, shares, runs
-    words = _Words(some)
+    lower = [b"" if _is_long(text) else text.lower().encode() for text in some]
+    words = _Words(lower)
     labels = viterbi(model.scores(words), words.docs)
     letters = np.diff(words.starts, append=len(words.letters))
     of_doc = np.repeat(np.arange(len(some)), np.diff(words.docs))
     held = np.zeros((len(some), len(model.languages)))
     np.add.at(held, (of_doc, labels), letters)
+    own = {}
+    for i, text in enumerate(some):
+        if _is_long(text):
+            own[i], held[i] = label_long(model, text)
     best = held.argmax(axis=1)
     for i, text in enumerate(some):
         if _LETTER.search(text):
             found[i] = model.languages[best[i]]
             shares[i] = held[i, best[i]] / held[i].sum()
             if spans:
-                runs[i] = _runs(labels[words.docs[i] : words.docs[i + 1]], model.languages)
+                of_text = own.get(i, labels[words.docs[i] : words.docs[i + 1]])
+                runs[i] = _runs(of_text, model.languages)
     return found, shares, runs
 
 
@@ -313,8 +478,9 @@ def identify(docs: DataFrame, model: Model, spans: bool = False) -> DataFrame:
     ``score`` is the share of the document's letters in spans of the predicted language.
     A null text, an empty one, one without letters, or any text under a model without languages is
     ``und`` with score 0. Equal evidence goes to the language that comes first by name. With
-    ``spans`` there is a column of spans, counted in words that have letters. Null and repeated ids
-    are kept as they are, other columns are ignored; an empty table gives an empty result.
+    ``spans`` there is a column of spans, counted in words that have letters. A text of more than
+    ``CHUNK_BYTES`` characters is labelled whole, chunk by chunk. Null and repeated ids are kept as
+    they are, other columns are ignored; an empty table gives an empty result.
     """
     slim = docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from llm_cases import documents, hard_texts
 
+from tallyrec.llm import language
 from tallyrec.llm.language import Model, fit, identify, language_predictions, tagged, viterbi
 
 DOCS = "/root/testdata/sf0.1/documents.parquet"
@@ -90,3 +91,46 @@ def test_model_without_languages(spark):
     empty = Model([], np.zeros((1 << 16, 0)), np.zeros((21, 0)))
     rows = spark.createDataFrame(documents([(1, "some text")]))
     assert [tuple(r)[2:] for r in identify(rows, empty).collect()] == [("und", 0.0)]
+
+
+@pytest.mark.parametrize("n", [1, 2, 50, 997])
+def test_blocks_give_the_labels_of_single_steps(monkeypatch, n):
+    rng = np.random.default_rng(n)
+    for spread in (1, 6):  # whole numbers, so that there are ties
+        scores = np.round(rng.normal(0, spread, (n, 4)))
+        ends = np.array([0, n])
+        monkeypatch.setattr(language, "BLOCK_WORDS", 1 << 30)
+        steps = viterbi(scores, ends, 3.0)
+        monkeypatch.setattr(language, "BLOCK_WORDS", 0)
+        assert (viterbi(scores, ends, 3.0) == steps).all()
+
+
+def spans_of(model, text):
+    found, shares, runs = language._predict(model, [text, "дом детей"], True)
+    return found, shares, runs
+
+
+@pytest.mark.parametrize("chunk", [61, 400, 5000])
+def test_chunks_change_nothing(monkeypatch, model, chunk):
+    rng = np.random.default_rng(chunk)
+    parts = [TEXTS[lang] for lang in rng.choice(list(TEXTS), 120)]
+    unspaced = TEXTS["ja"].replace(" ", "") * 20
+    for text in (
+        " ".join(parts),
+        "".join(parts).replace(" ", ""),  # one word longer than many chunks
+        f"{unspaced} 12 {'1' * 900}x{'2' * 900} дом {unspaced}",
+        "7" * 6000 + "\n" * 6000,  # no letter at all
+        "a" + " " * 6000 + "ß",
+    ):
+        monkeypatch.setattr(language, "CHUNK_BYTES", 1 << 30)
+        whole = spans_of(model, text)
+        monkeypatch.setattr(language, "CHUNK_BYTES", chunk)
+        assert spans_of(model, text) == whole
+
+
+def test_megabytes_of_mixed_text(spark, model):
+    text = (TEXTS["en"] + " " + TEXTS["ru"] + "\n") * 20_000
+    found = identify(spark.createDataFrame(documents([(1, text), (2, TEXTS["de"])])), model, True)
+    found = {r.doc_id: r for r in found.collect()}
+    assert [s.lang for s in found[1].spans] == ["en", "ru"] * 20_000
+    assert found[1].lang_pred == "ru" and found[2].lang_pred == "de"  # letters weigh their bytes
