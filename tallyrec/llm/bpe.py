@@ -31,7 +31,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import slices, texts
+from tallyrec.llm.batches import release_memory, slices, texts
 
 PIECES_AT_ONCE = 100_000
 LONG_PIECE = 128  # bytes; longer pieces contract all places of a pair at once where that is safe
@@ -173,11 +173,11 @@ class Codec:
         return self.con.sql(query).to_arrow_table().column(1).combine_chunks()
 
     def release(self) -> None:
-        """Give back what the last slice needed; workers live on after a task, and others beside them."""
+        """Give back what the last slice needed."""
         while self.held > CACHED_BYTES:
             self._drop_older_half()
         self.con.execute("drop table if exists start; drop table if exists encoded")
-        pa.default_memory_pool().release_unused()
+        release_memory()
 
     def _segments(self, piece: bytes) -> list[bytes]:
         """The piece cut wherever no token that occurs in it lies across."""

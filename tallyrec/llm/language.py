@@ -25,13 +25,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tallyrec.llm.batches import slices, texts
+from tallyrec.llm.batches import release_memory, slices, texts
 
 DOCS_PER_LANGUAGE = 2000  # the model is fitted on about so many documents of a language at most
 PENALTY = 12.0  # nats for a change of language between two words
 SMOOTHING = 0.2
 SCRIPT_SHARE = 0.01  # of a language's letters that make a script one of its own
-SLICE_BYTES = 2 << 20  # of texts at a time; the arrays made of them take some thirty times that
+SLICE_BYTES = 1 << 20  # of texts at a time; the arrays made of them take some thirty times that
 CHUNK_BYTES = 1 << 20  # longer texts are scored and searched in chunks of so many bytes
 BLOCK_WORDS = 4096  # documents of more words are searched in blocks
 SEED = 909
@@ -374,6 +374,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 ],
                 ["lang", "bucket", "n"],
             )
+    release_memory()
 
 
 def fit(labelled: DataFrame, docs_per_language: int = DOCS_PER_LANGUAGE) -> Model:
@@ -423,6 +424,7 @@ def _predictor(
                 columns.append(pa.array(runs, pa.list_(kind)))
                 names.append("spans")
             yield pa.RecordBatch.from_arrays(columns, names)
+        release_memory()
 
     return run
 
