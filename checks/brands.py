@@ -20,7 +20,8 @@ from tallyrec.plans.recommend import HybridRecommender, SvdRecommender
 from tallyrec.plans.serve import recommend_batch
 from tallyrec.session import materialize
 
-# Every list of the collaborative model, and the vectors of most brands.
+# Every list of the collaborative model, and the vectors of most brands: sums of whole numbers over
+# all embeddings, dealt to those brands in turn, so that the order of addition does not matter.
 LISTS = (
     BRAND_CELLS
     + f"""
@@ -44,11 +45,19 @@ visitors as (
 all_cf as (
     select user_id, product_id, score, "rank" from known union all
     select user_id, product_id, 0::double, "rank" from visitors, popular),
-brand_vectors as (
-    select numbered.product_id, embedding
-    from (select product_id, row_number() over (order by product_id) as n from brands) numbered
-    join vectors on n = cast(vectors.product_id as int)
+brand_turns as (
+    select product_id, row_number() over (order by n) - 1 as turn, count(*) over () as n_turns
+    from (select product_id, row_number() over (order by product_id) as n from brands)
     where n % 7 <> 0),
+brand_sums as (
+    select b.product_id, place, sum(cast(floor(embedding[place] * 1048576) as bigint))::double as total
+    from (select product_id, embedding, unnest(range(1, len(embedding) + 1)) as place from vectors) v
+    join brand_turns b on cast(v.product_id as bigint) % n_turns = turn
+    group by 1, 2),
+brand_vectors as (
+    select product_id, list(total / norm order by place) as embedding
+    from (select *, sqrt(sum(total * total) over (partition by product_id)) as norm from brand_sums)
+    group by product_id),
 seeds as (select user_id, product_id as seed from all_cf where "rank" = 1),
 alike as ({matches_sql('''select product_id as query_id, embedding as vector from brand_vectors
     where product_id in (select seed from seeds)''', 300, True).replace(
@@ -122,10 +131,22 @@ def _svd(spark, sf_dir) -> SvdRecommender:
 def _vectors(spark, sf_dir) -> DataFrame:
     brands = _ratings(spark, sf_dir).select("product_id").distinct().orderBy("product_id")
     names = [row.product_id for row in brands.collect()]  # some 25
-    kept = [(name, str(n)) for n, name in enumerate(names, 1) if n % 7]
-    numbered = spark.createDataFrame(kept, "brand string, product_id string")
-    vectors = views.vectors(spark, sf_dir).join(numbered, "product_id")
-    first = vectors.select(F.col("brand").alias("product_id"), "embedding", F.lit(1).alias("place"))
+    kept = [name for n, name in enumerate(names, 1) if n % 7]
+    turns = spark.createDataFrame(list(zip(kept, range(len(kept)))), "brand string, turn int")
+    parts = views.vectors(spark, sf_dir).select(
+        (F.col("product_id").cast("long") % len(kept)).alias("turn"),
+        F.posexplode("embedding").alias("at", "x"),
+    )
+    whole = F.floor(F.col("x").cast("double") * 1048576)
+    sums = parts.groupBy("turn", "at").agg(F.sum(whole).cast("double").alias("total"))
+    # one row per brand and component is left: some 25 short arrays
+    own = sums.groupBy("turn").agg(F.sort_array(F.collect_list(F.struct("at", "total"))).alias("own"))
+    totals = F.col("own.total")
+    norm = F.sqrt(F.aggregate(totals, F.lit(0.0), lambda n, x: n + x * x))
+    unit = own.select("turn", F.transform(totals, lambda x: x / norm).alias("embedding"))
+    first = unit.join(turns, "turn").select(
+        F.col("brand").alias("product_id"), "embedding", F.lit(1).alias("place")
+    )
     # a second vector per brand that must not count
     second = first.select("product_id", F.reverse("embedding").alias("embedding"), F.lit(2).alias("place"))
     return materialize(second.union(first), "brand-vectors")
