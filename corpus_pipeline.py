@@ -20,6 +20,7 @@ from tallyrec.session import delete, shared_folder, workspace
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 RANKS = "byte_bpe_50k.tiktoken"
+SLICE_BYTES = 2 << 20  # of texts a worker encodes at a time, beside a heap that the stages before have filled
 
 
 def known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -59,7 +60,7 @@ def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The token ids of every document, and a digest of the text decoded from them."""
     columns = ("n_tokens", "ids", "decoded_sha256")
     ranks = public_tokenizers.path(RANKS)
-    return encode_documents(docs, ranks, public_tokenizers.PATTERN, columns)
+    return encode_documents(docs, ranks, public_tokenizers.PATTERN, columns, SLICE_BYTES)
 
 
 STAGES: list[tuple[str, Stage]] = [

@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 
 from tallyrec.llm.batches import release_memory, slices, texts
 
-PIECES_AT_ONCE = 100_000
+PIECES_AT_ONCE = 16_384
 LONG_PIECE = 128  # bytes; longer pieces contract all places of a pair at once where that is safe
 SLICE_BYTES = 8 << 20  # of texts at a time
 CACHED_BYTES = 64 << 20  # remembered by a worker, with what Python needs for an entry
@@ -124,9 +124,7 @@ class Codec:
         self.pattern = regex.compile(pattern)
         self.seam = regex.compile(r"(?<=\S) (?=\S)")
         self.byte_ids = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
-        self.con = duckdb.connect()
-        self.con.execute(f"set threads = 1; set memory_limit = '{DUCKDB_MEMORY}'")
-        self.con.execute("set temp_directory = ?", [tempfile.gettempdir()])
+        self.con: duckdb.DuckDBPyConnection | None = None
         pairs = np.array(
             [
                 (ranks[t[:i]] << 32 | ranks[t[i:]], r, ranks[t[:i]], ranks[t[i:]])
@@ -137,18 +135,31 @@ class Codec:
             np.int64,
         ).reshape(-1, 4)
         unsafe = np.unique(np.concatenate([pairs[pairs[:, 1] < pairs[:, c], c] for c in (2, 3)]))
-        self._table(
-            "merges",
-            pair=pairs[:, 0],
-            merged=pairs[:, 1].astype(np.int32),
-            safe=~np.isin(pairs[:, 1], unsafe),
-        )
-        self._table("vocabulary", id=np.array(list(ranks.values()), np.int32), hex=[t.hex() for t in ranks])
+        self.tables = {
+            "merges": pa.table(
+                {
+                    "pair": pairs[:, 0],
+                    "merged": pairs[:, 1].astype(np.int32),
+                    "safe": ~np.isin(pairs[:, 1], unsafe),
+                }
+            ),
+            "vocabulary": pa.table(
+                {"id": np.array(list(ranks.values()), np.int32), "hex": [t.hex() for t in ranks]}
+            ),
+        }
         self.prefixes: set[bytes] | None = None
         self._forget()
 
-    def _table(self, name: str, **columns) -> None:
-        self.con.register("_new", pa.table(columns))
+    def _open(self) -> None:
+        """Connect to a DuckDB of this process's own, with the vocabulary's tables."""
+        self.con = duckdb.connect()
+        self.con.execute(f"set threads = 1; set memory_limit = '{DUCKDB_MEMORY}'")
+        self.con.execute("set temp_directory = ?", [tempfile.gettempdir()])
+        for name, table in self.tables.items():
+            self._table(name, table)
+
+    def _table(self, name: str, table: pa.Table) -> None:
+        self.con.register("_new", table)
         self.con.execute(f"create or replace table {name} as select * from _new")
         self.con.unregister("_new")
 
@@ -165,18 +176,26 @@ class Codec:
         self.held = sum(ENTRY_BYTES * len(own) + sum(map(len, own)) for own in self.ids)
         self.held += sum(len(tokens) for own in self.ids for tokens in own.values() if tokens)
 
+    def query(self, query: str, name: str, lists: pa.Array) -> pa.Table:
+        """The result of a query over a table of numbered token lists."""
+        if self.con is None:
+            self._open()
+        self._table(name, pa.table({"w": np.arange(len(lists), dtype=np.int32), "ids": lists}))
+        return self.con.sql(query).to_arrow_table()
+
     def _lists(self, query: str, name: str, values: np.ndarray, ends: np.ndarray) -> pa.Array:
-        """The second column of a query over a table of numbered token lists, in their order."""
+        """The second column of a query over token lists, in the order of their numbers."""
         offsets = pa.array(np.concatenate(([0], ends)).astype(np.int32))
-        lists = pa.ListArray.from_arrays(offsets, pa.array(values))
-        self._table(name, w=np.arange(len(lists), dtype=np.int32), ids=lists)
-        return self.con.sql(query).to_arrow_table().column(1).combine_chunks()
+        found = self.query(query, name, pa.ListArray.from_arrays(offsets, pa.array(values)))
+        return found.column(1).combine_chunks()
 
     def release(self) -> None:
-        """Give back what the last slice needed."""
+        """Give back all but what is remembered. DuckDB keeps what its queries took until it is closed."""
         while self.held > CACHED_BYTES:
             self._drop_older_half()
-        self.con.execute("drop table if exists start; drop table if exists encoded")
+        if self.con is not None:
+            self.con.close()
+            self.con = None
         release_memory()
 
     def _segments(self, piece: bytes) -> list[bytes]:
@@ -291,25 +310,31 @@ class Codec:
         """Per text its tokens as little-endian unsigned 32-bit integers, and their bytes."""
         if self.held > CACHED_BYTES or sum(map(len, self.ids)) > CACHED_CHUNKS:
             self._drop_older_half()
-        begins, rests = [], []
+        # a text is cut anew each time: the chunks of all texts at once would take ten times the texts,
+        # and what is remembered of them would lie scattered over that memory
+        after: set[str] = set()
+        begins: set[str] = set()
         for text in some:
             begin, *rest = text.split(" ")
-            begins.append(begin)
-            rests.append(rest)
-        after: set[str] = set()
-        after.update(*rests)
-        self._learn(after)
+            begins.add(begin)
+            after.update(rest)
+        self._learn(after, begins)
         known = self.ids[_AFTER_SPACE]
         loose = {chunk for chunk in after if known[chunk] is None}
-        kinds = [_AFTER_SPACE] * len(some)
-        for i, (begin, rest) in enumerate(zip(begins, rests, strict=True)):
-            if rest and (not begin or begin[-1].isspace() or not loose.isdisjoint(rest)):
-                begins[i], *rests[i] = self.seam.split(some[i])
-                kinds[i] = _AFTER_SEAM
-        seamed: set[str] = set()
-        seamed.update(*(rest for rest, kind in zip(rests, kinds, strict=True) if kind))
-        self._learn(set(), set(begins), seamed)
-        for text, begin, rest, kind in zip(some, begins, rests, kinds, strict=True):
+        kinds, seamed = [], set()
+        begins.clear()
+        for text in some:
+            begin, *rest = text.split(" ") if loose else text.split(" ", 1)
+            if rest and (not begin or begin[-1].isspace() or loose and not loose.isdisjoint(rest)):
+                begin, *rest = self.seam.split(text)
+                begins.add(begin)
+                seamed.update(rest)
+                kinds.append(_AFTER_SEAM)
+            else:
+                kinds.append(_AFTER_SPACE)
+        self._learn(set(), begins, seamed)
+        for text, kind in zip(some, kinds, strict=True):
+            begin, *rest = text.split(" ") if kind == _AFTER_SPACE else self.seam.split(text)
             ids = b"".join([self.ids[_START_OF_TEXT][begin], *map(self.ids[kind].__getitem__, rest)])
             yield ids, self._decoded(text, begin, rest, kind)
 
@@ -350,11 +375,11 @@ _KINDS = {
 }
 
 
-def _encoder(ranks: Broadcast, pattern: str, columns: Sequence[str]) -> Callable:
+def _encoder(ranks: Broadcast, pattern: str, columns: Sequence[str], slice_bytes: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, pattern)
         try:
-            for batch in slices(batches, "text", size=SLICE_BYTES):
+            for batch in slices(batches, "text", size=slice_bytes):
                 values: list[list] = [[] for _ in columns]
                 for found in codec.encode([t.decode() for t in texts(batch, "text")]):
                     for own, name in zip(values, columns, strict=True):
@@ -372,6 +397,7 @@ def encode_documents(
     ranks_path: str,
     pattern: str,
     columns: Sequence[str] = ("n_tokens", "ids", "decoded"),
+    slice_bytes: int = SLICE_BYTES,
 ) -> DataFrame:
     """The tokens of every document, and the text decoded from them.
 
@@ -381,7 +407,8 @@ def encode_documents(
 
     ``ranks_path`` names a file of ranks that holds all 256 bytes; ``pattern`` cuts a text into pieces,
     each encoded by itself, and must let a space stand only at the start of a piece or among
-    white space. Special tokens are ordinary text. One row per row of ``docs``; a null or empty text
+    white space. A worker takes texts of about ``slice_bytes`` at a time: fewer need less memory and more
+    time, the tokens are the same. Special tokens are ordinary text. One row per row of ``docs``; a null or empty text
     has no tokens. Null and repeated ids are kept as they are, other columns ignored; an
     empty table gives an empty result.
     """
@@ -391,19 +418,21 @@ def encode_documents(
     # a vocabulary has some ten thousand tokens, whatever the corpus
     ranks = docs.sparkSession.sparkContext.broadcast((read_ranks(ranks_path), ranks_path))
     schema = ", ".join(["doc_id long", *(f"{name} {_KINDS[name]}" for name in columns)])
-    return slim.mapInArrow(_encoder(ranks, pattern, tuple(columns)), schema)
+    return slim.mapInArrow(_encoder(ranks, pattern, tuple(columns), slice_bytes), schema)
 
 
 def _decoder(ranks: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         codec = _codec(ranks, "")
-        for batch in batches:
-            codec._table("encoded", w=np.arange(batch.num_rows), ids=batch.column("ids"))
-            found = codec.con.sql(_DECODE).to_arrow_table()
-            text = [b""] * batch.num_rows
-            for w, own in zip(found["w"].to_pylist(), found["decoded"].to_pylist(), strict=True):
-                text[w] = own
-            yield pa.record_batch([batch.column("doc_id"), pa.array(text, pa.binary())], ["doc_id", "decoded"])
+        try:
+            for batch in batches:
+                found = codec.query(_DECODE, "encoded", batch.column("ids"))
+                text = [b""] * batch.num_rows
+                for w, own in zip(found["w"].to_pylist(), found["decoded"].to_pylist(), strict=True):
+                    text[w] = own
+                yield pa.record_batch([batch.column("doc_id"), pa.array(text, pa.binary())], ["doc_id", "decoded"])
+        finally:
+            codec.release()
 
     return run
 

@@ -20,7 +20,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import unused
+from tallyrec.llm.batches import release_memory, unused
 from tallyrec.llm.components import connected_components
 from tallyrec.session import materialize
 
@@ -65,6 +65,7 @@ def _fingerprint_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Recor
         yield pa.record_batch(
             [*others.columns, pa.array(found)], [*others.schema.names, "fingerprint"]
         )
+    release_memory()
 
 
 def fingerprints(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

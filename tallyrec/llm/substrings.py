@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tallyrec.llm.batches import slices, texts
+from tallyrec.llm.batches import release_memory, slices, texts
 from tallyrec.session import materialize
 
 WINDOW = 20
@@ -135,6 +135,7 @@ def _send_anchors(n_buckets: int) -> Callable:
                 packed += (short & np.uint64(0xFFFF)).astype(np.uint16).tobytes()
                 rows.append((bucket, number, None, packed, refs[own].tobytes()))
             yield _packed(rows)
+        release_memory()
 
     return run
 
@@ -252,6 +253,7 @@ def _send_windows(n_buckets: int) -> Callable:
                 packed = high[own].tobytes() + low[own].tobytes()
                 rows.append((bucket, number, table, packed, _references(inside, start[own])))
             yield _packed(rows)
+        release_memory()
 
     return run
 
@@ -357,6 +359,7 @@ def _remove(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ],
             ["row", *_RESULT_NAMES],
         )
+    release_memory()
 
 
 def remove_repeats(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:

@@ -1,5 +1,8 @@
 import hashlib
+import os
 import random
+import subprocess
+import sys
 
 import numpy as np
 import public_tokenizers
@@ -120,3 +123,48 @@ def test_decoding(spark):
     df = spark.createDataFrame(rows, "doc_id long, ids array<int>")
     found = {r.doc_id: bytes(r.decoded) for r in decode_documents(df, RANKS).collect()}
     assert found == {1: library(RANKS).decode_bytes([464, 3290, 0]), 2: b"", 3: b"", None: b" "}
+
+
+# a task's texts, and the memory in MB that a worker has more for them at most, and after the task
+WORKER = """
+import random, re, threading, time
+import duckdb, numpy, public_tokenizers, pyarrow
+from pathlib import Path
+from tallyrec.llm.bpe import Codec, read_ranks
+
+def used():
+    found = re.search(r"Anonymous:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text())
+    return int(found[1]) / 1024
+
+rng = random.Random(5)
+words = ["".join(rng.choices("etaoinshrdlu", k=rng.randint(3, 12))) for _ in range(60_000)]
+texts = [" ".join(rng.choices(words, k=500)) for _ in range(2_000)]
+codec = Codec(read_ranks(public_tokenizers.path("byte_bpe_50k.tiktoken")), public_tokenizers.PATTERN)
+before, most = used(), [0]
+
+def watch():
+    while True:
+        most[0] = max(most[0], used())
+        time.sleep(0.02)
+
+threading.Thread(target=watch, daemon=True).start()
+for ids, decoded in codec.encode(texts):
+    pass
+codec.release()
+print(most[0] - before, used() - before)
+"""
+
+
+def test_memory_of_a_worker():
+    env = os.environ | {"PYTHONPATH": os.pathsep.join(sys.path)}
+    found = subprocess.run([sys.executable, "-c", WORKER], capture_output=True, check=True, env=env)
+    most, after = map(float, found.stdout.split())
+    assert most < 100 and after < 50
+
+
+def test_slices_of_any_size(spark):
+    docs = spark.createDataFrame(documents(hard_texts())).coalesce(1)
+    small, whole = (
+        encode_documents(docs, RANKS, public_tokenizers.PATTERN, slice_bytes=size).collect() for size in (1, 8 << 20)
+    )
+    assert whole == small and len(whole) == docs.count()
