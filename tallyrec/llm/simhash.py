@@ -84,7 +84,8 @@ def near_pairs(distinct: DataFrame, max_distance: int = MAX_DISTANCE) -> DataFra
     n_parts = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spread = distinct.repartition(n_parts)
     stamped = spread.select("fingerprint", F.inline(_stamps(F.col("fingerprint"))))
-    left, right = stamped.alias("l"), stamped.alias("r")
+    # the stamps are many times as large as Spark takes them for, from the fingerprints: never broadcast
+    left, right = stamped.alias("l").hint("merge"), stamped.alias("r").hint("merge")
     i, j = F.col("l.step"), F.col("r.step")
     one_cell = (i == 0) | (
         (j != 0) & ((F.abs(i) < F.abs(j)) | ((F.abs(i) == F.abs(j)) & (i != j)))

@@ -3,6 +3,7 @@ import random
 import pytest
 import xxhash
 from llm_cases import components, documents, hard_texts, prose
+from pyspark.sql import functions as F
 
 from tallyrec.llm.components import connected_components
 from tallyrec.llm.simhash import near_pairs, simhash_duplicates
@@ -73,6 +74,15 @@ def test_pairs_against_brute_force(spark):
     assert set(found) == wanted
 
 
+def test_stamps_are_never_broadcast(spark):
+    # a table that Spark knows to be small, before and while it runs
+    pairs = near_pairs(spark.range(500).select(F.col("id").alias("fingerprint")))
+    assert pairs.count() == sum((a ^ b).bit_count() <= 2 for a in range(500) for b in range(a))
+    pairs.collect()
+    plan = pairs._jdf.queryExecution().executedPlan().toString()
+    assert "SortMergeJoin" in plan and "Broadcast" not in plan
+
+
 @pytest.mark.parametrize("shape", ["path", "star", "random", "none"])
 def test_components(spark, shape):
     rng = random.Random(8)
