@@ -159,7 +159,8 @@ def mix_sources(
 
     same = F.col("source").eqNullSafe(F.col("_source"))
     rows_each = F.greatest(F.lit(_LEAST_BUCKET_ROWS), F.sqrt("rows"))
-    known = slim.join(sources, same).withColumn(
+    # Spark takes the sources for a large table, after the inline, and would rather send out the rows
+    known = slim.join(F.broadcast(sources), same).withColumn(
         "bucket", F.pmod("turn", F.ceil(F.col("rows") / rows_each))
     )
     carried = [F.col(f"_{i}") for i in range(len(carry))]

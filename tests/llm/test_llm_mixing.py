@@ -154,3 +154,12 @@ def test_mixed_rows_lie_by_shard(spark):
     falls = sum(a > b for a, b in zip(sure, sure[1:]))
     assert len(sure) > 50 and falls < 8  # at most one fall per partition
     assert out != sorted(out)
+
+
+def test_sources_are_sent_to_the_rows(spark):
+    rows = [(i, prose(i % 4, 30 + i)) for i in range(40)]
+    mixed = mix_sources(table(spark, rows, ["a", "b", None, "c"] * 10))
+    assert len(mixed.collect()) == 40
+    plan = mixed._jdf.queryExecution().executedPlan().toString()
+    of_sources = [line for line in plan.splitlines() if "Join" in line and "_source" in line]
+    assert of_sources and all("BuildRight" in line for line in of_sources)
