@@ -19,6 +19,10 @@ from tallyrec.session import materialize
 # Size of the vectors in a block of either table; a task holds one of each.
 BLOCK_BYTES = 32 << 20
 
+# Smaller blocks grow, to BLOCK_BYTES at most, where a table would have more of them than this: the
+# other table is copied once for each.
+MOST_COPIES = 8
+
 # Vectors packed into a row, unless a block is smaller than a few such rows, and the fewest query
 # vectors of a block that is made smaller so that all cores have something to do.
 CHUNK_ROWS = 512
@@ -53,8 +57,9 @@ def match_lists(
     Vectors that are null or hold a null or NaN take no part; vectors of different lengths are an
     error.
 
-    Blocks hold at most about ``block_bytes`` of vectors. The plan is the same for any number of
-    blocks, and neither table passes through the driver.
+    Blocks hold at most about ``block_bytes`` of vectors, or ``BLOCK_BYTES`` if that is more and a
+    table is larger than ``MOST_COPIES`` such blocks. The plan is the same for any number of blocks,
+    and neither table passes through the driver.
     """
     queries = _usable(queries, "query_id", F.col("depth").cast("int").alias("depth"))
     index = _usable(index, "product_id", F.lit(None).cast("int").alias("depth"))
@@ -68,6 +73,7 @@ def match_lists(
     )
     sizes = {row["side"]: row for row in sizes.collect()}
     n_queries, n_index, cores = 1, 1, packed.sparkSession.sparkContext.defaultParallelism
+    block_bytes = _block_bytes([row["n"] * row["width"] * 8 for row in sizes.values()], block_bytes)
     if 1 in sizes:
         if sizes[1]["least"] != sizes[1]["width"]:
             raise ValueError(
@@ -118,6 +124,12 @@ def top_matches(
     )
 
 
+def _block_bytes(tables: list[int], wanted: int) -> int:
+    """The size of a block for tables of so many bytes: as wanted, while few blocks do."""
+    enough = math.ceil(max(tables, default=0) / MOST_COPIES)
+    return max(wanted, min(enough, BLOCK_BYTES))
+
+
 def _dealt(n: int, name: str) -> Column:
     """The block of a chunk."""
     return F.pmod(F.xxhash64(F.col("ids")), F.lit(n)).cast("int").alias(name)
@@ -171,7 +183,7 @@ def _tile(exclude_self: bool, n_branches: int):
     It is defined inside a function so that it reaches the Python workers by value and they need
     no copy of this package.
     """
-    cells_per_step, digits = CELLS_PER_STEP, SCORE_DIGITS
+    cells_per_step, digits, chunk_rows = CELLS_PER_STEP, SCORE_DIGITS, CHUNK_ROWS
 
     import numpy as np
     import pyarrow as pa
@@ -229,11 +241,17 @@ def _tile(exclude_self: bool, n_branches: int):
         order = pc.sort_indices(ids)  # in id order, so that a smaller position wins a tie
         ids, matrix = ids.take(order), matrix[order.to_numpy()]
         branch = right.column("i")[0].as_py() % n_branches
-        for row in range(len(left)):
-            chunk = left.slice(row, 1)
+        for width in pc.unique(left.column("width")).to_pylist():
+            if width != matrix.shape[1]:
+                raise ValueError(f"a query has {width} elements, the index {matrix.shape[1]}")
+        # small chunks are taken together
+        ends = np.cumsum(left.column("n").to_numpy())
+        row = 0
+        while row < len(left):
+            end = int(np.searchsorted(ends, (ends[row - 1] if row else 0) + chunk_rows, side="right"))
+            end = max(end, row + 1)
+            chunk, row = left.slice(row, end - row), end
             query_ids, vectors = unpacked(chunk)
-            if vectors.shape[1] != matrix.shape[1]:
-                raise ValueError(f"a query has {vectors.shape[1]} elements, the index {matrix.shape[1]}")
             depths = pa.concat_arrays([c.flatten() for c in chunk.column("depths").chunks])
             depths = depths.to_numpy(zero_copy_only=False)
             for found_ids, wanted, low, high, matches in best(ids, matrix, query_ids, vectors, depths):

@@ -5,7 +5,7 @@ import pytest
 from conftest import rows, unit_vectors
 from pyspark.sql import functions as F
 
-from tallyrec.operators import semantic
+from tallyrec.operators import nearest, semantic
 from tallyrec.operators.nearest import top_matches
 
 
@@ -63,6 +63,24 @@ def test_blocks_of_any_size_agree(spark, vectors, exclude, block_bytes):
     assert counts == depth
 
 
+def test_small_blocks_of_a_large_table_grow():
+    small, default, many = 16 << 10, nearest.BLOCK_BYTES, nearest.MOST_COPIES
+    assert nearest._block_bytes([many * small, 10], small) == small
+    assert nearest._block_bytes([10, 52 << 20], small) == -(-(52 << 20) // many)
+    assert nearest._block_bytes([10 << 30], small) == default
+    assert nearest._block_bytes([10 << 30], 3 * default) == 3 * default
+    assert nearest._block_bytes([], small) == small
+
+
+def test_tables_are_copied_a_few_times_only(spark, monkeypatch):
+    index = spark.createDataFrame(unit_vectors(400, 16, "p", 3)).withColumnRenamed("embedding", "vector")
+    queries = index.select(F.col("product_id").alias("query_id"), "vector", F.lit(4).alias("depth"))
+    whole, copies, every = rows(top_matches(queries, index, True)), [], nearest._every
+    monkeypatch.setattr(nearest, "_every", lambda n, name: copies.append(n) or every(n, name))
+    assert rows(top_matches(queries, index, True, block_bytes=1 << 10)) == whole  # 50 such blocks
+    assert copies == [8, 8]
+
+
 def test_more_ties_than_results(spark):
     index = spark.createDataFrame([(f"p{i:02}", [1.0, 0.0]) for i in range(30)], "product_id string, vector array<double>")
     queries = spark.createDataFrame([("q", [1.0, 0.0], 4)], "query_id string, vector array<double>, depth int")
