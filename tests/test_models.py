@@ -3,7 +3,7 @@ import pytest
 from conftest import N_PRODUCTS, N_USERS, rows, unit_vectors
 from pyspark.sql import functions as F
 
-from tallyrec.operators import factor
+from tallyrec.operators import factor, lanczos
 from tallyrec.plans import recommend
 from tallyrec.plans.recommend import HybridRecommender, SvdRecommender
 from tallyrec.plans.serve import recommend_batch, rejected
@@ -56,6 +56,39 @@ def test_too_many_products_for_the_driver_are_an_error_at_once():
     factor.check_solver_budget(100, 50, 1 << 20)
 
 
+@pytest.mark.parametrize("limit", ["SOLVER_CELLS", "SOLVER_BYTES"])
+def test_matrices_beyond_the_driver_are_solved_in_a_task(ratings, monkeypatch, limit):
+    monkeypatch.setattr(factor, limit, 0)
+    monkeypatch.setattr(factor, "_right_basis", None)
+    monkeypatch.setattr(factor, "ROWS_OUT", 10)
+    for k in (5, 500):
+        large = SvdRecommender(n_factors=k).fit(ratings)
+        assert large.user_factors.count() == N_USERS and large.item_factors.count() == N_PRODUCTS
+        check_against_numpy(large, ratings, min(k, N_USERS - 1))
+
+
+@pytest.mark.parametrize("in_files", [True, False])
+def test_leading_vectors_of_a_sparse_matrix(monkeypatch, in_files):
+    monkeypatch.setattr(lanczos, "CELLS", 50)
+    if in_files:
+        monkeypatch.setattr(lanczos, "FILE_BYTES", 1)
+    rng = np.random.default_rng(4)
+    one = np.where(rng.random((70, 90)) < 0.1, rng.standard_normal((70, 90)), 0)
+    one[np.arange(70), np.arange(70)] = one[0, 70:] = 1.0
+    # three equal blocks: every singular value comes three times
+    for dense in (one, np.kron(np.eye(3), one), np.eye(6) * [3, 3, 2, 2, 2, 0.1], np.ones((4, 5))):
+        lengths, (_, columns) = (dense != 0).sum(axis=1), dense.nonzero()
+        matrix = lanczos.SparseMatrix(lengths, columns.astype(np.int32), dense[dense != 0], dense.shape[1])
+        x = rng.standard_normal(dense.shape[1])
+        assert matrix.gram_times(x) == pytest.approx(dense.T @ (dense @ x))
+        assert matrix.times(np.stack([x, -x], axis=1), slice(2, 4)) == pytest.approx(dense[2:4] @ np.stack([x, -x], axis=1))
+        k = min(7, *dense.shape) - 1 if len(dense) < 10 else 7
+        found, vectors = lanczos.leading_vectors(matrix.gram_times, dense.shape[1], k)
+        assert found == pytest.approx(np.linalg.svd(dense)[1][:k] ** 2, abs=1e-9)
+        assert vectors @ vectors.T == pytest.approx(np.eye(k), abs=1e-10)
+        assert vectors @ dense.T @ dense == pytest.approx(found[:, None] * vectors, abs=1e-8)
+
+
 def test_no_row_passes_through_python_on_the_way_to_the_solver(spark, ratings):
     cells = factor.rating_cells(ratings)
     items = factor.dense_index(cells, "product_id", "item_idx")

@@ -1,6 +1,7 @@
 import re
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from conftest import rows, unit_vectors
 from pyspark.sql import functions as F
@@ -81,6 +82,23 @@ def test_tables_are_copied_a_few_times_only(spark, monkeypatch):
     assert copies == [8, 8]
 
 
+@pytest.mark.parametrize("k", [1, 3, 40])
+def test_best_of_many_scores(spark, k):
+    # scores that differ from the tenth digit on are ties; the better half of them are in one group
+    rng = np.random.default_rng(6)
+    score = np.repeat(rng.random(250), 4) + np.tile([0.0, 3e-11, -3e-11, 1e-12], 250)
+    score[::64] += 2
+    ids = [f"p{i:04}" for i in range(1000)]
+    index = spark.createDataFrame(pa.table({"product_id": ids, "vector": [[x, 1.0] for x in score]}))
+    queries = [("q", [1.0, 0.0], k), ("r", [-1.0, 0.5], 2), ("p0064", [1.0, 0.0], k), ("inf", [float("inf"), 0.0], 2)]
+    queries = spark.createDataFrame(queries, "query_id string, vector array<double>, depth int")
+    found = lists(top_matches(queries.where("query_id <> 'inf'"), index, True))
+    matrix = np.stack([score, np.ones(1000)], axis=1)
+    for query, vector, depth, own in (("q", [1, 0], k, None), ("r", [-1, 0.5], 2, None), ("p0064", [1, 0], k, "p0064")):
+        assert found[query] == brute_force(np.array(vector, float), ids, matrix, depth, own)
+    assert "inf" not in lists(top_matches(queries, index, True))
+
+
 def test_more_ties_than_results(spark):
     index = spark.createDataFrame([(f"p{i:02}", [1.0, 0.0]) for i in range(30)], "product_id string, vector array<double>")
     queries = spark.createDataFrame([("q", [1.0, 0.0], 4)], "query_id string, vector array<double>, depth int")
