@@ -76,6 +76,7 @@ def match_lists(
     )
     sizes = {row["side"]: row for row in sizes.collect()}
     n_queries, n_index, cores = 1, 1, packed.sparkSession.sparkContext.defaultParallelism
+    n_parts, wanted_bytes = 1, block_bytes
     block_bytes = _block_bytes([row["n"] * row["width"] * 8 for row in sizes.values()], block_bytes)
     if 1 in sizes:
         if sizes[1]["least"] != sizes[1]["width"]:
@@ -83,14 +84,18 @@ def match_lists(
                 "the vectors of the index have between "
                 f"{sizes[1]['least']} and {sizes[1]['width']} elements"
             )
-        n_index = max(1, math.ceil(sizes[1]["n"] * sizes[1]["width"] * 8 / block_bytes))
+        index_bytes = sizes[1]["n"] * sizes[1]["width"] * 8
+        n_index = max(1, math.ceil(index_bytes / block_bytes))
+        n_parts = max(1, math.ceil(index_bytes / wanted_bytes))
     if 0 in sizes:
         n_queries = max(1, math.ceil(sizes[0]["n"] * sizes[0]["width"] * 8 / block_bytes))
         n_queries = max(n_queries, min(math.ceil(cores / n_index), sizes[0]["n"] // LEAST_QUERIES))
     left = packed.where("side = 0").select("*", _dealt(n_queries, "q"), _every(n_index, "i"))
     # other columns by the same names: a cogroup of a table with itself mixes up the two sides
     right = packed.toDF(*packed.columns).where("side = 1")
-    right = right.select("*", _dealt(n_index, "i"), _every(n_queries, "q"))
+    # a block is made of whole parts, the blocks as wanted: of an id that repeats, each part leaves out one
+    right = right.select("*", _dealt(n_parts, "part"), _every(n_queries, "q"))
+    right = right.withColumn("i", F.col("part") % n_index)
     tile = _tile(exclude_self, max(1, math.isqrt(n_index)))
     tiles = left.groupBy("q", "i").cogroup(right.groupBy("q", "i")).applyInArrow(tile, TILE_SCHEMA)
 
@@ -218,7 +223,16 @@ def _tile(exclude_self: bool, n_branches: int):
         highest = scores[:, : n * size].reshape(-1, size, n).max(axis=1)
         return np.partition(highest, n - k, axis=1)[:, n - k]
 
-    def best(ids, matrix, query_ids, vectors, depths):
+    def repeats(ids, parts):
+        """Where an id that occurs before is the first one of its part, and where that id occurs first."""
+        first = pc.index_in(ids, value_set=ids).to_numpy()
+        if (first == np.arange(len(ids))).all():
+            return np.zeros(0, np.int64), np.zeros(0, np.int64)
+        _, at = np.unique(first * np.int64(parts.max() + 1) + parts, return_index=True)
+        at = np.sort(at[first[at] != at])
+        return at, first[at]
+
+    def best(ids, matrix, again, query_ids, vectors, depths):
         """The best rows of each query as batches; a smaller position in ``ids`` wins a tie."""
         n = len(ids)
         step = max(1, cells_per_step // n)
@@ -235,6 +249,11 @@ def _tile(exclude_self: bool, n_branches: int):
                 own = own.fill_null(-1).to_numpy(zero_copy_only=False)
                 rows = np.flatnonzero(own >= 0)
                 scores[rows, own[rows]] = -np.inf
+                at, first = again
+                low_at, n_more = np.searchsorted(first, own), np.searchsorted(first, own, "right")
+                n_more -= low_at
+                more = np.arange(n_more.sum()) - np.repeat(np.cumsum(n_more) - n_more - low_at, n_more)
+                scores[np.repeat(np.arange(len(own)), n_more), at[more]] = -np.inf
             k = max(int(wanted.max()), 1)
             # everything that reaches the k-th best score once rounded, ties included, and little more
             if usual:
@@ -265,6 +284,8 @@ def _tile(exclude_self: bool, n_branches: int):
         ids, matrix = unpacked(right)
         order = pc.sort_indices(ids)  # in id order, so that a smaller position wins a tie
         ids, matrix = ids.take(order), matrix[order.to_numpy()]
+        parts = np.repeat(right.column("part").to_numpy(), right.column("n").to_numpy())[order.to_numpy()]
+        again = repeats(ids, parts) if exclude_self else None
         branch = right.column("i")[0].as_py() % n_branches
         for width in pc.unique(left.column("width")).to_pylist():
             if width != matrix.shape[1]:
@@ -279,7 +300,7 @@ def _tile(exclude_self: bool, n_branches: int):
             query_ids, vectors = unpacked(chunk)
             depths = pa.concat_arrays([c.flatten() for c in chunk.column("depths").chunks])
             depths = depths.to_numpy(zero_copy_only=False)
-            for found_ids, wanted, low, high, matches in best(ids, matrix, query_ids, vectors, depths):
+            for found_ids, wanted, low, high, matches in best(ids, matrix, again, query_ids, vectors, depths):
                 arrays = [found_ids, pa.array(np.full(len(wanted), branch, np.int32)), pa.array(wanted)]
                 arrays += [pa.array(low), pa.array(high), matches]
                 tables.append(pa.table(arrays, schema=schema))

@@ -82,6 +82,15 @@ def test_tables_are_copied_a_few_times_only(spark, monkeypatch):
     assert copies == [8, 8]
 
 
+def test_repeated_ids_in_grown_blocks_match_as_in_small_ones(spark, monkeypatch):
+    index = spark.createDataFrame(unit_vectors(150, 16, "p", 3)).withColumnRenamed("embedding", "vector")
+    index = index.union(index).union(index.where("product_id < 'p3'"))
+    queries = index.distinct().select(F.col("product_id").alias("query_id"), "vector", F.lit(3).alias("depth"))
+    grown = rows(top_matches(queries, index, True, 1 << 10))
+    monkeypatch.setattr(nearest, "_block_bytes", lambda tables, wanted: wanted)
+    assert grown == rows(top_matches(queries, index, True, 1 << 10))
+
+
 @pytest.mark.parametrize("k", [1, 3, 40])
 def test_best_of_many_scores(spark, k):
     # scores that differ from the tenth digit on are ties; the better half of them are in one group
